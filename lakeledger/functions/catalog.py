@@ -51,9 +51,9 @@ ROW_GROUP_ROWS = 1_000_000
 SHARD_COUNT = 12
 SHARD_NAME_FORMAT = "srv-%03d"
 
-# Alert fields.
-ALERT_SOURCE = "rg-controller"
-ALERT_CHANNEL = "actoniaalerts"
+# Alert fields (deployment settings, not values of the exported system).
+ALERT_SOURCE = "lakeledger"
+ALERT_CHANNEL = "alerts"
 
 # Month text: a real YYYYMM between 1900 and 2099.
 MONTH_PATTERN = r"(19|20)\d{2}(0[1-9]|1[0-2])"

@@ -203,3 +203,7 @@ def reconcile_summary(spark, sf_dir):
     units, _ = _drift_units(spark, sf_dir, BOTH)
     by_table = reconcile.reconcile_at(units, ["table_name", "month"])
     return reconcile.reconcile_summary(by_table, ["month"])
+
+
+# Run-log, ledger and finalize queries register themselves on import.
+from lakeledger.plans import runlog_queries as _runlog_queries  # noqa: E402,F401
