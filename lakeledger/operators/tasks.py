@@ -15,12 +15,13 @@ State machine (per task, events in (ts, seq) order):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeledger.functions import catalog as C
 
 _KIND = {"claim": "C", "complete": "T", "failed": "T", "reset": "R"}
+_KIND_SQL = "CASE event " + " ".join(f"WHEN '{e}' THEN '{k}'" for e, k in _KIND.items()) + " END"
 TS_TEXT = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -28,33 +29,37 @@ def _hours(h: int) -> Column:
     return F.expr(f"INTERVAL {int(h)} HOURS")
 
 
-def state_events(log: DataFrame) -> DataFrame:
-    """The events that can change a task's state, with redundant ones removed.
+def _keep_for_fold() -> Column:
+    """Window flag: the event can still change the task's state.
 
-    Exact reductions (each proven against the full fold in the tests):
-    ``create`` and unknown events are dropped; exact redeliveries (same
-    task and seq) are dropped; of a run of consecutive claims only the first
-    can act and only the last can still see a timeout, of a run of
+    Exact reductions (each checked against the full fold by the oracle):
+    ``create`` and unknown events never act; an exact redelivery (same seq
+    as the previous row) is dropped; of a run of consecutive claims only the
+    first can act and only the last can still see a timeout, of a run of
     complete/failed only the first can act, of a run of resets only the
-    last matters (a later reset in the run sees at least as late a
-    timeout).  Redelivery storms and repeated claims, the usual cause of a
-    hot task, so never reach the per-task array.  The window is
-    ``lag``/``lead`` over (task, ts, seq): a sort-based streaming operator
-    that spills, never a buffer of the task's events.
+    last matters (it sees the latest timeout).  Redelivery storms and
+    repeated claims, the usual cause of a hot task, so never reach the
+    per-task array.  ``lag``/``lead`` run in one sort-based window over
+    (task, ts, seq); the window streams its partition, spilling if needed.
     """
     kind = F.coalesce(*[F.when(F.col("event") == e, k) for e, k in _KIND.items()])
-    ev = (log.where(F.col("event").isin(list(_KIND)))
-             .select("task_id", "ts", "seq", "event", kind.alias("kind"))
-             .dropDuplicates(["task_id", "seq"]))
-    w = Window.partitionBy("task_id").orderBy("ts", "seq")
-    prev_k = F.lag("kind").over(w)
-    next_k = F.lead("kind").over(w)
-    first_of_run = prev_k.isNull() | (prev_k != F.col("kind"))
-    last_of_run = next_k.isNull() | (next_k != F.col("kind"))
-    keep = (F.when(F.col("kind") == "R", last_of_run)
-             .when(F.col("kind") == "C", first_of_run | last_of_run)
+    # Runs are over state events only: other events have kind NULL and are
+    # stepped over by the IGNORE NULLS offsets (O(1) per row, no frames).
+    order = "PARTITION BY task_id ORDER BY ts, seq"
+    prev_k = F.expr(f"lag({_KIND_SQL}) IGNORE NULLS OVER ({order})")
+    next_k = F.expr(f"lead({_KIND_SQL}) IGNORE NULLS OVER ({order})")
+    prev_seq = F.expr(f"lag(seq) OVER ({order})")
+    first_of_run = prev_k.isNull() | (prev_k != kind)
+    last_of_run = next_k.isNull() | (next_k != kind)
+    keep = (F.when(kind == "R", last_of_run)
+             .when(kind == "C", first_of_run | last_of_run)
              .otherwise(first_of_run))
-    return ev.withColumn("_keep", keep).where("_keep").drop("_keep")
+    return kind.isNotNull() & keep & (prev_seq.isNull() | (prev_seq != F.col("seq")))
+
+
+def state_events(log: DataFrame) -> DataFrame:
+    """The events that can change a task's state (see :func:`_keep_for_fold`)."""
+    return log.withColumn("_keep", _keep_for_fold()).where("_keep").drop("_keep")
 
 
 def _fold_step(timeout_hours: int | None):
@@ -94,13 +99,18 @@ def replay_tasks(log: DataFrame, *, timeout_hours: int | None = C.TASK_TIMEOUT_H
     tnull = F.lit(None).cast("timestamp_ntz")
     zero = F.struct(F.lit("new").alias("st"), tnull.alias("started"), tnull.alias("completed"),
                     F.lit("").alias("err"), tnull.alias("first_claim"), tnull.alias("last_reset"))
-    folded = (state_events(log)
-              .groupBy("task_id")
-              .agg(F.array_sort(F.collect_list(F.struct("ts", "seq", "event"))).alias("evs"))
-              .select("task_id", F.aggregate("evs", zero, _fold_step(timeout_hours)).alias("s")))
-    meta = log.groupBy("task_id").agg(
-        F.min("month").alias("month"), F.min("server").alias("server"),
-        F.min(F.when(F.col("event") == "create", F.col("ts"))).alias("created_at"))
+    # One shuffle: the window partitions by task_id, and the aggregate on the
+    # same key reuses that partitioning.  collect_list skips NULLs, so only
+    # the reduced state events reach the array.
+    keep = F.col("_keep")
+    per_task = (log.withColumn("_keep", _keep_for_fold())
+                .groupBy("task_id")
+                .agg(F.min("month").alias("month"), F.min("server").alias("server"),
+                     F.min(F.when(F.col("event") == "create", F.col("ts"))).alias("created_at"),
+                     F.array_sort(F.collect_list(F.when(keep, F.struct("ts", "seq", "event"))))
+                      .alias("evs")))
+    folded = per_task.select("task_id", "month", "server", "created_at",
+                             F.aggregate("evs", zero, _fold_step(timeout_hours)).alias("s"))
     s = F.col("s")
     status, err = F.coalesce(s["st"], F.lit("new")), F.coalesce(s["err"], F.lit(""))
     if now is not None and timeout_hours is not None:
@@ -108,7 +118,7 @@ def replay_tasks(log: DataFrame, *, timeout_hours: int | None = C.TASK_TIMEOUT_H
         err = F.when(swept, F.concat(F.lit("Auto-timeout: started at "),
                                      F.date_format(s["started"], TS_TEXT))).otherwise(err)
         status = F.when(swept, F.lit("timeout")).otherwise(status)
-    return (meta.join(folded, "task_id", "left")
+    return (folded
             .select("task_id", "month", "server", status.alias("status"),
                     s["started"].alias("started_at"), s["completed"].alias("completed_at"),
                     err.alias("error_msg"), s["first_claim"].alias("first_claim_at"),

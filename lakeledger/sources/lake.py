@@ -122,7 +122,10 @@ def lake_units(spark: SparkSession, root: str, tables: list[str]) -> DataFrame:
     A unit with files but no rows gets ``n_lake = 0``; an absent unit has no
     row (the caller's outer join turns that into NO_FILES).
     """
-    inv = inventory(spark, root).where(F.col("table_name").isin(tables))
+    # The listing is one small row per unit; checkpointing it (to the shared
+    # checkpoint folder) fixes the snapshot the counts are taken against and
+    # keeps dynamic partition pruning from listing the lake again.
+    inv = inventory(spark, root).where(F.col("table_name").isin(tables)).checkpoint()
     counts = lake_counts(spark, root, tables)
     return (inv.join(counts, UNIT_KEYS, "left")
             .select(*UNIT_KEYS, "n_files", "n_bytes",
