@@ -208,3 +208,4 @@ def reconcile_summary(spark, sf_dir):
 # Run-log, ledger and finalize queries register themselves on import.
 from lakeledger.plans import runlog_queries as _runlog_queries  # noqa: E402,F401
 from lakeledger.plans import finalize_queries as _finalize_queries  # noqa: E402,F401
+from lakeledger.plans import stream_queries as _stream_queries  # noqa: E402,F401
