@@ -1,7 +1,7 @@
 """The Parquet lake: layout, inventory, and counts read back from it.
 
 Layout: ``{root}/{table}/month=YYYYMM/server=srv-NNN/part-*.parquet``.  The
-year of the reference's bucket is ``substring(month, 1, 4)`` and is not a
+year bucket of the original layout is ``substring(month, 1, 4)`` and is not a
 directory level: partition pruning on ``month`` already selects the year.
 Several files per unit are allowed; readers never assume one file per shard.
 """
