@@ -200,6 +200,13 @@ def alerts(final: DataFrame, period: str = "month", source: str = C.ALERT_SOURCE
                       F.lit(channel).alias("channel"))
 
 
+def write_alerts(alert_rows: DataFrame, path: str) -> None:
+    """Alert sink: append alert records as JSON documents (one per line).
+    In a stream, call it from ``foreachBatch``; delivery to an alerting
+    endpoint is outside this library."""
+    alert_rows.write.mode("append").json(path)
+
+
 def timeout_alerts(overdue_tasks: DataFrame, timeout_hours: int = C.TASK_TIMEOUT_HOURS,
                    source: str = C.ALERT_SOURCE, channel: str = C.ALERT_CHANNEL) -> DataFrame:
     """One WARNING per task newly timed out."""
