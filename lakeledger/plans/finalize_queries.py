@@ -213,9 +213,13 @@ FROM {_alert_message_sql()}
 def alerts(spark, sf_dir):
     """One alert per finalized month: INFO / CRITICAL / WARNING with the
     per-table report or the failed servers and units."""
-    tasks, units, by_table, _ = _world(spark, sf_dir)
+    tasks, units, by_table, root = _world(spark, sf_dir)
     final = FZ.finalize(tasks, units, by_table, EXPECTED_TASKS)
-    return FZ.alerts(final).select("month", "title", "level", "message", "source", "channel")
+    rows = FZ.alerts(final).select("month", "title", "level", "message", "source", "channel", "tags")
+    path = f"{root}/_alerts"
+    FZ.write_alerts(rows, path)   # alert sink, read back as delivered
+    return spark.read.schema(rows.schema).json(path).select("month", "title", "level", "message",
+                                                            "source", "channel")
 
 
 @register("cycle_state", f"""
