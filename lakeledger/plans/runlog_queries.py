@@ -371,9 +371,9 @@ SELECT month, server FROM plan WHERE NOT EXISTS (SELECT 1 FROM ex WHERE ex.month
 def create_if_absent(spark, sf_dir):
     """Tasks to create: months with no task yet.  Existing ledger: the
     complete orders of shard srv-001; one existing task blocks its month."""
-    from lakeledger.operators import export as EX
     t = _order_tasks(spark, sf_dir)
-    plan = EX.plan_units(t.select("month").distinct()).select("month", "server").distinct()
+    plan = (t.select("month").distinct().where(C.valid_month("month"))
+            .select("month", F.explode(C.roster_array()).alias("server")))
     existing = t.where((F.col("status") == "complete") & (F.col("server") == "srv-001"))
     return TK.create_if_absent(plan, existing)
 
