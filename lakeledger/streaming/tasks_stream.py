@@ -17,6 +17,7 @@ resumes from its checkpoint; the current state is the latest row per key.
 from __future__ import annotations
 
 import datetime as dt
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
@@ -97,11 +98,19 @@ def _task_fn(timeout_hours: int | None):
     return fn
 
 
+def _ship_to_workers() -> None:
+    """Serialize this module's fold helpers by value, so Python workers only
+    need pandas, not this package on their path."""
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def stream_tasks(spark: SparkSession, source: DataFrame, out_dir: str, checkpoint_dir: str, *,
                  timeout_hours: int | None = C.TASK_TIMEOUT_HOURS,
                  watermark: str = "7 days") -> None:
     """Run the task replay as a stream over ``source`` (a streaming run log)
     until all available input is processed."""
+    _ship_to_workers()
     ev = (source.select("task_id", "month", "server", "event",
                         F.col("ts").cast("timestamp").alias("ts"), "seq")
           .withWatermark("ts", watermark)
