@@ -3,12 +3,12 @@
 Jobs never use a machine-local temporary folder on a cluster: intermediate
 tables and lakes built by the registered queries live under the folder the
 cluster names in ``spark.checkpoint.dir``.  Only when that setting is absent
-(local tests, the bench) do we create one and register it on the context.
+(local tests, the bench) do we create one and register it on the context; a
+cluster without it is an error.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -72,6 +72,8 @@ def shared_dir(spark: SparkSession) -> str:
         if current:
             sc.setCheckpointDir(current)
     if not current:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="lakeledger-ckpt-")
         sc.setCheckpointDir(current)
         current = sc.getCheckpointDir() or current
@@ -82,6 +84,6 @@ def new_run_dir(spark: SparkSession, label: str = "run") -> str:
     """A fresh folder under the shared folder for one job's outputs."""
     base = shared_dir(spark)
     path = f"{base}/lakeledger/{label}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
     return path

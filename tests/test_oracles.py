@@ -4,6 +4,7 @@ runs all of them at sf0.01: python tests/check_oracles.py)."""
 import pytest
 
 import __spark_entry__ as E
+from lakeledger.plans import queries as Q
 from harness import compare, duck
 
 SF = "/root/testdata/sf0.001"
@@ -25,7 +26,7 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(Q.QUERIES) == set(Q.ORACLES)
 
 
 def test_entry_smoke(spark):
