@@ -5,12 +5,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeledger.llm import simhash
+from lakeledger.llm import (embedding_dedup, mixing, packing, quality_classifier, simhash, token_files, toxicity,
+                            url_filters)
 from lakeledger.llm.common import read_table
-from lakeledger.session import apply_required_conf
+from lakeledger.llm.training import remainder
+from lakeledger.session import apply_required_conf, new_run_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,3 +38,104 @@ def op10(spark, sf_dir):
     """SimHash groups of all documents: 3-word shingles, 3 differing bits."""
     groups = simhash.simhash_groups(read_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@register("op2_token_files")
+def op2(spark, sf_dir):
+    """Token files of all documents, written and read back."""
+    path = new_run_dir(spark, "tokens") + "/files"
+    token_files.write_tokens(read_table(spark, sf_dir, "documents"), path,
+                             public_tokenizers.path("byte_bpe_50k.json"), "byte", end_id=2)
+    return token_files.with_crc(token_files.read_tokens(spark, path))
+
+
+@register("op9_best_fit_packing")
+def op9(spark, sf_dir):
+    """All documents packed into sequences of at most 4096 tokens."""
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"),
+                                  public_tokenizers.path("word_bpe_49k.json"), "word", end_id=1, room=4096)
+
+
+@register("op3_toxicity")
+def op3(spark, sf_dir):
+    """Toxicity of all documents; labels with remainder 0 are held out."""
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    rest = remainder(F.col("doc_id"), 5)
+    model = toxicity.toxicity_model(docs, labels, rest != 0)
+    return toxicity.toxicity(docs, model).select(
+        "doc_id", (rest == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "lang_threshold", "flagged")
+
+
+@register("op7_quality_classifier")
+def op7(spark, sf_dir):
+    """Quality of all documents; labels with remainder 2 are held out."""
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    rest = remainder(F.col("doc_id"), 4)
+    model = quality_classifier.quality_model(docs, labels, rest != 2)
+    return quality_classifier.quality(docs, model).select(
+        "doc_id", (rest == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+MIX = {"clean": 0.94, "toxic": 0.03, "poor": 0.03}
+
+
+@register("op8_mixing")
+def op8(spark, sf_dir):
+    """Rates at which the documents give a mix of 94 % clean text."""
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    model = mixing.domain_model(docs, labels)
+    rates = mixing.taken(mixing.mixing_rates(
+        mixing.memberships(docs, model, ["doc_id"]), model.domains, MIX))
+    return rates.select("doc_id", "n_tokens", *[F.col("p")[i].alias(f"p_{d}") for i, d in enumerate(model.domains)],
+                        "rate", "copies")
+
+
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+             ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+_URL_SQL = """
+WITH RECURSIVE parsed AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                            'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, html
+  FROM (SELECT page_id, html,
+               CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+        FROM pages)),
+target AS (
+  SELECT host, path, substr(t, strpos(t, '://') + 3) AS rest
+  FROM (SELECT host, path, unnest(regexp_extract_all(html,
+          '(?is)<link\\b[^>]*\\brel\\s*=\\s*["'']?canonical\\b[^>]*\\bhref\\s*=\\s*["'']?([^"''\\s>]+)', 1)) AS t
+        FROM parsed) WHERE strpos(t, '://') > 0),
+edge AS (
+  SELECT DISTINCT host || path AS u, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                  'abcdefghijklmnopqrstuvwxyz') || regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS v FROM target),
+both AS (SELECT u, v FROM edge UNION SELECT v, u FROM edge),
+reach AS (SELECT u, v FROM both UNION SELECT r.u, b.v FROM reach r JOIN both b ON r.v = b.u),
+rules(action, r_host, r_path) AS (VALUES {rules}),
+node AS (SELECT DISTINCT host, path FROM parsed
+         UNION SELECT regexp_extract(v, '^[^/]*'), regexp_extract(v, '^[^/]*(.*)', 1) FROM both),
+best AS (
+  SELECT host, path, r_host || r_path AS rule, action FROM node JOIN rules
+    ON (host = r_host OR ends_with(host, '.' || r_host)) AND starts_with(path, r_path)
+  QUALIFY row_number() OVER (PARTITION BY host, path
+                             ORDER BY length(r_host) DESC, length(r_path) DESC, action) = 1),
+alias AS (
+  SELECT r.u, bool_or(b.action = 'block') AS block, bool_or(b.action = 'allow') AS allow
+  FROM reach r JOIN best b ON r.v = b.host || b.path GROUP BY r.u)
+SELECT p.page_id, p.host, p.path, b.rule,
+       coalesce(b.action, CASE WHEN a.block AND NOT a.allow THEN 'block' ELSE 'allow' END) AS verdict
+FROM parsed p LEFT JOIN best b ON p.host = b.host AND p.path = b.path LEFT JOIN alias a ON p.host || p.path = a.u
+""".format(rules=", ".join(str(r) for r in URL_RULES))
+
+
+@register("op6_url_filters", _URL_SQL)
+def op6(spark, sf_dir):
+    """Verdicts of all pages, with aliases from their html."""
+    return url_filters.filter_urls(read_table(spark, sf_dir, "pages"), url_filters.rules_table(spark, URL_RULES))
+
+
+@register("op5_embedding_near_dedup")
+def op5(spark, sf_dir):
+    """Groups of all embeddings at a cosine of 0.9."""
+    return embedding_dedup.embedding_groups(read_table(spark, sf_dir, "embeddings"), threshold=0.9)
