@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeledger.llm import (embedding_dedup, mixing, packing, quality_classifier, simhash, token_files, toxicity,
-                            url_filters)
+from lakeledger.llm import (embedding_dedup, mixing, packing, quality_classifier, quality_rules, simhash, token_files,
+                            toxicity, url_filters)
 from lakeledger.llm.common import read_table
 from lakeledger.llm.training import remainder
 from lakeledger.session import apply_required_conf, new_run_dir
@@ -139,3 +139,9 @@ def op6(spark, sf_dir):
 def op5(spark, sf_dir):
     """Groups of all embeddings at a cosine of 0.9."""
     return embedding_dedup.embedding_groups(read_table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
+@register("op4_quality_rules")
+def op4(spark, sf_dir):
+    """Quality rules over all documents."""
+    return quality_rules.quality_rules(read_table(spark, sf_dir, "documents"))
