@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeledger.llm import (embedding_dedup, mixing, packing, quality_classifier, quality_rules, simhash, token_files,
-                            toxicity, url_filters)
+from lakeledger.llm import (embedding_dedup, mixing, packing, quality_classifier, quality_rules, simhash, suffix_dedup,
+                            token_files, toxicity, url_filters)
 from lakeledger.llm.common import read_table
 from lakeledger.llm.training import remainder
 from lakeledger.session import apply_required_conf, new_run_dir
@@ -145,3 +145,9 @@ def op5(spark, sf_dir):
 def op4(spark, sf_dir):
     """Quality rules over all documents."""
     return quality_rules.quality_rules(read_table(spark, sf_dir, "documents"))
+
+
+@register("op1_suffix_array_dedup")
+def op1(spark, sf_dir):
+    """All documents without the strings of 200 bytes that occur elsewhere."""
+    return suffix_dedup.deduplicate(read_table(spark, sf_dir, "documents"), ["doc_id"], length=200)

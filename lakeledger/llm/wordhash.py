@@ -41,9 +41,10 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def running(values: np.ndarray) -> np.ndarray:
-    """Prefix sums (one longer than the bytes) for ``span_hash``."""
+    """Prefix sums (one longer than the bytes, or numbers) for ``span_hash``."""
     out = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(_VALUE[values] * _powers(_BASE, len(values)), out=out[1:])
+    each = _VALUE[values] if values.dtype == np.uint8 else mix(values.astype(np.uint64) + np.uint64(1)) | np.uint64(1)
+    np.cumsum(each * _powers(_BASE, len(values)), out=out[1:])
     return out
 
 
