@@ -12,8 +12,9 @@ by projected gradient descent from rate 1, so documents move as little as the
 targets ask.  The gradient is taken for each token, which makes a document's
 step the posterior mean of the domains' relative errors; the largest
 eigenvalue of that problem is 1, so step 1 never diverges.  An iteration is one
-aggregation of a stored table (tokens, posteriors, rate) into one sum a
-domain: partial sums before the shuffle, a few numbers to the driver.
+aggregation of a stored table (tokens, posteriors) into one sum a domain:
+partial sums before the shuffle, a few numbers to the driver.  The rate is a
+function of the posterior and the steps so far, so it is never stored.
 
 The classifier is a softmax over, for each domain, the mean and maximum over
 the words of the domain's log odds (hashed words), and a few rates of the
@@ -36,9 +37,8 @@ from lakeledger.llm.wordhash import SPACE, word_hashes
 DOMAINS = ("clean", "toxic", "poor")
 BUCKETS = 1 << 16
 SMOOTH = 2.0
-STORE_EVERY = 10
-MAX_STEPS = 40
-TOLERANCE = 1e-6  # of the target total: a gap, or a change in a step, below it ends the descent
+MAX_STEPS = 30
+TOLERANCE = 1e-4  # of the target total: a gap, or a change in a step, below it ends the descent
 
 _UPPER = np.zeros(256)
 _UPPER[65:91] = 1
@@ -158,47 +158,78 @@ def memberships(docs: DataFrame, model: DomainModel, keep: list[str]) -> DataFra
     return wide(rows).mapInArrow(each, f"{kinds}, n_tokens long, p array<double>")
 
 
-def mixing_rates(members: DataFrame, domains: tuple[str, ...], weights: dict[str, float],
-                 total: float | None = None, full: str | None = None) -> DataFrame:
-    """Add a column rate to a table with n_tokens and p.
+def fit_rates(members: DataFrame, domains: tuple[str, ...], weights: dict[str, float],
+              total: float | None = None, full: str | None = None, times: float = 1.0) -> list[list[float]]:
+    """The steps of the descent over a table with n_tokens and p: in each, what
+    a domain's posterior takes from the rate.
 
     ``weights``: the share of each domain in the mix (scaled to sum 1).
     ``total``: tokens of the whole mix; by default those that are there.
-    ``full``: instead of a total, the domain to be taken about once.  Domains
-    without any posterior mass are left out of the fit.  Texts without words
-    carry no tokens and get the rate of their posterior like any other.  An
-    empty table gives an empty result.
+    ``full``: instead of a total, a domain of which the mix is to hold
+    ``times`` the tokens that are there.  Domains without any posterior mass
+    are left out of the fit; an empty table needs no steps.
     """
-    cur = stored(members.withColumn("rate", F.lit(1.0)), "members")
-    mass = [F.coalesce(F.sum(F.col("n_tokens") * F.col("p")[i]), F.lit(0.0)) for i in range(len(domains))]
-    held = [float(v) for v in cur.agg(*mass).first()]
+    cur = stored(members.select("n_tokens", "p"), "members")
+    k = len(domains)
+
+    def tokens(rate: Column) -> list[float]:
+        return [float(v) for v in cur.agg(*[
+            F.coalesce(F.sum(rate * F.col("n_tokens") * F.col("p")[i]), F.lit(0.0)) for i in range(k)]).first()]
+
+    held = got = tokens(F.lit(1.0))
     there = sum(weights.values())
     share = [weights.get(d, 0.0) / there for d in domains]
     if full is not None:
-        i = domains.index(full)
-        total = held[i] / share[i]
+        total = times * held[domains.index(full)] / share[domains.index(full)]
     goal = [s * (sum(held) if total is None else total) for s in share]
-    live = [i for i, h in enumerate(held) if h > 0]
-    steps = 0
-    rate = F.col("rate")
-    got = list(held)
-    while steps < MAX_STEPS and any(abs(got[i] - goal[i]) > TOLERANCE * sum(goal) for i in live):
-        move = F.lit(0.0)
-        for i in live:
-            move = move + F.col("p")[i] * F.lit((got[i] - goal[i]) / held[i])
-        rate = F.greatest(F.lit(0.0), rate - move)
-        steps += 1
-        if steps % STORE_EVERY == 0:
-            cur, rate = stored(cur.withColumn("rate", rate), "members"), F.col("rate")
-        last, got = got, [float(v) for v in cur.withColumn("rate", rate).agg(*[
-            F.sum(F.col("rate") * F.col("n_tokens") * F.col("p")[i]) for i in range(len(domains))]).first()]
+    live = [h > 0 for h in held]
+    steps: list[list[float]] = []
+    while len(steps) < MAX_STEPS and any(
+            ok and abs(g - t) > TOLERANCE * sum(goal) for g, t, ok in zip(got, goal, live, strict=True)):
+        steps.append([(g - t) / h if ok else 0.0 for g, t, h, ok in zip(got, goal, held, live, strict=True)])
+        last, got = got, tokens(rate_of(F.col("p"), steps))
         if max(abs(a - b) for a, b in zip(last, got, strict=True)) <= TOLERANCE * sum(goal):
             break  # the targets cannot be met: this is the nearest mix
-    return cur.withColumn("rate", rate)
+    return steps
+
+
+def rate_of(p: Column, steps: list[list[float]]) -> Column:
+    """The rate of a document with posterior p after the steps."""
+    rate = F.lit(1.0)
+    for step in steps:
+        move = sum((p[i] * F.lit(e) for i, e in enumerate(step)), F.lit(0.0))
+        rate = F.greatest(F.lit(0.0), rate - move)
+    return rate
 
 
 def taken(rates: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Add copies: the rate rounded up or down by a hash of the key, so that
-    the expected number of copies is the rate and every run takes the same."""
+    """Add copies to a table with rate: the rate rounded up or down by a hash
+    of the key, so that the expected number of copies is the rate and every run
+    takes the same."""
     u = F.pmod(F.xxhash64(F.lit("mix"), F.col(key)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     return rates.withColumn("copies", F.floor(F.col("rate") + u).cast("int"))
+
+
+def mix(docs: DataFrame, model: DomainModel, weights: dict[str, float], keep: list[str],
+        full: str | None = None, times: float = 1.0) -> DataFrame:
+    """The columns ``keep``, n_tokens, p, rate and copies of every row.
+
+    Null and empty texts carry no tokens; their rate follows from their
+    posterior like any other.  Repeated rows and rows with a null id are rows
+    of their own (equal ids are rounded alike).  An empty table gives an empty
+    result; other columns are ignored.
+    """
+    members = memberships(docs, model, keep)
+    steps = fit_rates(members, model.domains, weights, full=full, times=times)
+    return taken(members.withColumn("rate", rate_of(F.col("p"), steps)))
+
+
+def mixed_documents(docs: DataFrame, model: DomainModel, weights: dict[str, float],
+                    full: str | None = None, times: float = 1.0) -> DataFrame:
+    """The documents of the mix: each row as often as its copies say, all
+    columns as they came."""
+    named = docs.select(*[F.col(c).alias(f"_c{i}") for i, c in enumerate(docs.columns)],
+                        F.col("doc_id").alias("doc_id"), F.col("text").alias("text"))
+    out = mix(named, model, weights, [*[f"_c{i}" for i in range(len(docs.columns))], "doc_id"], full, times)
+    return (out.where("copies > 0").withColumn("_again", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+            .select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(docs.columns)]))

@@ -85,8 +85,7 @@ def op8(spark, sf_dir):
     """Rates at which the documents give a mix of 94 % clean text."""
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     model = mixing.domain_model(docs, labels)
-    rates = mixing.taken(mixing.mixing_rates(
-        mixing.memberships(docs, model, ["doc_id"]), model.domains, MIX))
+    rates = mixing.mix(docs, model, MIX, ["doc_id"])
     return rates.select("doc_id", "n_tokens", *[F.col("p")[i].alias(f"p_{d}") for i, d in enumerate(model.domains)],
                         "rate", "copies")
 
