@@ -30,7 +30,7 @@ from lakeledger.llm.tokens import encoder
 
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 64 << 10
-BATCH = 256
+BATCH = 512
 
 OPTIONS = {
     "parquet.writer.version": "v2",
@@ -40,7 +40,7 @@ OPTIONS = {
     "parquet.block.size": str(ROW_GROUP_BYTES),
     "parquet.page.size": str(PAGE_BYTES),
     "parquet.page.row.count.limit": "2000",
-    "compression": "zstd",
+    "compression": "snappy",
 }
 
 
