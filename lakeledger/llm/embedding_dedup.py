@@ -9,9 +9,12 @@ way between them, and the angle to that plane must not exceed the angle of
 the threshold.  So no link is lost, whatever the clusters look like.
 
 In a cell the vectors at home are compared with all vectors there, in blocks:
-a task holds one block of each and forms one double-precision matrix
-product.  It emits the weighted count of links for each row and a spanning
-forest of the links, never the pairs.  A large cell is more block pairs, so a
+a task holds one block of each.  Vectors are turned to the principal axes of the
+sample; the product of the leading coordinates plus the product of the lengths
+of the rest is an upper bound of the cosine (Cauchy-Schwarz), and the pairs
+whose bound reaches the threshold get their cosine in double precision, by
+whole rows where many do.  A task emits the weighted count of links for each
+row and a spanning forest of the links, never the pairs.  A large cell is more block pairs, so a
 cell with a third of all rows is spread over many tasks.
 """
 
@@ -21,16 +24,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeledger.llm.common import stored
-from lakeledger.llm.components import connected_components, forest
+from lakeledger.llm.components import connected_components, roots
 
 SAMPLE = 16_384      # vectors the centres are fitted on, at most
-CELL = 4096          # distinct vectors a cell should hold
+CELL = 8192          # distinct vectors a cell should hold
 MAX_CELLS = 1024
-BLOCK = 2048         # rows of a block of a cell
+BLOCK = 4096         # rows of a block of a cell
+LEAD = 16            # coordinates of the bound
+MANY = 0.02          # share of pairs from which the whole product is formed
 ROUNDS = 12
 
 
@@ -63,6 +69,37 @@ def cells_of(x: np.ndarray, centers: np.ndarray, threshold: float) -> tuple[np.n
     return row, cell, cell == home[row]
 
 
+def axes(x: np.ndarray) -> np.ndarray:
+    """The leading principal axes of unit rows, as columns."""
+    _, vectors = np.linalg.eigh(x.T @ x)
+    return vectors[:, ::-1][:, :LEAD]
+
+
+def linked(a: np.ndarray, b: np.ndarray, lead: np.ndarray | None, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (row of a, row of b) of unit rows with a cosine of at least
+    ``threshold``."""
+    if lead is not None:
+        short = []
+        for x in (a, b):
+            y = x @ lead
+            rest = np.sqrt(np.maximum(0, 1 - np.einsum("nd,nd->n", y, y)))
+            short.append(np.c_[y, rest].astype(np.float32))
+        i, j = np.nonzero(short[0] @ short[1].T >= threshold - 1e-4)
+        if len(i) <= MANY * len(a) * len(b):
+            keep = [np.einsum("nd,nd->n", a[i[s:s + 65536]], b[j[s:s + 65536]]) >= threshold
+                    for s in range(0, len(i), 65536)]
+            keep = np.concatenate(keep) if keep else np.zeros(0, bool)
+            return i[keep], j[keep]
+    return np.nonzero(a @ b.T >= threshold)
+
+
+def _rows(column) -> np.ndarray:
+    """The unit rows of an Arrow list column."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return unit_rows(flat.reshape(len(column), -1))
+
+
 def _matrix(column: pd.Series) -> np.ndarray:
     return np.array(column.tolist(), np.float64)
 
@@ -100,12 +137,14 @@ def embedding_groups(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
     sample = [r[0] for r in once.where(F.col("dim") == main).orderBy(F.xxhash64("node")).limit(SAMPLE)
               .select("embedding").collect()]
     k = max(1, min(MAX_CELLS, count // CELL, len(sample)))
-    centers = spherical_kmeans(unit_rows(np.array(sample, np.float64)), k) if k > 1 else None
+    sample = unit_rows(np.array(sample, np.float64).reshape(len(sample), -1))
+    centers = spherical_kmeans(sample, k) if k > 1 else None
+    lead = axes(sample) if main > 2 * LEAD else None
     del sample
-    fit = once.sparkSession.sparkContext.broadcast((centers, main))
+    fit = once.sparkSession.sparkContext.broadcast((centers, main, lead))
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        centers, main = fit.value
+        centers, main, _ = fit.value
         for b in batches:
             dim = b["dim"].to_numpy()
             # vectors of other lengths than the main one: one cell a length
@@ -138,21 +177,29 @@ def embedding_groups(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
                                      F.pmod("spot", "n_h").cast("int").alias("hb"))
     dealt = rows.unionByName(columns).join(once.select("node", "embedding", "n"), "node")
 
-    def product(pdf: pd.DataFrame) -> pd.DataFrame:
-        a, b = pdf[pdf.is_row], pdf[~pdf.is_row]
-        if not len(a) or not len(b):
-            return pd.DataFrame({"node": [], "links": [], "u": [], "v": []})
-        link = unit_rows(_matrix(a.embedding)) @ unit_rows(_matrix(b.embedding)).T >= threshold
-        an, bn = a.node.to_numpy(), b.node.to_numpy()
-        link &= an[:, None] != bn[None]
-        count = link @ b.n.to_numpy()
-        i, j = np.nonzero(link)
-        u, v = forest(an[i], bn[j])
+    def product(table: pa.Table) -> pa.Table:
+        _, main, lead = fit.value
+        is_row = table.column("is_row").to_numpy()
+        parts = [table.filter(pa.array(m)) for m in (is_row, ~is_row)]
+        if not len(parts[0]) or not len(parts[1]):
+            return schema.empty_table()
+        a, b = (_rows(p.column("embedding")) for p in parts)
+        i, j = linked(a, b, lead if a.shape[1] == main else None, threshold)
+        an, bn = (p.column("node").to_numpy() for p in parts)
+        other = an[i] != bn[j]
+        i, j = i[other], j[other]
+        count = np.bincount(i, weights=parts[1].column("n").to_numpy()[j], minlength=len(an)).astype(np.int64)
+        codes, names = pd.factorize(np.concatenate([an, bn]))
+        low = roots(codes[:len(an)][i], codes[len(an):][j], len(names))
+        tree = np.flatnonzero(low != np.arange(len(names)))
         hit = np.flatnonzero(count)
-        return pd.concat([pd.DataFrame({"node": an[hit], "links": count[hit], "u": None, "v": None}),
-                          pd.DataFrame({"node": None, "links": 0, "u": u, "v": v})])
+        return pa.Table.from_arrays(
+            [pa.array([*an[hit], *[None] * len(tree)], pa.string()), pa.array([*count[hit], *[0] * len(tree)], pa.int64()),
+             pa.array([*[None] * len(hit), *names[tree]], pa.string()),
+             pa.array([*[None] * len(hit), *names[low[tree]]], pa.string())], schema=schema)
 
-    found = stored(dealt.groupBy("cell", "hb", "mb").applyInPandas(
+    schema = pa.schema([("node", pa.string()), ("links", pa.int64()), ("u", pa.string()), ("v", pa.string())])
+    found = stored(dealt.groupBy("cell", "hb", "mb").applyInArrow(
         product, "node string, links long, u string, v string"), "links")
     links = found.where("node is not null").groupBy("node").agg(F.sum("links").alias("links"))
     comp = connected_components(found.where("u is not null").select("u", "v"))
