@@ -33,7 +33,11 @@ def readiness(feed: DataFrame, month: str, feed_type: int = C.READINESS_FEED_TYP
               required: list[str] | None = None) -> DataFrame:
     """The dispatch gate for one target month over a readiness feed
     (feed_type, feed_month, code); the filter and projection reach the
-    source scan (Parquet ``PushedFilters`` or a JDBC WHERE clause)."""
+    source scan (Parquet ``PushedFilters`` or a JDBC WHERE clause).  Always
+    one row; without a requirement the month is ready."""
+    target = feed.sparkSession.range(1).select(F.lit(month).alias("month"))
     rows = (feed.where((F.col("feed_type") == feed_type) & (F.col("feed_month") == month))
                 .select(F.lit(month).alias("month"), "code"))
-    return coverage(rows, ["month"], "code", required or C.REQUIRED_FEEDS)
+    # a month without any feed row misses all codes
+    return coverage(target.join(rows, "month", "left"), ["month"], "code",
+                    C.REQUIRED_FEEDS if required is None else required)

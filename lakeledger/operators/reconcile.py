@@ -30,43 +30,74 @@ def verdict_col(n_local: Column, n_lake: Column) -> Column:
              .otherwise("MISMATCH"))
 
 
-def reconcile_units(local: DataFrame, lake_side: DataFrame) -> DataFrame:
-    """Unit grain, full outer: expected units and unexpected lake units.
+def reconcile_units(local: DataFrame, lake_side: DataFrame, expected: DataFrame | None = None) -> DataFrame:
+    """Unit grain, full outer: expected units, source units and lake units.
 
-    ``local``: (table_name, month, server, n_local).
-    ``lake_side``: present units (table_name, month, server, n_lake), e.g.
-    :func:`lake.lake_units`; an absent unit is simply missing there.
+    ``local``: (table_name, month, server, n_local) and, where a source could
+    not be counted, local_status ERROR with n_local NULL.
+    ``lake_side``: present units with n_lake and lake_status (OK, ERROR or
+    NO_FILES), e.g. :func:`lake.lake_units`; an absent unit is missing there.
+    ``expected``: planned units (table_name, month, server), so that one that
+    is absent on both sides still has a row.  By default those of ``local``.
+
+    ``unit_status``: UNEXPECTED for a unit that nobody planned, else OK.
     """
-    j = (local.select(*UNIT_KEYS, "n_local", F.lit(True).alias("_in_local"))
-         .join(lake_side.select(*UNIT_KEYS, "n_lake", F.lit(True).alias("_in_lake")),
-               UNIT_KEYS, "full_outer"))
+    side = lambda df, c: F.col(c) if c in df.columns else F.lit("OK").alias(c)
+    left = local.select(*UNIT_KEYS, "n_local", side(local, "local_status"))
+    right = lake_side.select(*UNIT_KEYS, "n_lake", side(lake_side, "lake_status"))
+    plan = (local if expected is None else expected).select(*UNIT_KEYS, F.lit(True).alias("_planned"))
+    j = left.join(right, UNIT_KEYS, "full_outer").join(plan.distinct(), UNIT_KEYS, "full_outer")
     return j.select(
         *UNIT_KEYS, "n_local", "n_lake",
-        F.when(F.col("_in_lake").isNull(), "NO_FILES").otherwise("OK").alias("lake_status"),
-        F.when(F.col("_in_local").isNull(), "UNEXPECTED").otherwise("OK").alias("local_status"),
+        F.coalesce("lake_status", F.lit("NO_FILES")).alias("lake_status"),
+        F.coalesce("local_status", F.lit("NO_ROWS")).alias("local_status"),
+        F.when(F.col("_planned").isNull(), "UNEXPECTED").otherwise("OK").alias("unit_status"),
     )
 
 
+def _sides(units: DataFrame, keys: list[Column | str], rollup: bool = False) -> DataFrame:
+    """Totals of both sides by ``keys``.  A side's total is NULL when one of its
+    units cannot be counted, or when none of them exists."""
+    def total(n: str, status: str) -> Column:
+        return F.when(F.count_if(F.col(status) == "ERROR") == 0, F.sum(n)).cast("long").alias(n)
+
+    grouped = units.rollup(*keys) if rollup else units.groupBy(*keys)
+    extra = [F.grouping_id().cast("int").alias("grain")] if rollup else []
+    return grouped.agg(
+        *extra, total("n_local", "local_status"), total("n_lake", "lake_status"),
+        F.count(F.lit(1)).cast("long").alias("n_units"),
+        F.count_if(F.col("lake_status") == "NO_FILES").cast("long").alias("n_units_missing"),
+        F.count_if(F.col("lake_status") == "ERROR").cast("long").alias("n_units_error"),
+        F.count_if(F.col("unit_status") == "UNEXPECTED").cast("long").alias("n_units_unexpected"))
+
+
+def _lake_label() -> Column:
+    return (F.when(F.col("n_units_error") > 0, "ERROR").when(F.col("n_lake").isNull(), "NO_FILES").otherwise("OK")
+            .alias("lake_status"))
+
+
 def reconcile_at(units: DataFrame, keys: list[str]) -> DataFrame:
     """Roll unit-grain rows up to ``keys`` and classify.
 
-    A side's total is NULL when none of its units exist at this grain
-    (``sum`` skips NULLs, and is NULL over an all-NULL group), so a table
-    with no lake files reads NO_FILES while a present file with zero rows
-    reads 0.
+    A side's total is NULL when none of its units exist at this grain, so a
+    table with no lake files reads NO_FILES while a present unit with zero rows
+    reads 0, and NULL with lake_status ERROR when a unit cannot be read.
     """
-    g = units.groupBy(*keys).agg(
-        F.sum("n_local").cast("long").alias("n_local"),
-        F.sum("n_lake").cast("long").alias("n_lake"),
-        F.count(F.lit(1)).cast("long").alias("n_units"),
-        F.count_if(F.col("lake_status") == "NO_FILES").cast("long").alias("n_units_missing"),
+    return _sides(units, keys).select(
+        *keys, "n_local", "n_lake",
+        diff_col(F.col("n_local"), F.col("n_lake")).alias("diff"),
+        verdict_col(F.col("n_local"), F.col("n_lake")).alias("verdict"),
+        _lake_label(), "n_units", "n_units_missing",
     )
-    return g.select(
+
+
+def reconcile_status(units: DataFrame, keys: list[str]) -> DataFrame:
+    """:func:`reconcile_at` with the counts of unreadable and unexpected units."""
+    return _sides(units, keys).select(
         *keys, "n_local", "n_lake",
         diff_col(F.col("n_local"), F.col("n_lake")).alias("diff"),
         verdict_col(F.col("n_local"), F.col("n_lake")).alias("verdict"),
-        F.when(F.col("n_lake").isNull(), "NO_FILES").otherwise("OK").alias("lake_status"),
-        "n_units", "n_units_missing",
+        _lake_label(), "n_units", "n_units_missing", "n_units_error", "n_units_unexpected",
     )
 
 
@@ -74,18 +105,12 @@ def reconcile_rollup(units: DataFrame, keys: list[str]) -> DataFrame:
     """Every prefix grain of ``keys`` in one aggregate (``rollup``).
 
     ``grain`` is ``grouping_id()``: 0 for the finest grain, one bit per
-    rolled-up key.  Absent units add nothing to ``n_lake`` and are counted
-    in ``n_units_missing``.
+    rolled-up key.  A side that does not exist at a grain is NULL there, never
+    0, and so is its difference.
     """
-    g = units.rollup(*keys).agg(
-        F.grouping_id().cast("int").alias("grain"),
-        F.sum("n_local").cast("long").alias("n_local"),
-        F.coalesce(F.sum("n_lake"), F.lit(0)).cast("long").alias("n_lake"),
-        F.count_if(F.col("lake_status") == "NO_FILES").cast("long").alias("n_units_missing"),
-    )
-    return g.select(*keys, "grain", "n_local", "n_lake",
-                    diff_col(F.col("n_local"), F.col("n_lake")).alias("diff"),
-                    "n_units_missing")
+    return _sides(units, keys, rollup=True).select(
+        *keys, "grain", "n_local", "n_lake", diff_col(F.col("n_local"), F.col("n_lake")).alias("diff"),
+        "n_units_missing")
 
 
 def report_line(verdict: Column, table: Column, n_local: Column, n_lake: Column,

@@ -177,8 +177,8 @@ def reconcile_by_table(spark, sf_dir):
 
 @register("reconcile_rollup", f"""
 SELECT table_name, server, grouping(table_name, server)::INTEGER AS grain,
-       sum(n_local)::BIGINT AS n_local, coalesce(sum(n_lake), 0)::BIGINT AS n_lake,
-       (coalesce(sum(n_lake), 0) - sum(n_local))::BIGINT AS diff,
+       sum(n_local)::BIGINT AS n_local, sum(n_lake)::BIGINT AS n_lake,
+       (sum(n_lake) - sum(n_local))::BIGINT AS diff,
        count(*) FILTER (WHERE n_lake IS NULL)::BIGINT AS n_units_missing
 FROM {_drift_units_sql(BOTH)}
 GROUP BY ROLLUP (table_name, server)
@@ -205,6 +205,89 @@ def reconcile_summary(spark, sf_dir):
     return reconcile.reconcile_summary(by_table, ["month"])
 
 
+# --------------------------------------------------------------------------
+# NULL keys, unreadable and unexpected units
+# --------------------------------------------------------------------------
+
+NULL_DATE_MOD, NULL_KEY_MOD = 11, 13
+
+
+@register("export_null_keys", f"""
+WITH o AS (SELECT CASE WHEN o_custkey % {NULL_KEY_MOD} = 0 THEN NULL ELSE o_orderkey END AS k,
+                  CASE WHEN o_custkey % {NULL_DATE_MOD} = 0 THEN NULL ELSE o_orderdate END AS d FROM orders)
+SELECT 'orders' AS table_name, coalesce({O.month_sql('d')}, '{export.NO_KEY}') AS month,
+       coalesce({O.shard_sql('k')}, '{export.NO_KEY}') AS server, count(*)::BIGINT AS n_local,
+       count(*)::BIGINT AS n_lake, 'complete' AS status
+FROM o GROUP BY ALL
+""")
+def export_null_keys(spark, sf_dir):
+    """Export of orders with dates and shard keys that are NULL by a fixed
+    rule, and with a map column: no row is lost, and the units of rows without
+    a key have a verdict."""
+    orders = S.read_source(spark, sf_dir, "orders")
+    null = lambda c, mod: F.when(F.col("o_custkey") % mod != 0, F.col(c))
+    df = orders.withColumns({"o_orderkey": null("o_orderkey", NULL_KEY_MOD),
+                             "o_orderdate": null("o_orderdate", NULL_DATE_MOD),
+                             "month": F.create_map("o_orderstatus", "o_orderpriority")})
+    return export.export_table(spark, df, S.SOURCES["orders"], new_run_dir(spark, "lake"))
+
+
+def _fault_units_sql():
+    """Drifted lineitem with two more faults: shard 2 cannot be read, and the
+    lake has a shard that nobody planned."""
+    n_lake = (f"CASE WHEN server = '{S.shard_name(S.CORRUPT_SHARD)}' THEN NULL ELSE ({O.lake_b_sql()}) END")
+    return (f"(SELECT table_name, month, server, n_local, {n_lake} AS n_lake, "
+            f"CASE WHEN server = '{S.shard_name(S.CORRUPT_SHARD)}' THEN 'ERROR' WHEN ({n_lake}) IS NULL "
+            f"THEN 'NO_FILES' ELSE 'OK' END AS lake_status, 'OK' AS unit_status FROM ({O.all_units_sql(['lineitem'])}) "
+            f"UNION ALL SELECT table_name, month, '{S.STRAY_SERVER}', NULL, n_local, 'OK', 'UNEXPECTED' "
+            f"FROM ({O.all_units_sql(['lineitem'])}) WHERE server = '{S.shard_name(1)}')")
+
+
+@register("reconcile_status", f"""
+WITH g AS (SELECT table_name, server, sum(n_local)::BIGINT AS n_local,
+       CASE WHEN count(*) FILTER (WHERE lake_status = 'ERROR') = 0 THEN sum(n_lake)::BIGINT END AS n_lake,
+       count(*)::BIGINT AS n_units, count(*) FILTER (WHERE lake_status = 'NO_FILES')::BIGINT AS n_units_missing,
+       count(*) FILTER (WHERE lake_status = 'ERROR')::BIGINT AS n_units_error,
+       count(*) FILTER (WHERE unit_status = 'UNEXPECTED')::BIGINT AS n_units_unexpected
+FROM {_fault_units_sql()} GROUP BY table_name, server)
+SELECT table_name, server, n_local, n_lake, (n_lake - n_local)::BIGINT AS diff,
+       {O.verdict_sql('n_local', 'n_lake')} AS verdict,
+       CASE WHEN n_units_error > 0 THEN 'ERROR' WHEN n_lake IS NULL THEN 'NO_FILES' ELSE 'OK' END AS lake_status,
+       n_units, n_units_missing, n_units_error, n_units_unexpected FROM g
+""")
+def reconcile_status(spark, sf_dir):
+    """Per shard, with a corrupt, an absent, a doubled, an empty and an
+    unexpected shard: one file that cannot be read marks its unit only."""
+    root = new_run_dir(spark, "lake")
+    S.build_lake(spark, sf_dir, root, ["lineitem"], export_fault=True, drift=True)
+    S.corrupt_and_stray(spark, sf_dir, root)
+    local = S.local_counts(spark, sf_dir, ["lineitem"])
+    units = reconcile.reconcile_units(local, lake.lake_units(spark, root, ["lineitem"]))
+    return reconcile.reconcile_status(units, ["table_name", "server"])
+
+
+@register("export_fault_kept", f"""
+WITH u AS ({O.all_units_sql(['lineitem'])})
+SELECT table_name, month, server, n_local::BIGINT AS n_local, n_local::BIGINT AS n_readable,
+       CASE WHEN n_kept = n_local THEN 'complete' ELSE 'failed' END AS status
+FROM u
+""")
+def export_fault_kept(spark, sf_dir):
+    """A good export, then a forced second one whose writer loses rows of
+    shard 5: its bad units fail, and readers still see the good ones."""
+    root, src = new_run_dir(spark, "lake"), S.SOURCES["lineitem"]
+    df = S.read_source(spark, sf_dir, "lineitem")
+    export.write_and_publish(spark, df, src, root)
+    planned = export.source_counts(df, src)
+
+    def faulty(data, source, where, **options):
+        return export.write_units(S.export_time_fault(data, source), source, where, **options)
+
+    verdict = export.export_again(spark, df, src, root, planned, writer=faulty)
+    now = lake.lake_units(spark, root, ["lineitem"]).select(*UNIT_COLS, F.col("n_lake").alias("n_readable"))
+    return verdict.join(now, UNIT_COLS, "left").select(*UNIT_COLS, "n_local", "n_readable", "status")
+
+
 # Run-log, ledger and finalize queries register themselves on import.
 from lakeledger.plans import runlog_queries as _runlog_queries  # noqa: E402,F401
 from lakeledger.plans import finalize_queries as _finalize_queries  # noqa: E402,F401

@@ -10,7 +10,9 @@ cluster without it is an error.
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -20,6 +22,9 @@ REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     # lake partition values (month=199501, server=srv-001) stay strings
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # a lake has a folder for each unit: list them in this many tasks, not in
+    # one task a folder
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "32",
 }
 
 # Settings for throughput; a cluster deployment may override any of them.
@@ -58,6 +63,33 @@ def apply_required_conf(spark: SparkSession) -> None:
         spark.conf.set(k, v)
 
 
+_SCOPED: dict[str, tuple[int, str | None]] = {}
+_LOCK = threading.Lock()
+
+
+@contextmanager
+def conf_scope(spark: SparkSession, values: dict[str, str]):
+    """Session settings for the actions inside the block.  Blocks of several
+    threads may overlap if they set the same values: the last one restores."""
+    with _LOCK:
+        for k, v in values.items():
+            n, old = _SCOPED.get(k, (0, None))
+            _SCOPED[k] = (n + 1, old if n else spark.conf.get(k, None))
+            spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        with _LOCK:
+            for k in values:
+                n, old = _SCOPED.pop(k)
+                if n > 1:
+                    _SCOPED[k] = (n - 1, old)
+                elif old is None:
+                    spark.conf.unset(k)
+                else:
+                    spark.conf.set(k, old)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder: ``spark.checkpoint.dir`` if set.
 

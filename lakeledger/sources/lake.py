@@ -1,33 +1,48 @@
-"""The Parquet lake: layout, inventory, and counts read back from it.
-
-Layout: ``{root}/{table}/month=YYYYMM/server=srv-NNN/part-*.parquet``.  The
-year bucket of the original layout is ``substring(month, 1, 4)`` and is not a
-directory level: partition pruning on ``month`` already selects the year.
-Several files per unit are allowed; readers never assume one file per shard.
+"""The Parquet lake: attempts, a manifest of published units, and counts.
+
+Layout: ``{root}/{table}/attempt=A/unit_month=YYYYMM/unit_server=srv-NNN/part-*.parquet``
+and ``{root}/{table}/_manifest/part-*.parquet``.
+
+A write goes to an attempt folder of its own, which no reader sees.  A unit is
+published by a manifest row that names its attempt, added after its rows were
+counted.  Readers take, for each unit, the last attempt in the manifest.  So
+an attempt that fails or loses rows leaves the earlier good copy readable,
+nothing is renamed or overwritten, and a unit can be present with zero rows
+and no file.  The year bucket of the original layout is
+``substring(month, 1, 4)`` and is not a directory level.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeledger.session import conf_scope, new_run_dir
+
 UNIT_KEYS = ["table_name", "month", "server"]
+#: partition columns of a lake table; a source may not have columns of these names
+PARTITION_COLS = ["unit_month", "unit_server"]
 
-INVENTORY_SCHEMA = T.StructType([
-    T.StructField("table_name", T.StringType()),
+MANIFEST_SCHEMA = T.StructType([
     T.StructField("month", T.StringType()),
     T.StructField("server", T.StringType()),
+    T.StructField("attempt", T.StringType()),
+    T.StructField("n_rows", T.LongType()),
     T.StructField("n_files", T.LongType()),
-    T.StructField("n_bytes", T.LongType()),
 ])
-
-LAKE_COUNT_SCHEMA = T.StructType([
+KEY_SCHEMA = "attempt string, unit_month string, unit_server string"
+UNIT_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),
     T.StructField("month", T.StringType()),
     T.StructField("server", T.StringType()),
+    T.StructField("n_files", T.LongType()),
+    T.StructField("n_bytes", T.LongType()),
     T.StructField("n_lake", T.LongType()),
+    T.StructField("lake_status", T.StringType()),
 ])
 
 
@@ -35,98 +50,163 @@ def table_path(root: str, table_name: str) -> str:
     return f"{root.rstrip('/')}/{table_name}"
 
 
-def unit_path(root: str, table_name: str, month: str, server: str) -> str:
-    return f"{table_path(root, table_name)}/month={month}/server={server}"
-
-
-def _is_missing(exc: AnalysisException) -> bool:
-    cond = (exc.getCondition() or "") if hasattr(exc, "getCondition") else ""
-    text = f"{cond} {exc}"
-    return any(s in text for s in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA",
-                                   "Path does not exist", "Unable to infer schema"))
+def manifest_path(root: str, table_name: str) -> str:
+    return f"{table_path(root, table_name)}/_manifest"
 
 
-def inventory(spark: SparkSession, root: str) -> DataFrame:
-    """Which units exist: one row per (table, month, server) with files.
+def attempt_path(root: str, table_name: str, attempt: str) -> str:
+    return f"{table_path(root, table_name)}/attempt={attempt}"
+
+
+def new_attempt() -> str:
+    """A name that sorts after those of earlier attempts."""
+    return f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def publish(spark: SparkSession, root: str, table_name: str, units: DataFrame) -> None:
+    """Add manifest rows: (month, server, attempt, n_rows, n_files)."""
+    (units.select(*[f.name for f in MANIFEST_SCHEMA.fields])
+     .write.mode("append").parquet(manifest_path(root, table_name)))
+
+
+def manifest(spark: SparkSession, root: str, table_name: str) -> DataFrame:
+    """The current attempt of every published unit."""
+    path = manifest_path(root, table_name)
+    if not exists(spark, path):
+        return spark.createDataFrame([], MANIFEST_SCHEMA)
+    rows = spark.read.schema(MANIFEST_SCHEMA).parquet(path)
+    return (rows.groupBy("month", "server")
+            .agg(F.max(F.struct("attempt", "n_rows", "n_files")).alias("m"))
+            .select("month", "server", "m.*"))
+
+
+def current_attempts(spark: SparkSession, root: str, table_name: str) -> list[str]:
+    """Attempts that some unit is current in: one name for each write that is
+    still in use, which is what the driver needs to list their folders."""
+    return sorted(r[0] for r in manifest(spark, root, table_name).select("attempt").distinct().collect()
+                  if exists(spark, attempt_path(root, table_name, r[0])))
+
+
+def files(spark: SparkSession, root: str, table_name: str, attempts: list[str],
+          content: bool = False) -> DataFrame | None:
+    """(attempt, month, server, path, length) of the Parquet files of the given
+    attempts; other tables are not listed and no file is read.  Keys are the
+    unescaped partition values.  None without attempts."""
+    if not attempts:
+        return None
+    found = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+             .option("basePath", table_path(root, table_name))
+             .load([attempt_path(root, table_name, a) for a in attempts]))
+    if not set(PARTITION_COLS) <= set(found.columns):  # folders without any unit
+        return None
+    return found.select("attempt", F.col("unit_month").alias("month"), F.col("unit_server").alias("server"),
+                        "path", "length")
+
+
+def inventory(spark: SparkSession, root: str, table_name: str, attempts: list[str] | None = None) -> DataFrame | None:
+    """Files and bytes by (attempt, month, server)."""
+    found = files(spark, root, table_name,
+                  current_attempts(spark, root, table_name) if attempts is None else attempts)
+    return None if found is None else found.groupBy("attempt", "month", "server").agg(
+        F.count("*").alias("n_files"), F.sum("length").alias("n_bytes"))
+
+
+def _parquet_v2(spark: SparkSession, load):
+    """Load with the Parquet source that counts from footers: its scan takes
+    ``count(*)`` by partition columns, so no page is read."""
+    key = "spark.sql.sources.useV1SourceList"
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")  # looked up when the count is planned
+    with conf_scope(spark, {key: ",".join(x for x in spark.conf.get(key).split(",") if x.strip() != "parquet")}):
+        return load()
+
+
+def lake_counts(spark: SparkSession, root: str, table_name: str, attempts: list[str]) -> DataFrame | None:
+    """Rows by (attempt, month, server), from the footers.  Files that cannot
+    be read add nothing (``lake_units`` tells them from missing rows)."""
+    if not attempts:
+        return None
+    rows = _parquet_v2(spark, lambda: (
+        spark.read.schema(KEY_SCHEMA).option("basePath", table_path(root, table_name))
+        .option("pathGlobFilter", "*.parquet").option("ignoreCorruptFiles", "true")
+        .parquet(*[attempt_path(root, table_name, a) for a in attempts])))
+    return (rows.groupBy("attempt", F.col("unit_month").alias("month"), F.col("unit_server").alias("server"))
+            .agg(F.count(F.lit(1)).cast("long").alias("n_lake")))
+
+
+def _unreadable(spark: SparkSession, suspects: DataFrame, root: str, table_name: str) -> DataFrame:
+    """Units of ``suspects`` (attempt, month, server: their count differs from
+    the published one) with a file that does not end like Parquet."""
+    attempts = sorted(r[0] for r in suspects.select("attempt").distinct().collect())
+    found = files(spark, root, table_name, attempts)
+    paths = [r[0] for r in found.join(suspects, ["attempt", "month", "server"], "left_semi").select("path").collect()]
+    if not paths:
+        return suspects.limit(0)
+    read = (spark.read.format("binaryFile").option("basePath", table_path(root, table_name)).load(paths)
+            .where(F.coalesce(F.expr("right(content, 4)"), F.lit(b"")) != F.lit(b"PAR1")))
+    return read.select("attempt", F.col("unit_month").alias("month"), F.col("unit_server").alias("server")).distinct()
+
+
+def attempt_units(spark: SparkSession, root: str, table_name: str, attempts: list[str]) -> DataFrame:
+    """(attempt, month, server, n_files, n_bytes, n_lake) of what the attempts
+    hold, published or not."""
+    inv = inventory(spark, root, table_name, attempts)
+    if inv is None:
+        return spark.createDataFrame(
+            [], "attempt string, month string, server string, n_files long, n_bytes long, n_lake long")
+    counts = lake_counts(spark, root, table_name, attempts)
+    return (inv.join(counts, ["attempt", "month", "server"], "left")
+            .select("attempt", "month", "server", "n_files", "n_bytes",
+                    F.coalesce("n_lake", F.lit(0).cast("long")).alias("n_lake")))
 
-    Lists ``*.parquet`` objects with the ``binaryFile`` source; only path and
-    length are selected, so column pruning keeps ``content`` out of the scan
-    and no file bytes are read.  Listing is distributed by Spark once the
-    number of paths passes ``parallelPartitionDiscovery.threshold``.
-    Keys come from an exact match on the path, never a prefix (a
-    ``x.parquet.tmp`` object is not a unit).
-    """
-    try:
-        files = (spark.read.format("binaryFile")
-                 .option("recursiveFileLookup", "true")
-                 .option("pathGlobFilter", "*.parquet")
-                 .load(root)
-                 .select("path", "length"))
-    except AnalysisException as exc:
-        if _is_missing(exc):
-            return spark.createDataFrame([], INVENTORY_SCHEMA)
-        raise
-    pattern = r"/([^/]+)/month=([^/]+)/server=([^/]+)/[^/]+\.parquet$"
-    keyed = files.select(
-        F.regexp_extract("path", pattern, 1).alias("table_name"),
-        F.regexp_extract("path", pattern, 2).alias("month"),
-        F.regexp_extract("path", pattern, 3).alias("server"),
-        F.col("length"),
-    ).where(F.col("table_name") != "")
-    return (keyed.groupBy(*UNIT_KEYS)
-            .agg(F.count(F.lit(1)).cast("long").alias("n_files"),
-                 F.sum("length").cast("long").alias("n_bytes")))
 
+def lake_units(spark: SparkSession, root: str, tables: list[str]) -> DataFrame:
+    """Every published unit of the tables with its row count and status.
 
-def read_table(spark: SparkSession, root: str, table_name: str) -> DataFrame | None:
-    """Cross-shard scan of one lake table; ``None`` when it has no files."""
-    try:
-        df = (spark.read.option("basePath", table_path(root, table_name))
-              .parquet(table_path(root, table_name)))
-    except AnalysisException as exc:
-        if _is_missing(exc):
-            return None
-        raise
-    return (df.withColumn("month", F.col("month").cast("string"))
-              .withColumn("server", F.col("server").cast("string")))
-
-
-def lake_counts(spark: SparkSession, root: str, tables: list[str]) -> DataFrame:
-    """Rows per unit in the lake, one grouped pass per table.
-
-    Only partition columns are referenced, so the Parquet scan's ReadSchema
-    is empty: row counts come from row-group metadata, no column pages are
-    decoded.  Partial aggregation runs before the shuffle, so a unit holding
-    a third of all rows still sends one row per task.  Units present with
-    zero rows do not appear here; join with :func:`inventory` for them.
+    ``lake_status``: OK; ERROR when a file cannot be read (n_lake is NULL, and
+    the other units go on); NO_FILES when its files are gone (n_lake NULL).  A
+    unit published without files has zero rows.  A unit that was never
+    published has no row; the caller's outer join turns that into NO_FILES.
     """
-    parts = []
+    out = None
     for name in tables:
-        df = read_table(spark, root, name)
-        if df is None:
-            continue
-        parts.append(df.groupBy("month", "server")
-                     .agg(F.count(F.lit(1)).cast("long").alias("n_lake"))
-                     .select(F.lit(name).alias("table_name"), "month", "server", "n_lake"))
-    if not parts:
-        return spark.createDataFrame([], LAKE_COUNT_SCHEMA)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        now = manifest(spark, root, name)
+        held = attempt_units(spark, root, name, current_attempts(spark, root, name))
+        j = now.select("month", "server", "attempt", "n_rows", F.col("n_files").alias("n_published")).join(
+            held, ["attempt", "month", "server"], "left")
+        n_lake = F.when(F.col("n_published") == 0, F.coalesce("n_lake", F.lit(0))).otherwise(F.col("n_lake"))
+        path = new_run_dir(spark, "units") + "/t"
+        # one small row a unit, stored: the snapshot that all counts are taken against
+        j.withColumn("n_lake", n_lake.cast("long")).write.parquet(path)
+        j = spark.read.parquet(path)
+        suspects = j.where("n_files > 0 and n_lake <> n_rows").select("attempt", "month", "server")
+        status = F.when(F.col("n_lake").isNull(), "NO_FILES").otherwise("OK")
+        if not suspects.isEmpty():
+            bad = _unreadable(spark, suspects, root, name).withColumn("bad", F.lit(True))
+            j = j.join(bad, ["attempt", "month", "server"], "left")
+            status = F.when(F.col("bad"), "ERROR").otherwise(status)
+        one = j.select(F.lit(name).alias("table_name"), "month", "server",
+                       F.coalesce("n_files", F.lit(0)).cast("long").alias("n_files"),
+                       F.coalesce("n_bytes", F.lit(0)).cast("long").alias("n_bytes"),
+                       F.when(status != "ERROR", F.col("n_lake")).alias("n_lake"), status.alias("lake_status"))
+        out = one if out is None else out.unionByName(one)
+    return out if out is not None else spark.createDataFrame([], UNIT_SCHEMA)
 
 
-def lake_units(spark: SparkSession, root: str, tables: list[str]) -> DataFrame:
-    """Inventory joined with counts: every present unit with its row count.
-
-    A unit with files but no rows gets ``n_lake = 0``; an absent unit has no
-    row (the caller's outer join turns that into NO_FILES).
-    """
-    # The listing is one small row per unit; checkpointing it (to the shared
-    # checkpoint folder) fixes the snapshot the counts are taken against and
-    # keeps dynamic partition pruning from listing the lake again.
-    inv = inventory(spark, root).where(F.col("table_name").isin(tables)).checkpoint()
-    counts = lake_counts(spark, root, tables)
-    return (inv.join(counts, UNIT_KEYS, "left")
-            .select(*UNIT_KEYS, "n_files", "n_bytes",
-                    F.coalesce("n_lake", F.lit(0).cast("long")).alias("n_lake")))
+def read_table(spark: SparkSession, root: str, table_name: str) -> DataFrame | None:
+    """Cross-shard scan of the published units of a table, with unit_month and
+    unit_server; None when nothing is published.  A predicate on these two
+    prunes folders."""
+    attempts = current_attempts(spark, root, table_name)
+    if not attempts or files(spark, root, table_name, attempts) is None:
+        return None
+    rows = (spark.read.option("basePath", table_path(root, table_name))
+            .parquet(*[attempt_path(root, table_name, a) for a in attempts]))
+    now = manifest(spark, root, table_name).select(
+        "attempt", F.col("month").alias("unit_month"), F.col("server").alias("unit_server"))
+    data = [c for c in rows.columns if c not in ("attempt", *PARTITION_COLS)]
+    return rows.join(now, ["attempt", *PARTITION_COLS], "left_semi").select(*data, *PARTITION_COLS)

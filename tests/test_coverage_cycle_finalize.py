@@ -24,7 +24,10 @@ def test_readiness_feed_filter(spark):
                                  + [(18, "202402", "US_D")],
                                  "feed_type int, feed_month string, code string")
     assert COV.readiness(feed, "202401").first().ready
-    assert not COV.readiness(feed, "202402").collect()   # no rows of type 19 for that month
+    # no rows of type 19 for that month: every code is missing
+    got = COV.readiness(feed, "202402").first()
+    assert not got.ready and got.n_missing == 4 and got.missing == "INTL_D,INTL_M,US_D,US_M"
+    assert COV.readiness(feed, "202402", required=[]).first().ready
 
 
 def _tasks(spark, rows):

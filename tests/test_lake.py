@@ -14,25 +14,76 @@ def test_export_roundtrip_incremental_and_edges(spark):
     root = tempfile.mkdtemp(prefix="lakeledger-test-lake-")
     src = S.SOURCES["orders"]
     orders = S.read_source(spark, SF, "orders")
-    v = export.export_table(spark, orders, src, root, rows_per_file=50)
+    v = export.export_table(spark, orders, src, root)
     assert v.where(F.col("status") != "complete").count() == 0
     # round trip: the lake holds exactly the source rows
-    back = lake.read_table(spark, root, "orders").drop("month", "server")
+    back = lake.read_table(spark, root, "orders").drop(*lake.PARTITION_COLS)
     assert orders.exceptAll(back).count() == 0 and back.exceptAll(orders).count() == 0
-    # file size rule: units above rows_per_file are split
-    inv = lake.inventory(spark, root)
-    big = (export.source_counts(orders, src).where(F.col("n_local") > 50)
-           .join(inv, lake.UNIT_KEYS).where(F.col("n_files") < F.ceil(F.col("n_local") / 50)))
-    assert big.count() == 0
     # second run skips everything
-    v2 = export.export_table(spark, orders, src, root, rows_per_file=50)
+    v2 = export.export_table(spark, orders, src, root)
     assert v2.where(F.col("status") != "skipped").count() == 0
-    # a stray object is not a unit (exact key match, not a prefix)
-    unit = lake.unit_path(root, "orders", "209901", "srv-001")
-    os.makedirs(unit)
-    open(os.path.join(unit, "x.parquet.tmp"), "w").close()
-    assert inv.where(F.col("month") == "209901").count() == 0
-    assert lake.inventory(spark, root).where(F.col("month") == "209901").count() == 0
+    # an object that nobody published is not a unit, nor is one of another name
+    for name in ("x.parquet.tmp", "y.parquet"):
+        unit = os.path.join(lake.attempt_path(root, "orders", "stray"), "unit_month=209901", "unit_server=srv-001")
+        os.makedirs(unit, exist_ok=True)
+        open(os.path.join(unit, name), "w").close()
+    assert lake.lake_units(spark, root, ["orders"]).where(F.col("month") == "209901").count() == 0
+
+
+def test_large_unit_is_split_by_rows_and_any_column_is_taken(spark):
+    """12,000 equal rows of one unit, with a map column and columns named
+    month and server; and rows without keys."""
+    root = tempfile.mkdtemp(prefix="lakeledger-test-lake-")
+    src = export.SourceTable("big", "k", "d")
+    df = spark.range(12_000).select(
+        F.when(F.col("id") >= 90, F.lit(1).cast("long")).alias("k"), F.lit("2024-01-05").cast("date").alias("d"),
+        F.create_map(F.lit("a"), F.lit(1)).alias("m"), F.lit("x").alias("month"), F.lit("y").alias("server"))
+    df = df.withColumn("d", F.when(F.col("k").isNull(), None).otherwise(F.col("d")))
+    v = export.export_table(spark, df, src, root, rows_per_file=500).collect()
+    assert {(r.month, r.server, r.n_lake, r.status) for r in v} == {
+        ("202401", "srv-002", 11_910, "complete"), (export.NO_KEY, export.NO_KEY, 90, "complete")}
+    attempts = lake.current_attempts(spark, root, "big")
+    sizes = spark.read.parquet(*[lake.attempt_path(root, "big", a) for a in attempts]).groupBy(
+        F.input_file_name()).count().agg(F.max("count"), F.count("*")).first()
+    assert sizes[0] <= 500 and sizes[1] >= 24
+    back = lake.read_table(spark, root, "big")
+    assert back.count() == 12_000 and set(df.columns) <= set(back.columns)
+
+
+def test_source_that_cannot_be_read_is_an_error_row(spark):
+    folder = tempfile.mkdtemp(prefix="lakeledger-test-src-")
+    orders = S.read_source(spark, SF, "orders")
+    orders.write.mode("overwrite").parquet(folder + "/o")
+    bad = spark.read.parquet(folder + "/o")
+    for f in os.listdir(folder + "/o"):
+        if f.endswith(".parquet"):
+            with open(os.path.join(folder, "o", f), "wb") as out:
+                out.write(b"not parquet at all")
+    planned = export.source_counts(orders, S.SOURCES["orders"])
+    got = export.safe_source_counts(spark, bad, S.SOURCES["orders"], planned)
+    assert got.where("local_status <> 'ERROR' or n_local is not null").count() == 0 and got.count() == planned.count()
+    units = reconcile.reconcile_units(got, planned.withColumnRenamed("n_local", "n_lake"))
+    assert reconcile.reconcile_at(units, ["table_name"]).first().verdict == "ERROR"
+
+
+def test_planned_unit_absent_on_both_sides_has_a_row(spark):
+    keys = "table_name string, month string, server string"
+    local = spark.createDataFrame([("t", "202401", "a", 5)], keys + ", n_local long")
+    held = spark.createDataFrame([("t", "202401", "a", 5), ("t", "202401", "z", 1)], keys + ", n_lake long")
+    plan = spark.createDataFrame([("t", "202401", "a"), ("t", "202401", "b")], keys)
+    got = {r.server: r for r in reconcile.reconcile_units(local, held, plan).collect()}
+    assert got["b"].lake_status == "NO_FILES" and got["b"].local_status == "NO_ROWS" and got["b"].unit_status == "OK"
+    assert got["z"].unit_status == "UNEXPECTED" and got["a"].unit_status == "OK"
+
+
+def test_only_the_table_is_listed(spark):
+    root = tempfile.mkdtemp(prefix="lakeledger-test-lake-")
+    for name in ("one", "two"):
+        df = S.read_source(spark, SF, "orders").limit(20)
+        export.write_and_publish(spark, df, export.SourceTable(name, "o_orderkey", "o_orderdate"), root)
+    found = lake.files(spark, root, "one", lake.current_attempts(spark, root, "one"))
+    assert found.where(~F.col("path").contains("/one/attempt=")).count() == 0
+    assert all("/one/" in f for f in found.inputFiles())
 
 
 def test_absent_vs_empty_units(spark):
