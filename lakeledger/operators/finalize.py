@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from lakeledger.functions import catalog as C
 from lakeledger.operators import reconcile
+from lakeledger.operators.tasks import live_records
 
 DETAIL = T.StructType([
     T.StructField("kind", T.StringType()),        # server | table
@@ -63,8 +64,8 @@ def decide(tasks: DataFrame, expected: int, finalized: DataFrame | None = None,
         F.count(F.lit(1)).cast("long").alias("n_tasks"),
         F.count_if(~F.col("status").isin(C.TERMINAL_TASK_STATUSES)).cast("long").alias("n_not_done"),
         F.count_if(F.col("status").isin("failed", "timeout")).cast("long").alias("n_failed"))
-    if finalized is not None:
-        g = g.join(finalized.select(period).distinct(), period, "left_anti")
+    if finalized is not None:  # records that a later reset made void do not count
+        g = g.join(live_records(finalized, tasks, period).select(period).distinct(), period, "left_anti")
     decision = (F.when(F.col("n_tasks") != expected, "not_all_created")
                  .when(F.col("n_not_done") > 0, "not_all_done")
                  .when(F.col("n_failed") > 0, "partial_failure")
@@ -139,15 +140,31 @@ def log_records(final: DataFrame, created_at: str, period: str = "month") -> Dat
 
 
 def decode_log(log: DataFrame) -> DataFrame:
-    """Parse the details text; bad JSON (or JSON that is not an array)
-    becomes an empty array with ``details_error = 'corrupt'``."""
+    """Parse the details text.  Text that is not a JSON array of objects, or
+    holds a value that its field's type cannot take, becomes an empty array
+    with ``details_error = 'corrupt'``; no value is lost without a flag."""
     parsed = F.from_json(F.col("details"), DETAILS)
-    bad = parsed.isNull() & F.coalesce(F.col("details"), F.lit("")).rlike(r"\S")
+    texts = F.from_json(F.col("details"), "array<map<string,string>>")
+    lost = F.exists(F.arrays_zip(parsed.alias("p"), texts.alias("t")), lambda x: F.lit(False) | _any_lost(x))
+    some = F.coalesce(F.col("details"), F.lit("")).rlike(r"\S")
+    bad = some & (~F.coalesce(F.col("details").rlike(r"^\s*\["), F.lit(False)) | parsed.isNull() | texts.isNull()
+                  | F.coalesce(F.size(parsed) != F.size(texts), F.lit(True)) | F.coalesce(lost, F.lit(True)))
     return log.select(*[c for c in log.columns if c != "details"],
-                      F.coalesce(parsed, F.array().cast(DETAILS)).alias("details"),
+                      F.when(bad, F.array().cast(DETAILS)).otherwise(F.coalesce(parsed, F.array().cast(DETAILS)))
+                      .alias("details"),
                       F.when(bad, F.lit("corrupt")).alias("details_error"))
 
 
+def _any_lost(pair: Column) -> Column:
+    """An array element (as struct and as texts) of which a value did not
+    survive, or that is no object."""
+    lost = pair["p"].isNull() | pair["t"].isNull()
+    for f in DETAIL.fields:
+        text = F.try_element_at(pair["t"], F.lit(f.name))
+        lost = lost | (text.isNotNull() & pair["p"][f.name].isNull())
+    return lost
+
+
 def acknowledge(log: DataFrame, acks: DataFrame, period: str = "month") -> DataFrame:
     """Apply acknowledgements: only a ``mismatch`` record becomes
     ``acknowledged``; its details are kept."""

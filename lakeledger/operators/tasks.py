@@ -15,7 +15,7 @@ State machine (per task, events in (ts, seq) order):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeledger.functions import catalog as C
@@ -28,36 +28,52 @@ def _hours(h: int) -> Column:
     return F.expr(f"INTERVAL {int(h)} HOURS")
 
 
+def first_deliveries(log: DataFrame) -> DataFrame:
+    """The one rule for redeliveries, in batch and stream: of the events of a
+    task with the same ``seq`` the earliest by ``ts`` counts.  The result is
+    partitioned by task, which the replay's windows reuse."""
+    first = F.expr("row_number() OVER (PARTITION BY task_id, seq ORDER BY ts, event)")
+    return log.repartition("task_id").withColumn("_n", first).where("_n = 1").drop("_n")
+
+
 def _with_keep(log: DataFrame) -> DataFrame:
     """Add ``_keep``: the event can still change the task's state.
 
     Exact reductions (checked against a brute-force fold in the tests and
-    against the full fold by the oracle): ``create`` and unknown events
-    never act; an exact redelivery (same seq as the previous row) is
-    dropped; of a run of consecutive claims only the first can act and only
-    the last can still see a timeout, of a run of complete/failed only the
-    first can act, of a run of resets only the last matters (it sees the
-    latest timeout).  Redelivery storms and repeated claims, the usual cause
-    of a hot task, so never reach the per-task array.
-
-    Two window passes with one (task; ts, seq) spec: Spark sorts once and
-    both stream the partition (O(1) per row, IGNORE NULLS offsets, no
-    frames); redeliveries are blanked in the first pass so the run test in
-    the second sees each event once.
+    against the full fold by the oracle):
+
+    * ``create`` and unknown events never act;
+    * of a run of consecutive claims only the first can act and only the last
+      can still see a timeout, of a run of complete/failed only the first can
+      act, of a run of resets only the last matters (it sees the latest
+      timeout);
+    * after a complete/failed no task is in progress, so a reset directly after
+      it leaves ``new`` whatever came before: all events before the last such
+      reset are cut.  (The first claim of a log always acts; it is kept as an
+      aggregate.)
+
+    So redelivery storms, repeated claims and finished cycles, the usual causes
+    of a hot task, never reach the per-task array.
+
+    The window passes share the (task; ts, seq) sort and stream the partition,
+    spilling as needed.
     """
     order = "PARTITION BY task_id ORDER BY ts, seq"
     kind = F.coalesce(*[F.when(F.col("event") == e, k) for e, k in _KIND.items()])
-    dup = F.coalesce(F.expr(f"lag(seq) OVER ({order})") == F.col("seq"), F.lit(False))
-    staged = log.withColumn("_kind", F.when(~dup, kind))
+    staged = first_deliveries(log).withColumn("_kind", kind)
     k = F.col("_kind")
-    prev_k = F.expr(f"lag(_kind) IGNORE NULLS OVER ({order})")
-    next_k = F.expr(f"lead(_kind) IGNORE NULLS OVER ({order})")
-    first_of_run = prev_k.isNull() | (prev_k != k)
-    last_of_run = next_k.isNull() | (next_k != k)
-    keep = (F.when(k == "R", last_of_run)
+    staged = (staged.withColumn("_prev", F.expr(f"lag(_kind) IGNORE NULLS OVER ({order})"))
+              .withColumn("_next", F.expr(f"lead(_kind) IGNORE NULLS OVER ({order})")))
+    cycle_end = F.when((k == "R") & (F.col("_prev") == "T"), F.struct("ts", "seq"))
+    staged = staged.withColumn("_end", cycle_end).withColumn(
+        "_cut", F.expr("max(_end) OVER (PARTITION BY task_id)"))
+    first_of_run = F.col("_prev").isNull() | (F.col("_prev") != k)
+    last_of_run = F.col("_next").isNull() | (F.col("_next") != k)
+    keep = (F.when(k == "R", last_of_run | F.col("_end").isNotNull())
              .when(k == "C", first_of_run | last_of_run)
              .otherwise(first_of_run))
-    return staged.withColumn("_keep", k.isNotNull() & keep).drop("_kind")
+    live = F.col("_cut").isNull() | (F.struct("ts", "seq") >= F.col("_cut"))
+    return staged.withColumn("_keep", k.isNotNull() & keep & live).drop("_kind", "_prev", "_next", "_end", "_cut")
 
 
 def state_events(log: DataFrame) -> DataFrame:
@@ -84,8 +100,8 @@ def _fold_step(timeout_hours: int | None):
             F.when(claim, e["ts"]).when(reset, F.lit(None)).otherwise(acc["started"]).alias("started"),
             F.when(finish, e["ts"]).when(reset | claim, F.lit(None)).otherwise(acc["completed"]).alias("completed"),
             F.when(reset, F.lit("")).otherwise(err0).alias("err"),
-            F.when(claim & acc["first_claim"].isNull(), e["ts"]).otherwise(acc["first_claim"]).alias("first_claim"),
             F.when(reset, e["ts"]).otherwise(acc["last_reset"]).alias("last_reset"),
+            F.when(reset, e["seq"]).otherwise(acc["reset_seq"]).alias("reset_seq"),
         )
     return step
 
@@ -97,12 +113,12 @@ def replay_tasks(log: DataFrame, *, timeout_hours: int | None = C.TASK_TIMEOUT_H
     ``now`` (text timestamp) runs the final timeout sweep; leave it out to
     see the state as of the last event (used by :func:`overdue`).
     Output: task_id, month, server, status, started_at, completed_at,
-    error_msg, first_claim_at, last_reset_at, created_at.
+    error_msg, first_claim_at, last_reset_at, last_reset_seq, created_at.
     """
     tnull = F.lit(None).cast("timestamp_ntz")
     zero = F.struct(F.lit("new").alias("st"), tnull.alias("started"), tnull.alias("completed"),
-                    F.lit("").alias("err"), tnull.alias("first_claim"), tnull.alias("last_reset"))
-    # One shuffle: the window partitions by task_id, and the aggregate on the
+                    F.lit("").alias("err"), tnull.alias("last_reset"), F.lit(None).cast("long").alias("reset_seq"))
+    # One shuffle: the windows partition by task_id, and the aggregate on the
     # same key reuses that partitioning.  collect_list skips NULLs, so only
     # the reduced state events reach the array.
     keep = F.col("_keep")
@@ -110,9 +126,10 @@ def replay_tasks(log: DataFrame, *, timeout_hours: int | None = C.TASK_TIMEOUT_H
                 .groupBy("task_id")
                 .agg(F.min("month").alias("month"), F.min("server").alias("server"),
                      F.min(F.when(F.col("event") == "create", F.col("ts"))).alias("created_at"),
+                     F.min(F.when(F.col("event") == "claim", F.col("ts"))).alias("first_claim"),
                      F.array_sort(F.collect_list(F.when(keep, F.struct("ts", "seq", "event"))))
                       .alias("evs")))
-    folded = per_task.select("task_id", "month", "server", "created_at",
+    folded = per_task.select("task_id", "month", "server", "created_at", "first_claim",
                              F.aggregate("evs", zero, _fold_step(timeout_hours)).alias("s"))
     s = F.col("s")
     status, err = F.coalesce(s["st"], F.lit("new")), F.coalesce(s["err"], F.lit(""))
@@ -124,8 +141,8 @@ def replay_tasks(log: DataFrame, *, timeout_hours: int | None = C.TASK_TIMEOUT_H
     return (folded
             .select("task_id", "month", "server", status.alias("status"),
                     s["started"].alias("started_at"), s["completed"].alias("completed_at"),
-                    err.alias("error_msg"), s["first_claim"].alias("first_claim_at"),
-                    s["last_reset"].alias("last_reset_at"), "created_at"))
+                    err.alias("error_msg"), F.col("first_claim").alias("first_claim_at"),
+                    s["last_reset"].alias("last_reset_at"), s["reset_seq"].alias("last_reset_seq"), "created_at"))
 
 
 def overdue(tasks: DataFrame, now: str, timeout_hours: int = C.TASK_TIMEOUT_HOURS) -> DataFrame:
@@ -166,7 +183,7 @@ def latest_units(accepted: DataFrame, tasks: DataFrame) -> DataFrame:
     task come from a fixed-size literal, exploded in a projection.
     """
     last = accepted.groupBy("task_id", "table_name").agg(
-        F.max_by(F.struct("status", "rows_local", "rows_lake", "error_msg", "ts"),
+        F.max_by(F.struct("status", "rows_local", "rows_lake", "error_msg", "ts", "seq"),
                  F.struct("ts", "seq")).alias("r"))
     claimed = (tasks.where(F.col("first_claim_at").isNotNull())
                .select("task_id", "month", "first_claim_at",
@@ -174,9 +191,11 @@ def latest_units(accepted: DataFrame, tasks: DataFrame) -> DataFrame:
                .select("task_id", C.table_name_for(F.col("_tpl"), F.col("month")).alias("table_name"),
                        "first_claim_at"))
     rows = claimed.join(last, ["task_id", "table_name"], "full_outer")
-    rows = rows.join(tasks.select("task_id", "last_reset_at"), "task_id", "left")
+    rows = rows.join(tasks.select("task_id", "last_reset_at", "last_reset_seq"), "task_id", "left")
     r = F.col("r")
-    live = r.isNotNull() & (F.col("last_reset_at").isNull() | (r["ts"] > F.col("last_reset_at")))
+    # a report and a reset at the same instant are ordered by seq, as all events
+    after = F.struct(r["ts"], r["seq"]) > F.struct(F.col("last_reset_at"), F.col("last_reset_seq"))
+    live = r.isNotNull() & (F.col("last_reset_at").isNull() | after)
     return rows.select(
         "task_id", "table_name",
         F.when(live, r["status"]).otherwise(F.lit("pending")).alias("status"),
@@ -220,6 +239,42 @@ def liveness(beats: DataFrame, now: str, limit_seconds: int = C.ONLINE_LIMIT_SEC
     return last.withColumn("online", online)
 
 
+def liveness_of_text(members: DataFrame, now: str, limit_seconds: int = C.ONLINE_LIMIT_SECONDS) -> DataFrame:
+    """(member, last_seen text) with online by the rule of :func:`liveness`; a
+    text that is no timestamp, and NULL, are offline."""
+    seen = F.try_to_timestamp("last_seen").cast("timestamp_ntz")
+    limit = F.lit(now).cast("timestamp_ntz") - F.expr(f"INTERVAL {int(limit_seconds)} SECONDS")
+    return members.withColumn("online", F.coalesce(seen > limit, F.lit(False)))
+
+
+def task_transitions(requests: DataFrame, tasks: DataFrame) -> DataFrame:
+    """Check status requests (task_id, server, status) against current tasks;
+    ``reject_reason`` is NULL for accepted ones, the first failure wins:
+    missing_server, bad_status (outside the task domain), no_task,
+    wrong_server (not the task's), in_progress (a reset of a running task),
+    not_new (a claim of a taken one), not_in_progress (an end of one that does
+    not run)."""
+    t = tasks.select("task_id", F.col("server").alias("_t_server"), F.col("status").alias("_t_status"))
+    j = requests.join(t, "task_id", "left")
+    server, status = F.trim(F.coalesce("server", F.lit(""))), F.coalesce("status", F.lit(""))
+    now = F.col("_t_status")
+    reason = (F.when(server == "", "missing_server")
+               .when(~status.isin(C.TASK_STATUSES), "bad_status")
+               .when(now.isNull(), "no_task")
+               .when(server != F.col("_t_server"), "wrong_server")
+               .when((status == "new") & (now == "progress"), "in_progress")
+               .when((status == "progress") & (now != "new"), "not_new")
+               .when(status.isin(C.TERMINAL_TASK_STATUSES) & (now != "progress"), "not_in_progress"))
+    return j.withColumn("reject_reason", reason).drop("_t_server", "_t_status")
+
+
+def ordered_listing(tasks: DataFrame, *order: str, group: str = "month") -> DataFrame:
+    """The listing with its order as a column: ``place`` is the task's place
+    within its group, so the order survives any later shuffle."""
+    w = Window.partitionBy(group).orderBy(*order, "task_id")
+    return tasks.withColumn("place", F.row_number().over(w))
+
+
 def fleet_board(roster: DataFrame, tasks: DataFrame, live: DataFrame) -> DataFrame:
     """Roster with each member's task and heartbeat; no task -> idle."""
     return (roster.join(tasks.select(F.col("task_id").alias("member"), "status"), "member", "left")
@@ -237,6 +292,17 @@ def fleet_kpis(board: DataFrame) -> DataFrame:
         F.count_if(F.col("online")).cast("long").alias("online"))
 
 
+def live_records(finalized: DataFrame, tasks: DataFrame, period: str) -> DataFrame:
+    """Finalize records that still hold: one made before the last accepted
+    reset of any task of its period is void.  Logs without created_at and
+    tasks without last_reset_at have nothing to compare."""
+    if "created_at" not in finalized.columns or "last_reset_at" not in tasks.columns:
+        return finalized
+    reset = tasks.groupBy(F.col(period).alias("_p")).agg(F.max("last_reset_at").alias("_reset"))
+    void = (F.col(period) == F.col("_p")) & (F.col("created_at") < F.col("_reset"))
+    return finalized.join(reset, void, "left_anti")
+
+
 def cycle_state(tasks: DataFrame, period: str, expected: int,
                 finalized: DataFrame | None = None) -> DataFrame:
     """Per period: idle / dispatched / running / stalled /
@@ -254,7 +320,8 @@ def cycle_state(tasks: DataFrame, period: str, expected: int,
         F.array_sort(F.collect_list(F.when(F.col("status").isin("failed", "timeout"),
                                            F.col("server")))).alias("failed"))
     if finalized is not None:
-        g = g.join(finalized.select(F.col(period), F.lit(True).alias("_fin")), period, "left")
+        live = live_records(finalized, tasks, period)
+        g = g.join(live.select(F.col(period), F.lit(True).alias("_fin")).distinct(), period, "left")
     else:
         g = g.withColumn("_fin", F.lit(None).cast("boolean"))
     full = (F.col("n_tasks") == expected) & F.col("_all_done")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakeledger.functions import catalog as C
 from lakeledger.operators import coverage as COV
+from lakeledger.operators import export
 from lakeledger.operators import tasks as TK
 from lakeledger.plans import oracle as O
 from lakeledger.plans import scenarios as S
@@ -398,3 +399,90 @@ def insert_ignore(spark, sf_dir):
     existing = (t.where(F.col("status") == "complete")
                 .select("month", "server", C.table_name_for(tpl, F.col("month")).alias("table_name")))
     return TK.insert_ignore(proposed, existing, ["month", "server", "table_name"])
+
+
+# --- ordering, transitions, dispatch and voided records ---
+
+@register("task_listing_ordered", f"""
+SELECT task_id, month, server, status,
+       row_number() OVER (PARTITION BY month ORDER BY server, task_id)::INTEGER AS place
+FROM {replay_sql()}
+""")
+def task_listing_ordered(spark, sf_dir):
+    """All tasks with their place in the month's listing (server, task)."""
+    t = TK.ordered_listing(_replay(spark, sf_dir), "server")
+    return t.select("task_id", "month", "server", "status", "place")
+
+
+REQUEST_STATUS = {"purchase": "complete", "error": "failed", "view": "progress", "click": "new", "signup": "done"}
+_REQUEST_CASES = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in REQUEST_STATUS.items())
+
+
+@register("task_transitions", f"""
+WITH q AS (SELECT event_id, CASE WHEN k = {RL.UNKNOWN_TASK_K} THEN user_id + 1000 ELSE user_id END AS task_id,
+                  CASE k % 10 WHEN {RL.ANON_REPORTER_MOD} THEN '' WHEN {RL.OTHER_REPORTER_MOD}
+                       THEN {O.shard_sql('(user_id + 1)')} ELSE {O.shard_sql('user_id')} END AS server,
+                  CASE event_type {_REQUEST_CASES} ELSE '' END AS status
+           FROM (SELECT *, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events))
+SELECT q.event_id, q.task_id, q.server, q.status,
+       CASE WHEN q.server = '' THEN 'missing_server'
+            WHEN q.status NOT IN ({O.sql_str_list(C.TASK_STATUSES)}) THEN 'bad_status'
+            WHEN t.status IS NULL THEN 'no_task' WHEN q.server <> t.server THEN 'wrong_server'
+            WHEN q.status = 'new' AND t.status = 'progress' THEN 'in_progress'
+            WHEN q.status = 'progress' AND t.status <> 'new' THEN 'not_new'
+            WHEN q.status IN ({O.sql_str_list(C.TERMINAL_TASK_STATUSES)}) AND t.status <> 'progress'
+            THEN 'not_in_progress' END AS reject_reason
+FROM q LEFT JOIN {replay_sql()} t ON t.task_id = q.task_id
+""")
+def task_transitions(spark, sf_dir):
+    """Status requests built from the events, checked against the tasks."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    server = (F.when(F.pmod(k, F.lit(10)) == RL.ANON_REPORTER_MOD, "")
+              .when(F.pmod(k, F.lit(10)) == RL.OTHER_REPORTER_MOD, C.shard_of(F.col("user_id") + 1))
+              .otherwise(C.shard_of("user_id")))
+    status = F.coalesce(*[F.when(F.col("event_type") == a, b) for a, b in REQUEST_STATUS.items()], F.lit(""))
+    requests = _events(spark, sf_dir).select(
+        "event_id", F.when(k == RL.UNKNOWN_TASK_K, F.col("user_id") + 1000).otherwise(F.col("user_id")).alias("task_id"),
+        server.alias("server"), status.alias("status"))
+    return (TK.task_transitions(requests, _replay(spark, sf_dir))
+            .select("event_id", "task_id", "server", "status", "reject_reason"))
+
+
+FEED_CODES = dict(zip("1234", C.REQUIRED_FEEDS, strict=True))  # by the digit of the order priority
+FEED_EVERY = 50                                                # every so many customers report a feed
+
+
+@register("dispatch_plan", f"""
+WITH f AS (SELECT strftime(date_trunc('month', o_orderdate) + INTERVAL 1 MONTH - INTERVAL 1 DAY, '%Y%m') AS month,
+                  CASE substr(o_orderpriority, 1, 1) {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in FEED_CODES.items())}
+                  END AS code FROM orders WHERE o_custkey % {FEED_EVERY} = 0),
+g AS (SELECT month, count(DISTINCT code) = {len(FEED_CODES)} AS ready FROM f GROUP BY month)
+SELECT month, ready, CASE WHEN ready THEN {C.SHARD_COUNT * len(C.TABLE_TEMPLATES)} ELSE 0 END::BIGINT AS n_units FROM g
+""")
+def dispatch_plan(spark, sf_dir):
+    """The dispatch chain: the month before each run date, its feeds, the gate,
+    and the units planned for months that pass it."""
+    run_date = F.add_months(F.trunc("o_orderdate", "MM"), 1)
+    code = F.coalesce(*[F.when(F.substring("o_orderpriority", 1, 1) == k, v) for k, v in FEED_CODES.items()])
+    feeds = (S.read_source(spark, sf_dir, "orders").where(F.pmod("o_custkey", F.lit(FEED_EVERY)) == 0)
+             .select(C.previous_month(run_date).alias("month"), code.alias("code")))
+    gate = COV.coverage(feeds, ["month"], "code", C.REQUIRED_FEEDS)
+    planned = export.plan_units(gate.where("ready")).groupBy("month").agg(F.count("*").alias("n_units"))
+    return gate.join(planned, "month", "left").select(
+        "month", "ready", F.coalesce("n_units", F.lit(0)).cast("long").alias("n_units"))
+
+
+FINALIZED_AT = "2024-01-29 00:00:00"
+
+
+@register("finalize_after_reset", f"""
+SELECT server, NOT coalesce(max(last_reset_at) > TIMESTAMP '{FINALIZED_AT}', FALSE) AS holds
+FROM {replay_sql()} GROUP BY server
+""")
+def finalize_after_reset(spark, sf_dir):
+    """Records of all shards made at FINALIZED_AT: void where a task of the
+    shard was reset afterwards."""
+    tasks = _replay(spark, sf_dir)
+    log = tasks.select("server").distinct().withColumn("created_at", F.lit(FINALIZED_AT).cast("timestamp_ntz"))
+    holds = TK.live_records(log, tasks, "server").select("server", F.lit(True).alias("holds"))
+    return log.join(holds, "server", "left").select("server", F.coalesce("holds", F.lit(False)).alias("holds"))

@@ -14,56 +14,72 @@ from lakeledger.session import new_run_dir
 from lakeledger.sources import runlog as RL
 from lakeledger.streaming import tasks_stream as TS
 
-ROWS_PER_SLICE = 1_000_000
+SLICES = 8  # files of the stream's input, one a micro-batch
 
 
 def _event_files(spark, sf_dir):
-    """The events table as a time-ordered sequence of files (one producer
-    write per time slice), the input a stream sees; returns (dir, schema)."""
+    """The events table as files by time, the input a stream sees, in one
+    write; returns (dir, schema).  The files' order of arrival is whatever
+    their writers make it."""
     ev = S.read_source(spark, sf_dir, "events")
-    n = ev.count()
-    slices = max(4, -(-n // ROWS_PER_SLICE))
-    secs = F.unix_micros(F.col("ts").cast("timestamp"))
-    bounds = ev.select(secs.alias("u")).approxQuantile("u", [i / slices for i in range(1, slices)], 0.0)
-    path = new_run_dir(spark, "stream-src")
-    lo = None
-    for hi in bounds + [None]:
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (secs > F.lit(lo))
-        if hi is not None:
-            cond = cond & (secs <= F.lit(hi))
-        ev.where(cond).repartition(1).write.mode("append").parquet(path)
-        lo = hi
-    return path, spark.read.parquet(path).schema
+    path = new_run_dir(spark, "stream-src") + "/events"
+    ev.repartitionByRange(SLICES, "ts").write.parquet(path)
+    return path, ev.schema
+
+
+def _late_files(spark, sf_dir):
+    """The events dealt over files by a hash, so that most come late, and every
+    seventh delivered a second time an hour later."""
+    ev = S.read_source(spark, sf_dir, "events")
+    again = ev.where("event_id % 7 = 0").withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 HOUR"))
+    path = new_run_dir(spark, "stream-late") + "/events"
+    ev.unionByName(again).repartition(SLICES, F.xxhash64("event_id", "ts")).write.parquet(path)
+    return path, ev.schema
+
+
+def _task_columns(t):
+    return t.select("task_id", "server", "status", RQ._txt("started_at").alias("started_at"),
+                    RQ._txt("completed_at").alias("completed_at"), "error_msg",
+                    RQ._txt("last_reset_at").alias("last_reset_at"))
+
+
+def _run_tasks(spark, src, schema):
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    out = new_run_dir(spark, "stream-out") + "/tasks"
+    TS.stream_tasks(spark, RL.from_events(stream), out, new_run_dir(spark, "stream-ckpt"))
+    log = RL.from_events(spark.read.schema(schema).parquet(src))
+    return _task_columns(TS.current_tasks(spark, out, now=RQ.NOW, log=log))
 
 
 @register("stream_tasks")
 def stream_tasks(spark, sf_dir):
     """Task replay as a Structured Streaming job over time-ordered files,
     one file per micro-batch; state per task in the state store."""
-    src, schema = _event_files(spark, sf_dir)
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src))
-    out = new_run_dir(spark, "stream-out")
-    TS.stream_tasks(spark, RL.from_events(stream), out, new_run_dir(spark, "stream-ckpt"))
-    t = TS.current_tasks(spark, out, now=RQ.NOW)
-    return t.select("task_id", "server", "status", RQ._txt("started_at").alias("started_at"),
-                    RQ._txt("completed_at").alias("completed_at"), "error_msg",
-                    RQ._txt("last_reset_at").alias("last_reset_at"))
+    return _run_tasks(spark, *_event_files(spark, sf_dir))
 
 
 ORACLES["stream_tasks"] = ORACLES["replay_tasks"]
 
 
+@register("stream_tasks_late")
+def stream_tasks_late(spark, sf_dir):
+    """The same with files in no order of time and with redeliveries: tasks
+    with late events are replayed from the landed log."""
+    return _run_tasks(spark, *_late_files(spark, sf_dir))
+
+
+ORACLES["stream_tasks_late"] = ORACLES["replay_tasks"]
+
+
 @register("stream_liveness")
 def stream_liveness(spark, sf_dir):
     """Latest heartbeat per member as a streaming aggregate, online at
     LIVENESS_NOW."""
     src, schema = _event_files(spark, sf_dir)
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
-    out = new_run_dir(spark, "stream-live")
+    out = new_run_dir(spark, "stream-live") + "/members"
     TS.stream_liveness(spark, RL.heartbeats_from_events(stream), out, new_run_dir(spark, "stream-ckpt"))
-    live = spark.read.parquet(out)
+    live = TS.current_liveness(spark, out)
     now_c = F.lit(RQ.LIVENESS_NOW).cast("timestamp_ntz")
     last_seen = F.col("last_seen").cast("timestamp_ntz")
     online = F.coalesce(last_seen > now_c - F.expr(f"INTERVAL {C.ONLINE_LIMIT_SECONDS} SECONDS"), F.lit(False))

@@ -2,16 +2,19 @@
 
 * :func:`stream_tasks` - task state machine as ``applyInPandasWithState``:
   per task, the micro-batch's rows are sorted by (ts, seq) and folded onto
-  the stored state with the same rules as the batch replay.  An event older
-  than the last applied (ts, seq) cannot be replayed; it is counted in
-  ``n_late`` and not applied.  Exact redeliveries are removed first with
-  ``dropDuplicatesWithinWatermark``.
+  the stored state with the same rules as the batch replay.  There is no
+  watermark, so no event is dropped however late it is.  An event that is not
+  after everything applied so far (by ts, and by seq: a redelivery) cannot be
+  folded in; it marks its task, and :func:`current_tasks` replays the marked
+  tasks from the log.  So stream = batch in any order of arrival.
 * :func:`stream_liveness` - latest heartbeat per member, a streaming
   ``max``/``max_by`` aggregate.
 
-Both run with ``trigger(availableNow=True)`` and write through
-``foreachBatch`` to a table in the shared folder, so a restarted query
-resumes from its checkpoint; the current state is the latest row per key.
+Both run with ``trigger(availableNow=True)`` and write each micro-batch through
+``foreachBatch`` to its own ``batch_id=`` folder, which a repeated batch
+overwrites; the current state is the latest row per key.  The timeout sweep
+runs over the stream's states (``now`` of :func:`current_tasks`): a timer on
+event time would need a watermark.
 """
 
 from __future__ import annotations
@@ -26,11 +29,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from lakeledger.functions import catalog as C
+from lakeledger.operators.tasks import replay_tasks
 
 STATE_COLS = ["st", "started", "completed", "err", "first_claim", "last_reset",
-              "last_ts", "last_seq", "month", "server", "created", "n_late"]
+              "last_ts", "last_seq", "max_seq", "month", "server", "created", "n_late"]
 STATE_SCHEMA = ("st string, started timestamp, completed timestamp, err string, "
-                "first_claim timestamp, last_reset timestamp, last_ts timestamp, last_seq long, "
+                "first_claim timestamp, last_reset timestamp, last_ts timestamp, last_seq long, max_seq long, "
                 "month string, server string, created timestamp, n_late long")
 OUT_SCHEMA = "task_id long, " + STATE_SCHEMA
 
@@ -51,10 +55,12 @@ def fold_events(state: dict, rows: pd.DataFrame, timeout_hours: int | None) -> d
         s["server"] = r.server if s["server"] is None else min(s["server"], r.server)
         if r.event not in ("claim", "complete", "failed", "reset"):
             continue
-        if s["last_ts"] is not None and (r.ts, r.seq) <= (s["last_ts"], s["last_seq"]):
+        if s["last_ts"] is not None and (r.ts <= s["last_ts"] and (r.ts, r.seq) <= (s["last_ts"], s["last_seq"])
+                                         or r.seq <= s["max_seq"]):
             s["n_late"] += 0 if (r.ts, r.seq) == (s["last_ts"], s["last_seq"]) else 1
             continue
         s["last_ts"], s["last_seq"] = r.ts, r.seq
+        s["max_seq"] = r.seq if s["max_seq"] is None else max(s["max_seq"], r.seq)
         st = s["st"]
         if limit is not None and st == "progress" and s["started"] < r.ts - limit:
             st = "timeout"
@@ -73,7 +79,7 @@ def fold_events(state: dict, rows: pd.DataFrame, timeout_hours: int | None) -> d
 
 def _empty_state() -> dict:
     return {"st": "new", "started": None, "completed": None, "err": "", "first_claim": None,
-            "last_reset": None, "last_ts": None, "last_seq": None, "month": None, "server": None,
+            "last_reset": None, "last_ts": None, "last_seq": None, "max_seq": None, "month": None, "server": None,
             "created": None, "n_late": 0}
 
 
@@ -106,31 +112,51 @@ def _ship_to_workers() -> None:
 
 
 def stream_tasks(spark: SparkSession, source: DataFrame, out_dir: str, checkpoint_dir: str, *,
-                 timeout_hours: int | None = C.TASK_TIMEOUT_HOURS,
-                 watermark: str = "7 days") -> None:
+                 timeout_hours: int | None = C.TASK_TIMEOUT_HOURS) -> None:
     """Run the task replay as a stream over ``source`` (a streaming run log)
     until all available input is processed."""
     _ship_to_workers()
-    ev = (source.select("task_id", "month", "server", "event",
-                        F.col("ts").cast("timestamp").alias("ts"), "seq")
-          .withWatermark("ts", watermark)
-          .dropDuplicatesWithinWatermark(["task_id", "seq"]))
+    ev = source.select("task_id", "month", "server", "event", F.col("ts").cast("timestamp").alias("ts"), "seq")
     states = ev.groupBy("task_id").applyInPandasWithState(
         _task_fn(timeout_hours), OUT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(out_dir)
+        batch.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
 
     q = (states.writeStream.outputMode("update").foreachBatch(sink)
          .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
     q.awaitTermination()
 
 
+def _latest(spark: SparkSession, out_dir: str, schema: str) -> DataFrame:
+    """All rows of the batches, with their number."""
+    return (spark.read.schema(schema + ", batch_id string").parquet(out_dir)
+            .withColumn("batch_id", F.col("batch_id").cast("long")))
+
+
+def late_tasks(spark: SparkSession, out_dir: str) -> DataFrame:
+    """(task_id, n_late): tasks with events that came too late to be folded."""
+    return (_latest(spark, out_dir, OUT_SCHEMA).groupBy("task_id").agg(F.max("n_late").alias("n_late"))
+            .where("n_late > 0"))
+
+
 def current_tasks(spark: SparkSession, out_dir: str, now: str | None = None,
-                  timeout_hours: int | None = C.TASK_TIMEOUT_HOURS) -> DataFrame:
+                  timeout_hours: int | None = C.TASK_TIMEOUT_HOURS, log: DataFrame | None = None) -> DataFrame:
     """Latest state row per task from the stream's output table, with the
-    timeout sweep at ``now`` (same columns as the batch replay)."""
-    raw = spark.read.parquet(out_dir)
+    timeout sweep at ``now`` (same columns as the batch replay).  ``log``, the
+    landed events as a batch table, replays the tasks that have late events;
+    without it they show the state before those."""
+    out = _folded_tasks(spark, out_dir, now, timeout_hours)
+    if log is None:
+        return out
+    late = late_tasks(spark, out_dir)
+    again = replay_tasks(log.join(late, "task_id", "left_semi"), timeout_hours=timeout_hours, now=now)
+    again = again.join(late, "task_id").select(*out.columns)
+    return out.join(late.select("task_id"), "task_id", "left_anti").unionByName(again)
+
+
+def _folded_tasks(spark: SparkSession, out_dir: str, now: str | None, timeout_hours: int | None) -> DataFrame:
+    raw = _latest(spark, out_dir, OUT_SCHEMA)
     cols = [c for c in raw.columns if c not in ("task_id", "batch_id")]
     last = raw.groupBy("task_id").agg(F.max_by(F.struct(*cols), "batch_id").alias("s"))
     s = F.col("s")
@@ -150,17 +176,27 @@ def current_tasks(spark: SparkSession, out_dir: str, now: str | None = None,
 
 
 def stream_liveness(spark: SparkSession, beats: DataFrame, out_dir: str, checkpoint_dir: str) -> None:
-    """Latest heartbeat per member as a streaming aggregate (complete mode,
+    """Latest heartbeat per member as a streaming aggregate (update mode,
     partial aggregation per micro-batch, state kept per member).  Each batch
-    replaces the table in the shared folder with the full current state."""
+    writes the members that it changed; :func:`current_liveness` reads them."""
     agg = (beats.select("member", "server", F.col("ts").cast("timestamp").alias("ts"), "seq", "detail")
            .groupBy("member")
            .agg(F.max("server").alias("server"), F.max("ts").alias("last_seen"),
                 F.max_by("detail", F.struct("ts", "seq")).alias("last_detail")))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out_dir)
+        batch.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
 
-    q = (agg.writeStream.outputMode("complete").foreachBatch(sink)
+    q = (agg.writeStream.outputMode("update").foreachBatch(sink)
          .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
     q.awaitTermination()
+
+
+LIVE_SCHEMA = "member long, server string, last_seen timestamp, last_detail string"
+
+
+def current_liveness(spark: SparkSession, out_dir: str) -> DataFrame:
+    """(member, server, last_seen, last_detail) after the last batch."""
+    rows = _latest(spark, out_dir, LIVE_SCHEMA)
+    return (rows.groupBy("member").agg(F.max_by(F.struct("server", "last_seen", "last_detail"), "batch_id").alias("s"))
+            .select("member", "s.*"))

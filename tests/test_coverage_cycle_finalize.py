@@ -109,3 +109,23 @@ def test_create_if_absent_is_null_safe(spark):
     existing = spark.createDataFrame([("m1",), (None,)], "month string")
     got = sorted(tuple(r) for r in TK.create_if_absent(plan, existing).collect())
     assert got == [("m2", "a")]   # NOT IN over a NULL would have hidden every month
+
+
+def test_decode_flags_every_loss(spark):
+    texts = ['[{"kind":"table","n_local":5}]', '{"a":1}', '[{"n_local":"abc"}]', "[1, 2]", "not json", "", None, "[]"]
+    log = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "month string, details string")
+    got = {r.month: (r.details_error, len(r.details)) for r in FZ.decode_log(log).collect()}
+    assert got["0"] == (None, 1) and got["5"] == got["6"] == got["7"] == (None, 0)
+    assert all(got[k] == ("corrupt", 0) for k in "1234")
+
+
+def test_reset_voids_a_record(spark):
+    tasks = spark.createDataFrame(
+        [("m1", "a", "complete", "2024-01-03 00:00:00"), ("m2", "a", "complete", "2024-01-01 00:00:00")],
+        "month string, server string, status string, r string").selectExpr(
+        "month", "server", "status", "cast(r as timestamp_ntz) as last_reset_at")
+    log = spark.createDataFrame([("m1", "2024-01-02 00:00:00"), ("m2", "2024-01-02 00:00:00")],
+                                "month string, c string").selectExpr("month", "cast(c as timestamp_ntz) as created_at")
+    assert [r.month for r in FZ.decide(tasks, 1, log).collect()] == ["m1"]
+    states = {r.month: r.cycle_state for r in TK.cycle_state(tasks, "month", 1, log).collect()}
+    assert states == {"m1": "ready_for_finalize", "m2": "finalized"}

@@ -1,5 +1,5 @@
-"""Registered queries against their DuckDB oracles on sf0.001 (the driver
-runs all of them at sf0.01: python tests/check_oracles.py)."""
+"""Registered queries against their DuckDB oracles on sf0.001, streams
+included (python tests/check_oracles.py runs them at sf0.01)."""
 
 import pytest
 
@@ -8,18 +8,12 @@ from lakeledger.plans import queries as Q
 from harness import compare, duck
 
 SF = "/root/testdata/sf0.001"
-FAST = ["plan_units", "coverage_gate", "replay_tasks", "replay_tasks_no_timeout", "task_status_counts",
-        "overdue_tasks", "reports_quality", "latest_unit_status", "task_nested", "task_listing", "liveness",
-        "fleet_board", "fleet_kpis", "next_task", "latest_month", "create_if_absent", "insert_ignore",
-        "reconcile_by_shard"]
-
-
 @pytest.fixture(scope="module")
 def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", FAST)
+@pytest.mark.parametrize("name", sorted(Q.QUERIES))
 def test_query_matches_oracle(spark, con, name):
     r = compare(spark, con, E.queries()[name], E.oracle_sql()[name], SF)
     assert r["match"], r

@@ -111,6 +111,45 @@ def test_order_comes_from_ts_and_seq_not_input_order(spark):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
+def test_late_redelivery_counts_once(spark):
+    """Seq 2 comes again hours later: the earliest delivery counts."""
+    rows = [(1, "claim", 1, 1), (1, "complete", 2, 2), (1, "reset", 3, 3), (1, "claim", 4, 4), (1, "complete", 5, 2)]
+    got = _state(spark, rows, timeout_hours=None, now=None)[1]
+    assert got.status == "progress" and got.completed_at is None
+
+
+def test_finished_cycles_are_cut(spark):
+    """A task with thousands of finished cycles keeps a handful of events."""
+    rows, seq = [], 0
+    for i in range(400):
+        for e in ("claim", "complete", "reset"):
+            rows.append((1, e, i * 3 + seq % 3, seq))
+            seq += 1
+    rows += [(1, "claim", 5000, seq), (1, "failed", 5001, seq + 1)]
+    kept = TK.state_events(_log(spark, rows)).count()
+    assert kept <= 4
+    got = _state(spark, rows, timeout_hours=None, now=None)[1]
+    assert got.status == "failed" and pd.Timestamp(got.first_claim_at) == pd.Timestamp(T0)
+
+
+def test_unit_report_and_reset_at_the_same_instant(spark):
+    tasks = TK.replay_tasks(_log(spark, [(1, "claim", 0, 1), (1, "failed", 1, 2), (1, "reset", 2, 3)]), now=None)
+    at = (T0 + dt.timedelta(hours=2))
+    name = "d_ranking_url_202401_us"
+    reports = spark.createDataFrame([(1, name, "complete", 5, 5, "", at, 4)],
+                                    "task_id long, table_name string, status string, rows_local long, rows_lake long, "
+                                    "error_msg string, ts timestamp_ntz, seq long")
+    units = {r.table_name: r.status for r in TK.latest_units(reports, tasks).collect()}
+    assert units[name] == "complete"
+
+
+def test_liveness_from_text(spark):
+    rows = spark.createDataFrame([("a", "2024-01-02 00:00:00"), ("b", "yesterday"), ("c", None), ("d", "2024-01-01 23:00:00")],
+                                 "member string, last_seen string")
+    got = {r.member: r.online for r in TK.liveness_of_text(rows, "2024-01-02 00:05:00").collect()}
+    assert got == {"a": True, "b": False, "c": False, "d": False}
+
+
 def test_overdue_and_head_of_backlog(spark):
     rows = [(1, "claim", 0, 1), (2, "claim", 40, 2)]
     t = TK.replay_tasks(_log(spark, rows), now=None)
