@@ -62,3 +62,11 @@ def process_cache(name: str) -> dict:
     """A dict that lives as long as the Python worker, across its tasks."""
     import pyspark
     return pyspark.__dict__.setdefault("_lakeledger_cache", {}).setdefault(name, {})
+
+
+def drop_caches() -> None:
+    """Empty the worker's caches: Spark reuses workers, and a task of another
+    operator should not find its memory taken."""
+    import pyspark
+    for cache in pyspark.__dict__.get("_lakeledger_cache", {}).values():
+        cache.clear()

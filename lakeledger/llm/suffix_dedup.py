@@ -34,14 +34,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeledger.llm.common import slices, stored, text_bytes, wide
+from lakeledger.llm.common import drop_caches, slices, stored, text_bytes, wide
 from lakeledger.llm.induced import suffixes
 from lakeledger.llm.wordhash import mix, running, span_hash
 
 LENGTH = 200
 SEED = 64
 HOT = 4096
-SORT_BYTES = 4 << 20   # region bytes sorted at a time
+SORT_BYTES = 2 << 20   # region bytes sorted at a time
 SLICE = 1 << 19        # windows looked at in one step
 PLACE_BITS = 20
 
@@ -111,6 +111,7 @@ def corpus_regions(docs: DataFrame, length: int, seed: int) -> DataFrame:
     """(seed, shape, row, place) of the regions of all texts; shape is a hash
     of a region's bytes and of the place of its seed in it."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
         for b in slices(batches, 256):
             raw, off = text_bytes(b.column(2))
             sums = running(raw)
@@ -205,8 +206,9 @@ def _sort_regions(texts: DataFrame, length: int) -> DataFrame:
             ["row", "place", "a", "b"])
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
         held, count = [], 0
-        for batch in batches:
+        for batch in slices(batches, 2000):
             held.append(batch)
             count += batch.column("bytes").nbytes
             if count < SORT_BYTES:

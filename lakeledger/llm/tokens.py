@@ -28,7 +28,7 @@ import numpy as np
 
 from lakeledger.llm.common import process_cache
 
-GENERATION = 450_000
+GENERATION = 300_000
 MAX_CHARS = 64
 _MARKS = ".,;:!?"
 _LATIN_END = "\u0250"
