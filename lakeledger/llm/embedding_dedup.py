@@ -137,7 +137,7 @@ def embedding_groups(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
     sample = [r[0] for r in once.where(F.col("dim") == main).orderBy(F.xxhash64("node")).limit(SAMPLE)
               .select("embedding").collect()]
     k = max(1, min(MAX_CELLS, count // CELL, len(sample)))
-    sample = unit_rows(np.array(sample, np.float64).reshape(len(sample), -1))
+    sample = unit_rows(np.array(sample, np.float64).reshape(len(sample), main))
     centers = spherical_kmeans(sample, k) if k > 1 else None
     lead = axes(sample) if main > 2 * LEAD else None
     del sample

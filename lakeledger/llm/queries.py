@@ -109,11 +109,11 @@ target AS (
 edge AS (
   SELECT DISTINCT host || path AS u, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                   'abcdefghijklmnopqrstuvwxyz') || regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS v FROM target),
-both AS (SELECT u, v FROM edge UNION SELECT v, u FROM edge),
-reach AS (SELECT u, v FROM both UNION SELECT r.u, b.v FROM reach r JOIN both b ON r.v = b.u),
+ways AS (SELECT u, v FROM edge UNION SELECT v, u FROM edge),
+reach AS (SELECT u, v FROM ways UNION SELECT r.u, b.v FROM reach r JOIN ways b ON r.v = b.u),
 rules(action, r_host, r_path) AS (VALUES {rules}),
 node AS (SELECT DISTINCT host, path FROM parsed
-         UNION SELECT regexp_extract(v, '^[^/]*'), regexp_extract(v, '^[^/]*(.*)', 1) FROM both),
+         UNION SELECT regexp_extract(v, '^[^/]*'), regexp_extract(v, '^[^/]*(.*)', 1) FROM ways),
 best AS (
   SELECT host, path, r_host || r_path AS rule, action FROM node JOIN rules
     ON (host = r_host OR ends_with(host, '.' || r_host)) AND starts_with(path, r_path)
@@ -134,7 +134,25 @@ def op6(spark, sf_dir):
     return url_filters.filter_urls(read_table(spark, sf_dir, "pages"), url_filters.rules_table(spark, URL_RULES))
 
 
-@register("op5_embedding_near_dedup")
+_EMBEDDING_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS norm
+  FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)
+  WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(e, e) > 0),
+link AS (
+  SELECT a.vec_id AS u, b.vec_id AS v FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.9),
+reach AS (SELECT u, v FROM link UNION SELECT r.u, l.v FROM reach r JOIN link l ON r.v = l.u),
+least AS (SELECT u, min(v) AS m FROM reach GROUP BY u),
+n AS (SELECT u, count(*) AS n_links FROM link GROUP BY u)
+SELECT e.vec_id, coalesce(n.n_links, 0)::BIGINT AS n_links,
+       least(e.vec_id, coalesce(l.m, e.vec_id))::BIGINT AS component_id,
+       e.vec_id = least(e.vec_id, coalesce(l.m, e.vec_id)) AS kept
+FROM embeddings e LEFT JOIN n ON e.vec_id = n.u LEFT JOIN least l ON e.vec_id = l.u
+"""
+
+
+@register("op5_embedding_near_dedup", _EMBEDDING_SQL)
 def op5(spark, sf_dir):
     """Groups of all embeddings at a cosine of 0.9."""
     return embedding_dedup.embedding_groups(read_table(spark, sf_dir, "embeddings"), threshold=0.9)
