@@ -243,3 +243,29 @@ def cycle_state(spark, sf_dir):
     cs = TK.cycle_state(tasks, "month", EXPECTED_TASKS, finalized=earlier.select("month"))
     return cs.select("month", "n_tasks", "complete_set", "cycle_state",
                      F.array_join("failed", ",").alias("failed_servers"))
+
+
+@register("finalize_clean", f"""
+WITH t AS ({O.reconcile_at_sql(f"(SELECT *, n_local AS n_lake FROM ({O.all_units_sql(['orders'])}))",
+                               ['table_name', 'month'])}),
+l AS (SELECT *, {O.report_line_sql()} AS line FROM t)
+SELECT month, CASE WHEN n_units = {EXPECTED_TASKS} THEN 'success' ELSE 'not_all_created' END AS status,
+       CASE WHEN n_units = {EXPECTED_TASKS} THEN 'INFO' END AS level,
+       CASE WHEN n_units = {EXPECTED_TASKS} THEN '{FZ.TITLE_SUCCESS}' END AS title,
+       CASE WHEN n_units = {EXPECTED_TASKS} THEN '{",".join(FZ.TAGS["success"])}' END AS tags,
+       CASE WHEN n_units = {EXPECTED_TASKS} THEN 'Month: ' || month || chr(10) || 'All ' || n_units
+            || ' servers finished. 1 tables validated OK.' || chr(10) || line END AS message
+FROM l
+""")
+def finalize_clean(spark, sf_dir):
+    """A clean export of orders: months with all shards finalize as success,
+    with their INFO alert in full."""
+    root = new_run_dir(spark, "lake")
+    S.build_lake(spark, sf_dir, root, ["orders"])
+    local = S.local_counts(spark, sf_dir, ["orders"])
+    held = lake.lake_units(spark, root, ["orders"])
+    units = _stage(spark, export.validate_units(local, held).withColumn("error_msg", F.lit("")), root, "_units")
+    by_table = reconcile.reconcile_at(reconcile.reconcile_units(local, held), ["table_name", "month"])
+    final = _stage(spark, FZ.finalize(export.task_outcome(units), units, by_table, EXPECTED_TASKS), root, "_final")
+    told = FZ.alerts(final).select("month", "level", "title", F.array_join("tags", ",").alias("tags"), "message")
+    return final.select("month", "status").join(told, "month", "left")

@@ -486,3 +486,78 @@ def finalize_after_reset(spark, sf_dir):
     log = tasks.select("server").distinct().withColumn("created_at", F.lit(FINALIZED_AT).cast("timestamp_ntz"))
     holds = TK.live_records(log, tasks, "server").select("server", F.lit(True).alias("holds"))
     return log.join(holds, "server", "left").select("server", F.coalesce("holds", F.lit(False)).alias("holds"))
+
+
+# --- a ledger in which every state and decision occurs: period = customer ---
+
+LEDGER_EXPECTED = 10
+
+_LEDGER_SQL = """
+(SELECT o_orderkey AS task_id, o_custkey AS period, 'order-' || o_orderkey AS server,
+        CASE WHEN o_orderstatus = 'F' AND substr(o_orderpriority, 1, 1) = '1' THEN 'timeout'
+             WHEN o_orderstatus = 'F' AND substr(o_orderpriority, 1, 1) = '2' THEN 'failed'
+             WHEN o_orderstatus = 'F' OR o_custkey % 3 = 0 THEN 'complete'
+             WHEN o_orderstatus = 'O' THEN 'new' ELSE 'progress' END AS status FROM orders)"""
+
+
+def _ledger(spark, sf_dir):
+    """Orders as tasks of their customer: open orders are new or in progress
+    (done for every third customer), finished ones end by their priority."""
+    done, urgency = F.col("o_orderstatus") == "F", F.substring("o_orderpriority", 1, 1)
+    status = (F.when(done & (urgency == "1"), "timeout").when(done & (urgency == "2"), "failed")
+              .when(done | (F.pmod("o_custkey", F.lit(3)) == 0), "complete")
+              .when(F.col("o_orderstatus") == "O", "new").otherwise("progress"))
+    return S.read_source(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("task_id"), F.col("o_custkey").alias("period"),
+        F.concat(F.lit("order-"), F.col("o_orderkey").cast("string")).alias("server"), status.alias("status"))
+
+
+def _ledger_log(spark, sf_dir):
+    return _ledger(spark, sf_dir).select("period").distinct().where(F.pmod("period", F.lit(2)) == 0)
+
+
+@register("cycle_states_ledger", f"""
+WITH g AS (SELECT period, count(*)::BIGINT AS n_tasks,
+                  bool_and(status IN ('complete', 'failed', 'timeout')) AS done,
+                  bool_or(status = 'progress') AS p, bool_or(status = 'new') AS n, bool_or(status = 'timeout') AS t,
+                  list_sort(list(server) FILTER (WHERE status IN ('failed', 'timeout'))) AS failed
+           FROM {_LEDGER_SQL} GROUP BY period)
+SELECT period, n_tasks, done AND n_tasks = {LEDGER_EXPECTED} AS complete_set,
+       CASE WHEN done AND n_tasks = {LEDGER_EXPECTED} AND period % 2 = 0 THEN 'finalized'
+            WHEN done AND n_tasks = {LEDGER_EXPECTED} THEN 'ready_for_finalize' WHEN p THEN 'running'
+            WHEN n THEN 'dispatched' WHEN t THEN 'stalled' ELSE 'idle' END AS cycle_state,
+       coalesce(array_to_string(failed, ','), '') AS failed
+FROM g
+""")
+def cycle_states_ledger(spark, sf_dir):
+    """Cycle state of every customer's orders; all six states occur."""
+    got = TK.cycle_state(_ledger(spark, sf_dir), "period", LEDGER_EXPECTED, _ledger_log(spark, sf_dir))
+    return got.select("period", "n_tasks", "complete_set", "cycle_state", F.array_join("failed", ",").alias("failed"))
+
+
+@register("finalize_decisions", f"""
+WITH g AS (SELECT period, count(*)::BIGINT AS n_tasks,
+                  count(*) FILTER (WHERE status NOT IN ('complete', 'failed', 'timeout'))::BIGINT AS n_not_done,
+                  count(*) FILTER (WHERE status IN ('failed', 'timeout'))::BIGINT AS n_failed
+           FROM {_LEDGER_SQL} GROUP BY period)
+SELECT *, CASE WHEN n_tasks <> {LEDGER_EXPECTED} THEN 'not_all_created' WHEN n_not_done > 0 THEN 'not_all_done'
+               WHEN n_failed > 0 THEN 'partial_failure' ELSE 'compare' END AS decision
+FROM g WHERE period % 2 <> 0
+""")
+def finalize_decisions(spark, sf_dir):
+    """What finalizing decides for every customer without a record."""
+    from lakeledger.operators import finalize as FZ
+    return FZ.decide(_ledger(spark, sf_dir), LEDGER_EXPECTED, _ledger_log(spark, sf_dir), "period")
+
+
+@register("fleet_board_all", f"""
+SELECT r.c_custkey AS member, coalesce(t.status, 'idle') AS status, {_dtxt('l.last_seen')} AS last_seen,
+       coalesce(l.online, FALSE) AS online
+FROM customer r LEFT JOIN {replay_sql()} t ON t.task_id = r.c_custkey LEFT JOIN {LIVENESS_SQL} l ON l.member = r.c_custkey
+""")
+def fleet_board_all(spark, sf_dir):
+    """The board over all customers: those without a task are idle."""
+    live = TK.liveness(RL.heartbeats_from_events(_events(spark, sf_dir)), LIVENESS_NOW)
+    roster = S.read_source(spark, sf_dir, "customer").select(F.col("c_custkey").alias("member"))
+    b = TK.fleet_board(roster, _replay(spark, sf_dir), live)
+    return b.select("member", "status", _txt("last_seen").alias("last_seen"), "online")
