@@ -4,6 +4,9 @@ against the drifted lake.  Imported by :mod:`lakeledger.plans.queries`."""
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import functions as F
 
 from lakeledger.functions import catalog as C
@@ -26,17 +29,21 @@ VALIDATION_ERROR = "row count mismatch or count query failed"
 
 def _world(spark, sf_dir):
     """Build both lakes; return (tasks, units, by_table, root)."""
-    root_a = new_run_dir(spark, "lake")
-    S.build_lake(spark, sf_dir, root_a, BOTH, export_fault=True)
-    root_b = new_run_dir(spark, "lake")
-    S.build_lake(spark, sf_dir, root_b, BOTH, export_fault=True, drift=True)
-    local = S.local_counts(spark, sf_dir, BOTH)
-    units = (export.validate_units(local, lake.lake_units(spark, root_a, BOTH))
+    root_a, root_b = new_run_dir(spark, "lake"), new_run_dir(spark, "lake")
+
+    def built(root: str):
+        S.build_lake(spark, sf_dir, root, BOTH, export_fault=True, drift=root == root_b)
+        return lake.lake_units(spark, root, BOTH)
+
+    with ThreadPoolExecutor(2) as pool:  # the two lakes share the cluster
+        held_a, held_b = pool.map(inheritable_thread_target(spark)(built), [root_a, root_b])
+    local = _stage(spark, S.local_counts(spark, sf_dir, BOTH), root_a, "_local")
+    units = (export.validate_units(local, held_a)
              .withColumn("error_msg", F.when(F.col("status") == "failed", F.lit(VALIDATION_ERROR))
                          .otherwise(F.lit(""))))
     units = _stage(spark, units, root_a, "_units")
     tasks = export.task_outcome(units)
-    drift = reconcile.reconcile_units(local, lake.lake_units(spark, root_b, BOTH))
+    drift = reconcile.reconcile_units(local, held_b)
     by_table = _stage(spark, reconcile.reconcile_at(drift, ["table_name", "month"]), root_b, "_by_table")
     return tasks, units, by_table, root_a
 
@@ -62,7 +69,7 @@ def _final_all(spark, sf_dir):
     tasks, units, by_table, root = _world(spark, sf_dir)
     earlier = _earlier_log(spark, tasks, units, by_table, root)
     now = FZ.finalize(tasks, units, by_table, EXPECTED_TASKS, finalized=earlier)
-    return earlier, now, tasks
+    return earlier, _stage(spark, now, root, "_final"), tasks
 
 
 # ------------------------------------------------------------------ oracle SQL
