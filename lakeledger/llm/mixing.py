@@ -37,6 +37,7 @@ from lakeledger.llm.wordhash import SPACE, word_hashes
 DOMAINS = ("clean", "toxic", "poor")
 BUCKETS = 1 << 16
 SMOOTH = 2.0
+SAMPLE = 2000      # labelled rows of a domain, at most
 MAX_STEPS = 30
 TOLERANCE = 1e-4  # of the target total: a gap, or a change in a step, below it ends the descent
 
@@ -95,13 +96,16 @@ class DomainModel:
         softmax from the others; without rows the posterior is uniform."""
         if not rows:
             return self
-        raws = [np.frombuffer(r[0].encode("utf-8", "surrogatepass"), np.uint8) for r in rows]
+        def raw(i: int) -> tuple[np.ndarray, np.ndarray]:
+            text = np.frombuffer(rows[i][0].encode("utf-8", "surrogatepass"), np.uint8)
+            return text, np.array([0, len(text)])
+
         y = np.array([self.domains.index(r[1]) for r in rows])
         k = len(self.domains)
         half = np.arange(len(rows)) % 2 == 0
         seen = np.full((k, BUCKETS), 0.0)
         for i in np.flatnonzero(half):
-            h, _ = word_hashes(raws[i], np.array([0, len(raws[i])]), SPACE)
+            h, _ = word_hashes(*raw(i), SPACE)
             seen[y[i], np.unique(h & np.uint64(BUCKETS - 1)).astype(np.int64)] += 1
         n = np.bincount(y[half], minlength=k)
         for c in range(k):
@@ -109,7 +113,7 @@ class DomainModel:
             rest = (seen.sum(0) - seen[c] + SMOOTH) / (n.sum() - n[c] + 2 * SMOOTH)
             self.odds[:, c] = np.clip(np.log(mine / rest), -1, 4)
         use = np.flatnonzero(~half) if (~half).any() else np.arange(len(rows))
-        x = np.concatenate([self.features(raws[i], np.array([0, len(raws[i])]))[0] for i in use])
+        x = np.concatenate([self.features(*raw(i))[0] for i in use])
         self.center, self.scale = x.mean(axis=0), x.std(axis=0) + 1e-6
         z = np.c_[np.clip((x - self.center) / self.scale, -10, 10), np.ones(len(x))]
         goal = np.eye(k)[y[use]]
@@ -129,7 +133,7 @@ def domain_model(docs: DataFrame, labels: DataFrame, domains: tuple[str, ...] =
     """A model from a bounded sample of the labelled rows, with the domains'
     shares in all of them as prior."""
     model = DomainModel(domains)
-    sample = labelled_sample(docs, labels, domain_of_labels(), F.lit(True), list(domains))
+    sample = labelled_sample(docs, labels, domain_of_labels(), F.lit(True), list(domains), rows_per_class=SAMPLE)
     model.fit(sample)
     there = dict(labels.groupBy(domain_of_labels().alias("d")).count().where("d is not null").collect())
     mine = [sum(r[1] == d for r in sample) for d in domains]
