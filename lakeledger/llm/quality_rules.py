@@ -13,8 +13,9 @@ mean and covariance of the texts within the 97.5 % distance.  Small groups
 are pooled by language, and small pools over all languages.
 
 A step is two aggregations: a histogram of the distances (for the share's
-limit) and the sums, both partial before the shuffle, so a source with a third
-of all rows is a third of all tasks.  Coordinates are rounded to 1/1024: sums
+limit) and the sums, both partial before the shuffle, and estimates meet rows
+by a broadcast of checked size or a salted join, so a source with a third of
+all rows is a third of all tasks.  Coordinates are rounded to 1/1024: sums
 of them and of their products are then exact in double precision whatever the
 order (up to some 10^7 rows a group, nearly so beyond).
 """
@@ -34,6 +35,8 @@ REPEAT_PERCENT = 30
 CORE = 0.75
 MIN_GROUP = 100       # texts a group needs for an estimate of its own
 MAX_STEPS = 10
+FEW_GROUPS = 10_000   # groups (some 200 bytes each) that are broadcast
+SALTS = 32            # parts of a group when there are more
 TAIL = 1e-6           # of clean normal vectors that the cutoff would reject
 #: least standard deviation of each coordinate: no estimate is so narrow that
 #: usual differences between clean texts count as outliers
@@ -148,9 +151,24 @@ def _cholesky(groups: DataFrame) -> DataFrame:
                       *[f"l{i}{j}" for i in range(P) for j in range(i + 1)], logdet.alias("logdet"))
 
 
-def _distance(rows: DataFrame, params: DataFrame) -> DataFrame:
+def _with_group(rows: DataFrame, groups: DataFrame, few: bool, how: str = "left") -> DataFrame:
+    """Rows with what ``groups`` has for their gid.  Few groups are broadcast;
+    more are joined by gid and a salt, as one group may hold a third of the
+    rows."""
+    if few:
+        return rows.join(F.broadcast(groups), "gid", how)
+    salt = F.pmod(F.xxhash64(*XS), F.lit(SALTS)).cast("int")
+    salted = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("_salt", salt).join(salted, ["gid", "_salt"], how).drop("_salt")
+
+
+def _few(groups: DataFrame) -> bool:
+    return groups.count() <= FEW_GROUPS
+
+
+def _distance(rows: DataFrame, params: DataFrame, few: bool) -> DataFrame:
     """Add d2, the squared Mahalanobis distance to the group's estimate."""
-    out = rows.join(params, "gid", "left")
+    out = _with_group(rows, params, few)
     for i in range(P):
         dot = sum((F.col(f"l{i}{k}") * F.col(f"z{k}") for k in range(i)), F.lit(0.0))
         out = out.withColumn(f"z{i}", (F.col(f"x{i}") - F.col(f"m{i}") - dot) / F.col(f"l{i}{i}"))
@@ -188,15 +206,15 @@ def _start(rows: DataFrame) -> DataFrame:
           for i in range(P) for j in range(i, P)])
 
 
-def _core(rows: DataFrame, params: DataFrame) -> DataFrame:
+def _core(rows: DataFrame, params: DataFrame, few: bool) -> DataFrame:
     """The rows whose distance is among the least ``CORE`` of their group, to
     the width of a bin (0.4 % of the distance)."""
-    d = _distance(rows, params).withColumn("bin", F.floor(F.log1p("d2") * 256))
+    d = _distance(rows, params, few).withColumn("bin", F.floor(F.log1p("d2") * 256))
     bins = d.groupBy("gid", "bin").agg(F.count("*").alias("n"))
     up = Window.partitionBy("gid").orderBy("bin")
     bins = bins.withColumn("upto", F.sum("n").over(up)).withColumn("all", F.sum("n").over(Window.partitionBy("gid")))
     limit = bins.where(F.col("upto") >= F.col("all") * CORE).groupBy("gid").agg(F.min("bin").alias("limit"))
-    return d.join(limit, "gid").where("bin <= limit")
+    return _with_group(d, limit, few, "inner").where("bin <= limit")
 
 
 def minimum_covariance_determinant(rows: DataFrame) -> DataFrame:
@@ -206,13 +224,14 @@ def minimum_covariance_determinant(rows: DataFrame) -> DataFrame:
     inner = chi2_quantile(0.975, P)
     wide_ = 0.975 / chi2_cdf(inner, P + 2)
     params = stored(_cholesky(_start(rows)), "mcd")
+    few = _few(params)
     for step in range(MAX_STEPS):
-        new = stored(_cholesky(_moments(_core(rows, params), shrunk)), "mcd")
+        new = stored(_cholesky(_moments(_core(rows, params, few), shrunk)), "mcd")
         fell = new.join(params.select("gid", F.col("logdet").alias("was")), "gid").where("logdet < was - 1e-4")
         params = new
         if step and fell.isEmpty():
             break
-    near = _distance(rows, params).where(F.col("d2") <= inner)
+    near = _distance(rows, params, few).where(F.col("d2") <= inner)
     return stored(_cholesky(_moments(near, wide_)), "mcd")
 
 
@@ -233,7 +252,7 @@ def quality_rules(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     stats = stored(stats, "statistics")
     rows = stored(_grouped(stats.select("*", *[x.alias(n) for x, n in zip(vector(), XS, strict=True)])), "vectors")
     params = minimum_covariance_determinant(rows.where("not base_failed").select("gid", *XS))
-    out = _distance(rows, params)
+    out = _distance(rows, params, _few(params))
     cutoff = chi2_quantile(1 - TAIL, P)
     return out.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)],
                       "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",

@@ -3,6 +3,7 @@ import math
 import re
 
 import numpy as np
+import pytest
 from llm.helpers import awkward_texts, docs_table, empty_docs
 
 from lakeledger.llm import quality_rules as Q
@@ -53,14 +54,16 @@ def brute_mcd(x):
     return distance(y.mean(axis=0), c)
 
 
-def test_distances_equal_the_estimate_in_numpy(spark):
+@pytest.mark.parametrize("few", [10_000, 0])
+def test_distances_equal_the_estimate_in_numpy(spark, monkeypatch, few):
+    monkeypatch.setattr(Q, "FEW_GROUPS", few)
     rng = np.random.default_rng(4)
     x = np.round(rng.multivariate_normal([1.6, 0.1, 0.1, 0.2, 5], np.diag([.05, .02, .1, .3, 1]) + 0.01, 400) * 1024) / 1024
     x[:40] += [1.5, 1, 1, 3, -3]  # a tenth is bad
     rows = spark.createDataFrame([("g", i, *map(float, r)) for i, r in enumerate(x)],
                                  "gid string, i int, x0 double, x1 double, x2 double, x3 double, x4 double")
     params = Q.minimum_covariance_determinant(rows.select("gid", *Q.XS))
-    got = Q._distance(rows, params).orderBy("i").toPandas().d2.to_numpy()
+    got = Q._distance(rows, params, few > 0).orderBy("i").toPandas().d2.to_numpy()
     assert np.allclose(got, brute_mcd(x), rtol=1e-6)
     assert got[:40].min() > Q.chi2_quantile(1 - Q.TAIL, Q.P) > np.quantile(got[40:], 0.999) / 2
 
