@@ -8,13 +8,16 @@ thousand).  In a shard:
 * best fit decreasing gives the first incumbent; if it meets the lower bound
   (the tokens, and the pieces over half a sequence) it is optimal;
 * else branch and bound by bin completion: the largest piece opens a
-  sequence, the undominated fillings of the room around it are enumerated
-  (a single piece dominates every smaller single and every set that fits in
-  its place; of the pairs and triples only the best for each first piece
-  stays), fullest first, and a branch ends when its waste exceeds what a
-  solution with one sequence less may waste.  A better solution becomes the
-  incumbent.  The search has a budget of nodes; what it proves or finds by
-  then counts, so the result is never worse than best fit decreasing.
+  sequence, and the fillings of the room around it, of any number of pieces,
+  are enumerated depth first over the distinct lengths, fullest first.  Bit
+  sets of the sums that the shorter lengths reach keep the enumeration from
+  dead ends.  A filling is left out if it is dominated (a piece outside can
+  take the place of some of its pieces and fills as much or more), and a
+  branch ends when its waste exceeds what a solution with one sequence less
+  may waste.  A better solution becomes the incumbent.  The search has a
+  budget of nodes (fillings looked at), several times what a way down to a
+  solution takes; what it proves or finds by then counts, so the result is
+  never worse than best fit decreasing.
 
 Lengths are small integers, so a shard is a count for each length, and
 "largest piece that fits" is a bit scan of one Python integer.
@@ -22,6 +25,7 @@ Lengths are small integers, so a shard is a count for each length, and
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,8 +39,7 @@ from lakeledger.llm.token_files import crc_of
 from lakeledger.llm.tokens import encoder
 
 SHARD_PIECES = 8192
-NODES_PER_PIECE = 1
-FILLINGS = 6
+NODES_PER_PIECE = 4
 BATCH = 256
 
 
@@ -105,34 +108,74 @@ def lower_bound(count: dict[int, int], room: int) -> int:
     return best
 
 
-def _fillings(count: dict[int, int], present: int, room: int) -> list[tuple[int, ...]]:
-    """Undominated fillings of ``room``, the fullest first."""
-    def largest(x: int) -> int:
-        return (present & ((1 << (x + 1)) - 1)).bit_length() - 1
-
-    one = largest(room)
-    if one <= 0:
-        return [()]
-    found: dict[tuple[int, ...], int] = {(one,): one}
-    if one < room:
-        a, tried = one, 0
-        while a > 0 and tried < 24 and 2 * a > 0:
-            b = largest(min(a, room - a))
-            if b == a and count[a] < 2:
-                b = largest(b - 1)
-            if b > 0:
-                if a + b > one:  # else the single piece dominates it
-                    found[(a, b)] = a + b
-                if a + b < room:
-                    c = largest(min(b, room - a - b))
-                    if c > 0 and count[c] < 1 + (c == a) + (c == b):
-                        c = largest(c - 1)
-                    if c > 0 and a + b + c > one:
-                        found[(a, b, c)] = a + b + c
-            a, tried = largest(a - 1), tried + 1
-            if 3 * a < room - a and a + 2 * a <= one:
+def _reachable(left: dict[int, int], room: int) -> tuple[list[int], list[int]]:
+    """(sizes, reach): the sizes that are left and fit, ascending; bit x of
+    reach[i] is set if pieces of the first i sizes can add up to x."""
+    sizes = [s for s, n in left.items() if n and s <= room]
+    whole, r = (1 << (room + 1)) - 1, 1
+    reach = [r]
+    for s in sizes:
+        if r != whole:
+            n, k = min(left[s], room // s), 1
+            while n:  # 1, 2, 4, ... copies at a time: any number up to n
+                m = min(k, n)
+                r |= r << (m * s)
+                n, k = n - m, 2 * k
+            r &= whole
+        reach.append(r)
+    return sizes, reach
+
+
+def _complete(left, sizes, reach, i: int, total: int) -> list[tuple[int, int]]:
+    """The first filling (index, copies) of exactly ``total``, reachable with
+    the first i sizes: as many of the largest as can be."""
+    out = []
+    while total:
+        i = min(i, bisect_right(sizes, total)) - 1
+        for k in range(min(left[sizes[i]], total // sizes[i]), -1, -1):
+            rest = total - k * sizes[i]
+            if reach[i] >> rest & 1:
                 break
-    return [x for x, _ in sorted(found.items(), key=lambda x: (-x[1], len(x[0]), [-y for y in x[0]]))[:FILLINGS]]
+        if k:
+            out.append((i, k))
+        total = rest
+    return out
+
+
+def _next(left, sizes, reach, fill: list[tuple[int, int]]) -> list[tuple[int, int]] | None:
+    """The filling of the same total after ``fill``, or None."""
+    rest = 0
+    for at in range(len(fill) - 1, -1, -1):
+        i, had = fill[at]
+        rest += had * sizes[i]
+        for k in range(had - 1, -1, -1):
+            if reach[i] >> (rest - k * sizes[i]) & 1:
+                return [*fill[:at], *([(i, k)] if k else []),
+                        *_complete(left, sizes, reach, i, rest - k * sizes[i])]
+    return None
+
+
+def _dominated(left, sizes, fill: list[tuple[int, int]], waste: int) -> bool:
+    """Martello and Toth's test: one piece that is left over can take the place
+    of some of the filling's (or of none) and fills as much or more."""
+    one = many = outside = 0  # sums of one piece of the filling, and of several
+    used = dict(fill)
+    for i, s in enumerate(sizes):
+        n = used.get(i, 0)
+        if left[s] > n:
+            outside |= 1 << s
+        for _ in range(n):
+            many |= (many | one) << s
+            one |= 1 << s
+    more, width = 1 | one | many, 1
+    spread = many
+    if waste:
+        while width < waste:  # moved by 0 .. waste - 1
+            step = min(width, waste - width)
+            more |= more << step
+            width += step
+        spread |= more << 1
+    return bool(spread & outside)
 
 
 def bin_completion(count: dict[int, int], room: int, nodes: int) -> list[tuple[int, ...]] | None:
@@ -141,55 +184,63 @@ def bin_completion(count: dict[int, int], room: int, nodes: int) -> list[tuple[i
     bound = lower_bound(count, room)
     total = sum(s * n for s, n in count.items())
     best = None
-    left, present = dict(count), sum(1 << s for s in count)
-    path: list[tuple[tuple[int, ...], Iterator]] = []
+    left = {s: count[s] for s in sorted(count)}
+    present = sum(1 << s for s in count)
+    path: list[tuple[int, list[tuple[int, int]], tuple[int, ...]]] = []  # total, filling, sequence
     waste, limit = 0, len(incumbent)
 
-    def take(seq):
-        nonlocal present
-        for s in seq:
-            left[s] -= 1
-            if not left[s]:
-                present &= ~(1 << s)
-
-    def give(seq):
-        nonlocal present
-        for s in seq:
-            left[s] += 1
-            present |= 1 << s
+    def advance(top: int, before: int | None, fill: list[tuple[int, int]]) -> tuple | None:
+        """The next undominated filling around ``top`` whose waste a solution
+        with less sequences can bear, as an entry of the path."""
+        nonlocal nodes
+        free = room - top
+        slack = (limit - 1) * room - total - waste
+        if slack < 0:
+            return None
+        sizes, reach = _reachable(left, free)
+        now = free if before is None else before
+        fill = None if before is None else _next(left, sizes, reach, fill)
+        while nodes > 0:
+            nodes -= 1
+            if fill is None:  # the next total below
+                below = reach[-1] & ((1 << (now + (before is None))) - 1)
+                now, before = below.bit_length() - 1, now
+                if now < 0 or free - now > slack:
+                    return None
+                fill = _complete(left, sizes, reach, len(sizes), now)
+            if not _dominated(left, sizes, fill, free - now):
+                return now, fill, (top, *(sizes[i] for i, k in fill for _ in range(k)))
+            fill = _next(left, sizes, reach, fill)
+        return None
 
     while limit > bound and nodes > 0:
-        nodes -= 1
-        if present:
-            top = present.bit_length() - 1
-            take((top,))
-            options = iter(_fillings(left, present, room - top))
-            give((top,))
-            path.append(((), options))
-        else:
-            best = [seq for seq, _ in path]
+        before, fill = None, []
+        if not present:
+            best = [seq for _, _, seq in path]
             limit = len(best)
-            if limit <= bound:
+        # the next branch: around the largest piece, or back to an earlier one
+        while limit > bound and nodes > 0:
+            entry = None
+            if present:
+                top = present.bit_length() - 1
+                left[top] -= 1
+                entry = advance(top, before, fill)
+                left[top] += 1
+            if entry:
+                for s in entry[2]:
+                    left[s] -= 1
+                    if not left[s]:
+                        present &= ~(1 << s)
+                waste += room - sum(entry[2])
+                path.append(entry)
                 break
-        # the next branch whose waste a solution with less sequences can bear
-        while path:
-            seq, options = path.pop()
-            if seq:
-                give(seq)
-                waste -= room - sum(seq)
-            top = present.bit_length() - 1
-            fill = next(options, None)
-            if fill is None:
-                continue
-            seq = (top, *fill)
-            if waste + room - sum(seq) > (limit - 1) * room - total:
-                continue  # fillings come fullest first: the others waste more
-            take(seq)
-            waste += room - sum(seq)
-            path.append((seq, options))
-            break
-        if not path:
-            break
+            if not path:
+                return best
+            before, fill, seq = path.pop()
+            for s in seq:
+                left[s] += 1
+                present |= 1 << s
+            waste -= room - sum(seq)
     return best
 
 

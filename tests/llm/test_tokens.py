@@ -138,6 +138,26 @@ def test_search_beats_best_fit_decreasing():
     assert len(set(packing.pack_lengths(sizes, 10)[0].tolist())) <= len(packing.best_fit_decreasing(count, 10))
 
 
+def test_search_fills_with_more_than_four_pieces():
+    count = {901: 3000, 696: 2000}  # 3 x 901 + 2 x 696 = 4095
+    sizes = np.repeat([901, 696], [3000, 2000])
+    seq, offset = packing.pack_lengths(sizes, 4096)
+    assert packing.lower_bound(count, 4096) == 1000 < len(packing.best_fit_decreasing(count, 4096))
+    assert len(set(seq.tolist())) == 1000
+    assert np.bincount(seq, sizes).max() <= 4096 and (offset[1:] != offset[:-1]).any()
+
+
+def test_search_without_a_budget_is_exact():
+    rng = random.Random(9)
+    for _ in range(150):
+        room = rng.choice([10, 20, 37])
+        sizes = [rng.randint(1, room // rng.choice([1, 2, 4])) for _ in range(rng.randint(1, 11))]
+        count = {s: sizes.count(s) for s in sizes}
+        found = packing.bin_completion(count, room, 1_000_000) or packing.best_fit_decreasing(count, room)
+        assert sorted(s for x in found for s in x) == sorted(sizes) and max(map(sum, found)) <= room
+        assert len(found) == brute_bins(sizes, room)
+
+
 def test_empty_tables(spark):
     assert packing.pack_documents(empty_docs(spark), WORD, "word", end_id=1).collect() == []
     path = new_run_dir(spark, "tokens") + "/files"
