@@ -16,10 +16,9 @@ from lakeledger.llm import mixing, packing, quality_rules, simhash, suffix_dedup
 from lakeledger.llm.common import read_table, stored
 from lakeledger.session import apply_required_conf
 
-#: shares of the mix; it holds a little more clean text than there is, so that
-#: a clean document's rate, lowered by what doubt is left, is about one
+#: shares of the mix; it holds as much clean text as there is
 MIX = {"clean": 0.99, "toxic": 0.01, "poor": 0.0}
-TIMES = 1.03
+TIMES = 1.0
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -62,7 +62,8 @@ class DomainModel:
         self.odds = np.zeros((BUCKETS, len(domains)), np.float32)
         self.weights = np.zeros((2 * len(domains) + 5, len(domains)))
         self.center, self.scale = np.zeros(len(self.weights) - 1), np.ones(len(self.weights) - 1)
-        self.shift = np.zeros(len(domains))  # from the sample's shares to those of all labels
+        self.seen = np.zeros(len(domains))   # rows of each domain that the softmax was fitted on
+        self.shift = np.zeros(len(domains))  # from their shares to those of all labelled rows
 
     def features(self, raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(features, words of each text)."""
@@ -92,8 +93,9 @@ class DomainModel:
         return p / p.sum(axis=1, keepdims=True)
 
     def fit(self, rows: list[tuple]) -> DomainModel:
-        """From rows (text, domain).  Odds come from every second row, the
-        softmax from the others; without rows the posterior is uniform."""
+        """From rows (text, domain).  Odds come from every second row of a
+        domain, the softmax from the others (the first is one of them); without
+        rows the posterior is uniform."""
         if not rows:
             return self
         def raw(i: int) -> tuple[np.ndarray, np.ndarray]:
@@ -102,7 +104,9 @@ class DomainModel:
 
         y = np.array([self.domains.index(r[1]) for r in rows])
         k = len(self.domains)
-        half = np.arange(len(rows)) % 2 == 0
+        half = np.zeros(len(rows), bool)
+        for c in range(k):
+            half[np.flatnonzero(y == c)[1::2]] = True
         seen = np.full((k, BUCKETS), 0.0)
         for i in np.flatnonzero(half):
             h, _ = word_hashes(*raw(i), SPACE)
@@ -112,7 +116,8 @@ class DomainModel:
             mine = (seen[c] + SMOOTH) / (n[c] + 2 * SMOOTH)
             rest = (seen.sum(0) - seen[c] + SMOOTH) / (n.sum() - n[c] + 2 * SMOOTH)
             self.odds[:, c] = np.clip(np.log(mine / rest), -1, 4)
-        use = np.flatnonzero(~half) if (~half).any() else np.arange(len(rows))
+        use = np.flatnonzero(~half)
+        self.seen = np.bincount(y[use], minlength=k)
         x = np.concatenate([self.features(*raw(i))[0] for i in use])
         self.center, self.scale = x.mean(axis=0), x.std(axis=0) + 1e-6
         z = np.c_[np.clip((x - self.center) / self.scale, -10, 10), np.ones(len(x))]
@@ -130,15 +135,20 @@ class DomainModel:
 
 
 def domain_model(docs: DataFrame, labels: DataFrame, domains: tuple[str, ...] = DOMAINS) -> DomainModel:
-    """A model from a bounded sample of the labelled rows, with the domains'
-    shares in all of them as prior."""
+    """A model from a bounded sample of the labelled rows of ``docs``, with the
+    domains' shares in all of these as prior.  Labels of documents that are not
+    in ``docs`` count nowhere; a domain without a row has posterior zero."""
     model = DomainModel(domains)
-    sample = labelled_sample(docs, labels, domain_of_labels(), F.lit(True), list(domains), rows_per_class=SAMPLE)
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
+    lab = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), domain_of_labels().alias("label"))
+           .where(F.col("label").isin(*domains)).distinct())
+    lab = stored(ids.join(lab, "doc_id"), "labels")  # a row for each labelled document
+    sample = labelled_sample(docs, lab, F.col("label"), F.lit(True), list(domains), rows_per_class=SAMPLE)
     model.fit(sample)
-    there = dict(labels.groupBy(domain_of_labels().alias("d")).count().where("d is not null").collect())
-    mine = [sum(r[1] == d for r in sample) for d in domains]
-    if sample and all(mine):
-        model.shift = np.log([there[d] / n for d, n in zip(domains, mine, strict=True)])
+    there = dict(lab.groupBy("label").count().collect())
+    if sample:
+        model.shift = np.array([np.log(there[d] / n) if n else -np.inf
+                                for d, n in zip(domains, model.seen.tolist(), strict=True)])
     return model
 
 

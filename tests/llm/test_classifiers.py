@@ -124,6 +124,24 @@ def test_unreachable_targets_give_the_nearest_mix(spark):
     assert np.allclose(rates, [1.0, 1.0])  # both domains are equally wrong
 
 
+def test_domains_are_learnt_from_the_documents_there(spark):
+    """Labels of documents that are gone neither fill the sample nor count in
+    the prior, and a domain without a document leaves the others theirs."""
+    rng = np.random.default_rng(2)
+    word = lambda c: " ".join(rng.choice([f"{c}{i}" for i in range(9)], 40))
+    docs = [(i, word("c")) for i in range(300)] + [(i, word("p")) for i in range(300, 330)]
+    labels = spark.createDataFrame(
+        [(i, 0, int(i < 300)) for i, _ in docs] + [(i, 0, 0) for i in range(1000, 41_000)] + [(50_000, 1, 1)],
+        "doc_id long, toxic int, quality int")
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    model = mixing.domain_model(docs, labels)
+    assert model.seen.tolist() == [150, 0, 15]
+    assert np.allclose(np.exp(model.shift), [2, 0, 2])
+    p = {r.doc_id: r.p for r in mixing.memberships(docs, model, ["doc_id"]).collect()}
+    assert all(p[i][1] == 0 for i in p) and sum(p[i][0] for i in range(300)) > 297
+    assert sum(p[i][2] for i in range(300, 330)) > 29
+
+
 def test_copies_follow_the_rates(spark):
     rates = spark.range(20_000).select(F.col("id").alias("doc_id"), (F.col("id") % 5 / 2).alias("rate"))
     got = mixing.taken(rates).groupBy("rate").agg(F.avg("copies").alias("c"), F.min("copies").alias("lo"),
