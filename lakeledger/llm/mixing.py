@@ -8,13 +8,19 @@ expected tokens of the domains under the rates and the targets:
 
     sum over domains k of (sum over documents d of rate_d tokens_d p_dk - target_k)^2 / held_k
 
-by projected gradient descent from rate 1, so documents move as little as the
-targets ask.  The gradient is taken for each token, which makes a document's
-step the posterior mean of the domains' relative errors; the largest
-eigenvalue of that problem is 1, so step 1 never diverges.  An iteration is one
-aggregation of a stored table (tokens, posteriors) into one sum a domain:
-partial sums before the shuffle, a few numbers to the driver.  The rate is a
-function of the posterior and the steps so far, so it is never stored.
+with as little movement from rate 1 as the targets ask.  With a weight on the
+squared movement the minimum has the form rate_d = max(0, 1 - p_d . step) with
+one number a domain in step, found by Newton's method with a line search; a
+domain's weight falls tenfold at a time until it is at its target.  Targets
+that are still missed when it is negligible cannot be met; the rates are then
+those of the nearest mix.  A target of zero is never met while other domains'
+documents leave some doubt, and pressing it on would leave only the few
+documents with the least doubt, many times each; so its weight stays at
+``ZERO_WEIGHT`` unless the domain would grow.  In both cases a warning names
+the totals.  An iteration is one
+aggregation of a stored table (tokens, posteriors) into a few sums: partial
+sums before the shuffle, some ten numbers to the driver.  The rate is a
+function of the posterior and the step, so it is never stored.
 
 The classifier is a softmax over, for each domain, the mean and maximum over
 the words of the domain's log odds (hashed words), and a few rates of the
@@ -23,6 +29,7 @@ text's shape (letters in capitals, symbols, words equal to the one before).
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,8 +45,10 @@ DOMAINS = ("clean", "toxic", "poor")
 BUCKETS = 1 << 16
 SMOOTH = 2.0
 SAMPLE = 2000      # labelled rows of a domain, at most
-MAX_STEPS = 30
-TOLERANCE = 1e-4  # of the target total: a gap, or a change in a step, below it ends the descent
+TOLERANCE = 1e-4   # gap that counts as none: of a domain's target, or of the whole mix where that is zero
+LEAST_WEIGHT = 8   # the movement's weight falls to 10 ** -8
+ZERO_WEIGHT = 2    # or to 10 ** -2 for a domain with target zero
+MAX_STEPS = 200    # aggregations
 
 _UPPER = np.zeros(256)
 _UPPER[65:91] = 1
@@ -174,8 +183,8 @@ def memberships(docs: DataFrame, model: DomainModel, keep: list[str]) -> DataFra
 
 def fit_rates(members: DataFrame, domains: tuple[str, ...], weights: dict[str, float],
               total: float | None = None, full: str | None = None, times: float = 1.0) -> list[list[float]]:
-    """The steps of the descent over a table with n_tokens and p: in each, what
-    a domain's posterior takes from the rate.
+    """The step (a list of one, or none) over a table with n_tokens and p:
+    what a domain's posterior takes from the rate.
 
     ``weights``: the share of each domain in the mix (scaled to sum 1).
     ``total``: tokens of the whole mix; by default those that are there.
@@ -185,26 +194,67 @@ def fit_rates(members: DataFrame, domains: tuple[str, ...], weights: dict[str, f
     """
     cur = stored(members.select("n_tokens", "p"), "members")
     k = len(domains)
-
-    def tokens(rate: Column) -> list[float]:
-        return [float(v) for v in cur.agg(*[
-            F.coalesce(F.sum(rate * F.col("n_tokens") * F.col("p")[i]), F.lit(0.0)) for i in range(k)]).first()]
-
-    held = got = tokens(F.lit(1.0))
+    pairs = [(i, j) for i in range(k) for j in range(i + 1)]
+    passes = 0
+
+    def sums(step: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+        """Tokens of the domains under the rates, their derivative by -step,
+        and half the squared rates."""
+        nonlocal passes
+        passes += 1
+        n, p, rate = F.col("n_tokens"), F.col("p"), F.col("_rate")
+        live = F.when(rate > 0, n)
+        row = cur.withColumn("_rate", rate_of(F.col("p"), [step.tolist()])).agg(*[
+            F.coalesce(F.sum(x), F.lit(0.0)) for x in (
+                *[rate * n * p[i] for i in range(k)], *[live * p[i] * p[j] for i, j in pairs], rate * rate * n / 2)]).first()
+        h = np.zeros((k, k))
+        for (i, j), v in zip(pairs, row[k:-1], strict=True):
+            h[i, j] = h[j, i] = v
+        return np.array(row[:k], float), h, float(row[-1])
+
+    step = np.zeros(k)
+    got, h, half = sums(step)
+    held = got
     there = sum(weights.values())
     share = [weights.get(d, 0.0) / there for d in domains]
     if full is not None:
         total = times * held[domains.index(full)] / share[domains.index(full)]
-    goal = [s * (sum(held) if total is None else total) for s in share]
-    live = [h > 0 for h in held]
-    steps: list[list[float]] = []
-    while len(steps) < MAX_STEPS and any(
-            ok and abs(g - t) > TOLERANCE * sum(goal) for g, t, ok in zip(got, goal, live, strict=True)):
-        steps.append([(g - t) / h if ok else 0.0 for g, t, h, ok in zip(got, goal, held, live, strict=True)])
-        last, got = got, tokens(rate_of(F.col("p"), steps))
-        if max(abs(a - b) for a, b in zip(last, got, strict=True)) <= TOLERANCE * sum(goal):
-            break  # the targets cannot be met: this is the nearest mix
-    return steps
+    goal = np.array([s * (held.sum() if total is None else total) for s in share])
+    live = held > 0
+    allowed = TOLERANCE * np.where(goal > 0, goal, goal.sum())
+    met = lambda: bool((np.abs(got - goal) <= allowed)[live].all())
+    fall = np.zeros(k, int)  # the weights are 10 ** -fall
+    while not met() and passes < MAX_STEPS:
+        mass = 10.0 ** -fall * held
+        value = half + goal @ step + (mass * step * step).sum() / 2
+        while passes < MAX_STEPS:
+            slope = np.where(live, goal - got + mass * step, 0.0)
+            if (np.abs(slope) <= allowed / 10)[live].all():
+                break
+            move = np.zeros(k)
+            move[live] = -np.linalg.solve((h + np.diag(mass))[np.ix_(live, live)], slope[live])
+            size = 1.0
+            while True:
+                new = step + size * move
+                now, new_h, new_half = sums(new)
+                new_value = new_half + goal @ new + (mass * new * new).sum() / 2
+                if new_value <= value + 1e-4 * size * (slope @ move) + 1e-12 * abs(value) or passes >= MAX_STEPS:
+                    break
+                size /= 2
+            stuck = size * np.abs(move).max() <= 1e-14 * max(1.0, np.abs(new).max())
+            step, got, h, half, value = new, now, new_h, new_half, new_value
+            if stuck:
+                break
+        least = np.where((goal > 0) | (got > held * (1 + TOLERANCE)), LEAST_WEIGHT, ZERO_WEIGHT)
+        lower = live & (np.abs(got - goal) > allowed) & (fall < least)
+        if not lower.any():
+            break
+        fall += lower
+    if not met():
+        warnings.warn("the mix misses its targets: " + ", ".join(
+            f"{d} {g:.6g} tokens, target {t:.6g}" for d, g, t, ok in zip(domains, got, goal, live, strict=True) if ok),
+            stacklevel=2)
+    return [step.tolist()] if step.any() else []
 
 
 def rate_of(p: Column, steps: list[list[float]]) -> Column:

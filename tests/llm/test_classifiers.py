@@ -124,6 +124,22 @@ def test_unreachable_targets_give_the_nearest_mix(spark):
     assert np.allclose(rates, [1.0, 1.0])  # both domains are equally wrong
 
 
+def test_overlapping_domains_reach_their_targets(spark):
+    rng = np.random.default_rng(5)
+    poor = np.where(rng.random(2000) < 0.14, rng.normal(0.30, 0.1, 2000), rng.normal(0.1, 0.1, 2000)).clip(0.001, 0.999)
+    members = spark.createDataFrame([(100, [1 - float(x), float(x)]) for x in poor], "n_tokens long, p array<double>")
+    steps = mixing.fit_rates(members, ("a", "b"), {"a": 0.97, "b": 0.03})
+    got = members.withColumn("rate", mixing.rate_of(F.col("p"), steps)).agg(
+        *[F.sum(F.col("rate") * F.col("n_tokens") * F.col("p")[i]) for i in (0, 1)]).first()
+    assert np.allclose(got, [0.97 * 200_000, 0.03 * 200_000], rtol=2e-4)
+
+
+def test_missed_targets_are_reported(spark):
+    members = spark.createDataFrame([(10, [0.5, 0.5])], "n_tokens long, p array<double>")
+    with pytest.warns(UserWarning, match="misses its targets: a 5 tokens, target 10, b 5 tokens, target 0"):
+        mixing.fit_rates(members, ("a", "b"), {"a": 1.0, "b": 0.0})
+
+
 def test_domains_are_learnt_from_the_documents_there(spark):
     """Labels of documents that are gone neither fill the sample nor count in
     the prior, and a domain without a document leaves the others theirs."""
