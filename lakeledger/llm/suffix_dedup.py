@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeledger.llm.common import drop_caches, slices, stored, text_bytes, wide
-from lakeledger.llm.induced import suffixes
+from lakeledger.llm.induced import CAP, suffixes
 from lakeledger.llm.wordhash import mix, running, span_hash
 
 LENGTH = 200
@@ -246,6 +246,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, seed: int = SEED, hot:
     cover, unmerged."""
     if not 0 < seed <= length or length - seed + 1 > 256:
         raise ValueError("seeds must be at most as long as the strings, and shorter by 255 bytes at most")
+    if length > CAP:
+        raise ValueError(f"common prefixes are known up to {CAP} bytes: no longer strings can be found")
     many = corpus_regions(docs, length, seed).groupBy("seed").agg(F.count("*").alias("k")).where("k > 1")
     found = stored(corpus_regions(docs, length, seed).join(many, "seed", "left_semi"), "regions")
     shapes = stored(found.groupBy("seed", "shape").agg(

@@ -2,6 +2,7 @@ import collections
 import hashlib
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm.helpers import awkward_texts, docs_table, empty_docs
@@ -83,3 +84,10 @@ def test_kept_text_and_other_columns(spark):
 
 def test_empty_table(spark):
     assert suffix_dedup.deduplicate(empty_docs(spark), ["doc_id"]).collect() == []
+
+
+def test_strings_beyond_the_prefix_cap_are_refused(spark):
+    docs = docs_table(spark, [(1, "x"), (2, "y")])
+    with pytest.raises(ValueError, match="up to 255 bytes"):
+        suffix_dedup.repeated_spans(docs, length=256)
+    assert suffix_dedup.repeated_spans(docs, length=255).collect() == []
