@@ -59,15 +59,21 @@ def fingerprint(text: str, shingle: int = 3) -> int:
     return int(np.packbits(2 * ones > len(h), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp) of a documents table, fp as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = 3, marked: bool = False) -> DataFrame:
+    """(doc_id, fp) of a documents table, fp as a signed long; with ``marked``
+    also mark, a hash of the text."""
+    names = ["doc_id", *(["mark"] if marked else [])]
+
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = [fingerprint(t, shingle) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(np.array(fp, np.uint64).view(np.int64))], ["doc_id", "fp"])
+                [b.column(0), *b.columns[2:], pa.array(np.array(fp, np.uint64).view(np.int64))], [*names, "fp"])
 
-    return wide(documents(docs)).mapInArrow(each, "doc_id long, fp long")
+    rows = documents(docs)
+    if marked:
+        rows = rows.withColumn("mark", _mark())
+    return wide(rows).mapInArrow(each, "".join(f"{n} long, " for n in names) + "fp long")
 
 
 def popcount_vector(fp: Column) -> Column:
@@ -128,7 +134,13 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> Data
     (unless all ids of one are null: then component_id is null).  An empty
     table gives an empty result; other columns are ignored.
     """
-    fps = stored(fingerprints(docs, shingle), "fingerprints")
+    return _grouped(fingerprints(docs, shingle), max_bits).select("doc_id", "fp", "component_id")
+
+
+def _grouped(fps: DataFrame, max_bits: int) -> DataFrame:
+    """Add component (one of its fingerprints) and component_id to rows with
+    doc_id and fp."""
+    fps = stored(fps, "fingerprints")
     distinct = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fp")
     _, cells = grid_cells(max_bits)
     vec = popcount_vector(F.col("fp"))
@@ -140,19 +152,29 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> Data
     named = (distinct.join(comp, distinct.fp == comp.node, "left")
              .select("fp", "least", F.coalesce("component", "fp").alias("component")))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_fp = named.join(least, "component").select("fp", "component_id")
-    return fps.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+    by_fp = named.join(least, "component").select("fp", "component", "component_id")
+    return fps.join(by_fp, "fp")
+
+
+def _mark() -> Column:
+    """What tells rows of one id apart: a hash of the text."""
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
 
 
 def simhash_dedup(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """The documents that stay, with all columns as they came: of each group
-    the one with the least doc_id; of rows that share that id, one with the
-    least text.  Rows with a null doc_id name no document to keep or drop and
-    stay.  Empty texts form one group.  An empty table gives an empty result.
+    the one with the least doc_id; of rows of the group that share that id, one
+    with the least text.  Rows of one id with texts in different groups are
+    rows of their own.  Rows with a null doc_id name no document to keep or
+    drop and stay.  Empty texts form one group.  An empty table gives an empty
+    result.
     """
-    groups = simhash_groups(docs, shingle, max_bits)
-    keep = groups.groupBy("component_id").agg(F.min("doc_id").alias("_stay")).select("_stay")
-    kept = docs.join(keep, docs.doc_id == F.col("_stay"), "left_semi")
-    rest = F.struct(*docs.columns).alias("row")
-    one = kept.groupBy("doc_id").agg(F.min_by(rest, F.coalesce("text", F.lit(""))).alias("row"))
-    return one.select("row.*").unionByName(docs.where("doc_id is null"))
+    groups = _grouped(fingerprints(docs, shingle, marked=True), max_bits)
+    keep = (groups.where("doc_id = component_id")
+            .select(F.col("doc_id").alias("_stay"), F.col("mark").alias("_of"), "component").distinct())
+    rest = F.struct(*[F.col(c) for c in docs.columns]).alias("_row")
+    rows = docs.select(rest, F.col("doc_id").cast("long").alias("_id"), _mark().alias("_mark"),
+                       F.coalesce("text", F.lit("")).alias("_text"))
+    kept = rows.join(keep, (F.col("_id") == F.col("_stay")) & (F.col("_mark") == F.col("_of")))
+    one = kept.groupBy("_id", "component").agg(F.min_by("_row", "_text").alias("_row"))
+    return one.select("_row.*").unionByName(docs.where("doc_id is null"))

@@ -58,6 +58,15 @@ def test_dedup_keeps_one_of_each_group_with_its_columns(spark):
     assert ids.count(None) == 2  # rows without an id stay
 
 
+def test_dedup_keeps_rows_of_one_id_by_group(spark):
+    """Two groups that are both named by id 5, and a near copy under a larger id."""
+    one, two = " ".join(f"a{i}" for i in range(80)), " ".join(f"b{i}" for i in range(80))
+    docs = docs_table(spark, [(5, two), (5, one), (5, one), (7, two), (9, one), (8, " ".join(f"c{i}" for i in range(80)))])
+    kept = simhash.simhash_dedup(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r.text[:2]) for r in kept.collect()) == [(5, "a0"), (5, "b0"), (8, "c0")]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.integers(0, 2**64 - 1), st.sets(st.integers(0, 63), max_size=7))
 def test_linked_fingerprints_share_a_cell(fp, flips):
