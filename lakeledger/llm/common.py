@@ -45,6 +45,19 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBa
             yield b.slice(at, rows)
 
 
+def size_slices(batches: Iterator[pa.RecordBatch], column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches whose texts in ``column`` have about ``most``
+    bytes; a longer text comes alone or with shorter ones before it."""
+    for b in batches:
+        ends = text_bytes(b.column(column))[1][1:]
+        at = 0
+        while at < b.num_rows:
+            before = int(ends[at - 1]) if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, before + most, "right")))
+            yield b.slice(at, to - at)
+            at = to
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column, concatenated, and the n + 1 row
     offsets into them.  Nulls must have been replaced before."""

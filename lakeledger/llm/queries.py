@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeledger.llm import (embedding_dedup, mixing, packing, quality_classifier, quality_rules, simhash, suffix_dedup,
-                            token_files, toxicity, url_filters)
+from lakeledger.llm import (embedding_dedup, mixing, packing, periodic, quality_classifier, quality_rules, simhash,
+                            suffix_dedup, token_files, toxicity, url_filters)
 from lakeledger.llm.common import read_table
 from lakeledger.llm.training import remainder
 from lakeledger.session import apply_required_conf, new_run_dir
@@ -168,3 +168,34 @@ def op4(spark, sf_dir):
 def op1(spark, sf_dir):
     """All documents without the strings of 200 bytes that occur elsewhere."""
     return suffix_dedup.deduplicate(read_table(spark, sf_dir, "documents"), ["doc_id"], length=200)
+
+
+def _planted(docs: DataFrame) -> DataFrame:
+    """Every tenth document (by crc32 of its id) with its tail made periodic,
+    as the contract of op13 asks; the others as they are."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda x: x != "")
+    docs = docs.select("doc_id", "text", F.when(h % 10 == 0, words).alias("w"), F.floor(h / 10).alias("g"))
+    docs = docs.select("*", F.size("w").cast("long").alias("n")).select("*", F.expr("g % nullif(n, 0)").alias("a"))
+    docs = docs.select("*", F.expr("1 + (n - a) div (3 + g % 8)").alias("p"))
+    tail = F.expr("""slice(flatten(array_repeat(slice(w, int(a + 1), int(p)), int((n - a) div p + 1))), 1, int(n - a))""")
+    text = F.array_join(F.concat(F.expr("slice(w, 1, int(a))"), tail), " ")
+    return docs.select("doc_id", F.when(F.col("n") > 0, text).otherwise(F.col("text")).alias("text"))
+
+
+@register("op13_periodic_runs")
+def op13(spark, sf_dir):
+    """Periodic runs of the words of all documents."""
+    runs = periodic.periodic_runs(_planted(read_table(spark, sf_dir, "documents")), exponent=4, least=6)
+    # greatest length / period without rounding: products of the other's period
+    better = """array_sort(runs, (x, y) -> CASE
+        WHEN x.length * y.period > y.length * x.period THEN -1 WHEN x.length * y.period < y.length * x.period THEN 1
+        WHEN x.start < y.start THEN -1 WHEN x.start > y.start THEN 1 WHEN x.period < y.period THEN -1
+        WHEN x.period > y.period THEN 1 ELSE 0 END)"""
+    lines = "concat_ws('', transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')))"
+    best = F.expr(f"get({better}, 0)")
+    return runs.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"),
+        best["period"].alias("period"), F.expr(f"1000 * get({better}, 0).length div get({better}, 0).period").alias("exponent_milli"),
+        F.sha2(F.expr(lines).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
