@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeledger.llm import (embedding_dedup, mixing, packing, periodic, quality_classifier, quality_rules, simhash,
-                            suffix_dedup, token_files, toxicity, url_filters)
+                            suffix_dedup, token_files, toxicity, url_filters, window_dedup)
 from lakeledger.llm.common import read_table
 from lakeledger.llm.training import remainder
 from lakeledger.session import apply_required_conf, new_run_dir
@@ -199,3 +199,29 @@ def op13(spark, sf_dir):
         best["period"].alias("period"), F.expr(f"1000 * get({better}, 0).length div get({better}, 0).period").alias("exponent_milli"),
         F.sha2(F.expr(lines).cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+_WINDOW_SQL = r"""
+WITH w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents),
+win AS (SELECT doc_id, i, array_to_string(ws[i:i + 49], ' ') AS s
+        FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM w WHERE len(ws) >= 50)),
+least AS (SELECT s, min(doc_id) AS m FROM win GROUP BY s),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i
+         FROM (SELECT win.doc_id, win.i FROM win JOIN least USING (s) WHERE m < win.doc_id)),
+per AS (SELECT doc_id, list(i) AS places FROM gone GROUP BY doc_id)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(len(places), 0)::BIGINT AS n_removed,
+       sha256(array_to_string(CASE WHEN places IS NULL THEN ws ELSE
+         list_filter(ws, lambda x, i: NOT list_contains(places, i)) END, ' ')) AS kept_sha256
+FROM w LEFT JOIN per ON w.doc_id = per.doc_id
+"""
+
+
+@register("op12_substring_dedup", _WINDOW_SQL)
+def op12(spark, sf_dir):
+    """All documents without the 50-word windows of earlier documents."""
+    left = window_dedup.drop_repeated_windows(read_table(spark, sf_dir, "documents"), window=50)
+    return left.select(
+        "doc_id", "n_words", F.expr("aggregate(removed, 0L, (n, r) -> n + r.end - r.start)").alias("n_removed"),
+        F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
