@@ -31,8 +31,8 @@ from lakeledger.llm.common import documents, text_bytes
 from lakeledger.llm.wordhash import SPACE, mix, running, span_hash, spans
 
 CHECK = 16
-BATCH_BYTES = 8 << 20   # of text in a batch, on average
-BUCKET_BYTES = 32 << 20  # of text whose windows meet in a bucket, on average
+BATCH_BYTES = 4 << 20   # of text in a batch, on average
+BUCKET_BYTES = 8 << 20  # of text whose windows meet in a bucket, on average
 
 
 def _chunk(column: pa.ChunkedArray) -> pa.Array:
