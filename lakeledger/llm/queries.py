@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeledger.llm import (embedding_dedup, mixing, packing, periodic, quality_classifier, quality_rules, simhash,
-                            suffix_dedup, token_files, toxicity, url_filters, window_dedup)
+from lakeledger.llm import (alignment, embedding_dedup, mixing, packing, periodic, quality_classifier, quality_rules,
+                            simhash, suffix_dedup, token_files, toxicity, url_filters, window_dedup)
 from lakeledger.llm.common import read_table
 from lakeledger.llm.training import remainder
 from lakeledger.session import apply_required_conf, new_run_dir
@@ -225,3 +225,11 @@ def op12(spark, sf_dir):
     return left.select(
         "doc_id", "n_words", F.expr("aggregate(removed, 0L, (n, r) -> n + r.end - r.start)").alias("n_removed"),
         F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@register("op11_cross_tokenizer_alignment")
+def op11(spark, sf_dir):
+    """Links between the ids of two tokenizers in all documents."""
+    return alignment.score(alignment.align(read_table(spark, sf_dir, "documents"),
+                                           public_tokenizers.path("byte_bpe_50k.json"),
+                                           public_tokenizers.path("piece_bpe_32k.model")))
