@@ -6,8 +6,10 @@ model.  Both cut before a space or newline that has no white space on either
 side: A's pre-tokenizer always does, B if none of its pieces has a space behind
 another character or a newline at all, which is tested once.  So a text is cut
 there, each distinct word is encoded once by both libraries, and the groups of
-a text are those of its words.  Texts with other white space, or all texts if B
-fails the test, are encoded whole.
+a text are those of its words.  Marks behind a letter are units by themselves:
+A's pre-tokenizer cuts there, too, and B if no piece holds a mark behind a
+letter.  Texts with other white space, or all texts if B fails the tests, are
+encoded whole.
 """
 
 from __future__ import annotations
@@ -16,11 +18,13 @@ import hashlib
 
 import numpy as np
 
+from lakeledger.llm import tokens
 from lakeledger.llm.common import process_cache
 
 GENERATION = 300_000  # words in the memo; it starts anew beyond that
 LONGEST = 64          # characters of a word that the memo keeps
 _SPACE = "▁"
+_MARKS = ".,;:!?#$%&*"
 
 
 class _Odd(Exception):
@@ -28,17 +32,21 @@ class _Odd(Exception):
 
 
 class _Numbers(dict):
-    """word -> its number; ``lead`` stands before each word."""
+    """word -> the number of its piece; ``lead`` stands before each word."""
 
-    def __init__(self, new: list, lead: str):
+    def __init__(self, home: Aligner, lead: str):
         super().__init__()
-        self.new, self.lead = new, lead
+        self.home, self.lead = home, lead
 
     def __missing__(self, word: str) -> int:
         if not word or len(word) > LONGEST or word[0].isspace() or word[-1].isspace():
             raise _Odd
-        self[word] = n = len(self.new)
-        self.new.append(self.lead + word)
+        base, home = word.rstrip(_MARKS), self.home
+        if not base or not base[-1].isalpha():
+            base = word
+        home.head.append(home.unit(self.lead + base))
+        home.tail.append(home.unit(word[len(base):]) if len(base) < len(word) else -1)
+        self[word] = n = len(home.head) - 1
         return n
 
 
@@ -60,7 +68,7 @@ class Units:
         self.good = np.zeros(0, bool)
         self.first = np.zeros(0, np.int64)        # of a unit's links in ``pairs``
         self.pairs = np.zeros(0, np.int64)        # A id << 32 | B id
-        self.form: list[str] = []
+        self.form: list[bytes] = []
 
     def add(self, counts, good, pairs, form) -> None:
         links = counts[:, 3]
@@ -86,8 +94,12 @@ class Aligner:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
         self.b_bytes = _flat([bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_SPACE, " ").encode()
                               for i, p in enumerate(pieces)])
-        self.space = self.b.piece_to_id(_SPACE)
-        self.cuts = not any(_SPACE in p.lstrip(_SPACE) or "\n" in p for p in pieces)
+        self.bare = [self.b.piece_to_id(_SPACE), self.b.piece_to_id("<0x0A>")]
+        self.cuts = not any(_SPACE in p.lstrip(_SPACE) or "\n" in p
+                            or any(x.isalpha() and y in _MARKS for x, y in zip(p, p[1:])) for p in pieces)
+        self.memo = tokens._Memo(self.a, "byte")
+        names = [b"%d;" % i for i in range(max(len(names), len(pieces)))]
+        self.names = _flat(names)
         self._start()
 
     @staticmethod
@@ -99,29 +111,39 @@ class Aligner:
         return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
     def _start(self) -> None:
-        self.new: list[str] = []
+        self.new: list[str] = []              # units, the last ones not yet encoded
+        self.number: dict[str, int] = {}
         self.units = Units()
-        self.spaced, self.lined = _Numbers(self.new, " "), _Numbers(self.new, "\n")
+        self.head: list[int] = []             # of each piece its first unit,
+        self.tail: list[int] = []             # and its second or -1
+        self.spaced, self.lined = _Numbers(self, " "), _Numbers(self, "\n")
+
+    def unit(self, string: str) -> int:
+        n = self.number.get(string)
+        if n is None:
+            self.number[string] = n = len(self.new)
+            self.new.append(string)
+        return n
 
     def _b_ids(self, strings: list[str]) -> list[list[int]]:
-        """B's ids of strings that begin with a space, which B puts there by
-        itself, or with a newline, behind which the space goes again."""
-        ids = self.b.encode([s[1:] if s[0] == " " else s for s in strings], num_threads=1)
+        """B's ids of strings.  B puts a space before each; where there is none
+        it gets a newline between, and the ids of both go again."""
+        ids = self.b.encode([s[1:] if s[0] == " " else "\n" + s for s in strings], num_threads=1)
         for i, s in enumerate(strings):
             if s[0] != " ":
-                if ids[i][0] != self.space:
-                    raise ValueError("the sentencepiece model joins its first space to a newline")
-                del ids[i][0]
+                if ids[i][:2] != self.bare:
+                    raise ValueError("the sentencepiece model joins a space or newline to what follows")
+                del ids[i][:2]
         return ids
 
-    def align(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
+    def align(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
         """(counts, good, pairs, forms) of strings."""
-        a = [x.ids for x in self.a.encode_batch_fast(strings, add_special_tokens=False)]
+        n = len(strings)
+        a, count_a = tokens.encode_once(self.memo, strings)
         b = self._b_ids(strings)
         want = [s.encode() for s in strings]
-        n = len(strings)
-        count = [np.fromiter(map(len, x), np.int64, n) for x in (a, b)]
-        ids = [np.fromiter((i for x in y for i in x), np.int64, int(c.sum())) for y, c in zip((a, b), count, strict=True)]
+        count = [count_a, np.fromiter(map(len, b), np.int64, n)]
+        ids = [a.astype(np.int64), np.fromiter((i for x in b for i in x), np.int64, int(count[1].sum()))]
         raw, off = _flat(want)
         good = np.ones(n, bool)
         width = []
@@ -155,22 +177,29 @@ class Aligner:
         # every A id meets the B ids of its group
         pairs = np.repeat(ids[0], size[1][group[0]]) << 32 | ids[1][_ranges(first_b[group[0]], size[1][group[0]])]
         counts = np.c_[left[0], left[1], np.bincount(text, minlength=n), np.bincount(text, links, n).astype(np.int64)]
-        return counts, good, pairs, self._forms(ids, group, text, n)
-
-    @staticmethod
-    def _forms(ids, group, text, n) -> list[str]:
-        """a1,a2|b1;a3|b2,b3 of each string."""
-        part: list[list[str]] = []
+        return counts, good, pairs, self._forms(ids, group, left)
+
+    def _forms(self, ids, group, left) -> list[bytes]:
+        """a1,a2|b1;a3|b2,b3; of each string."""
+        if not len(ids[0]):
+            return [b""] * len(left[0])
+        groups = int(group[0][-1]) + 1
+        size = [np.bincount(g, minlength=groups) for g in group]
+        place = [np.arange(len(ids[0])) + (np.cumsum(size[1]) - size[1])[group[0]],
+                 np.arange(len(ids[1])) + np.cumsum(size[0])[group[1]]]
+        every, mark = np.zeros((2, len(ids[0]) + len(ids[1])), np.int64)
         for k in range(2):
-            names = list(map(str, ids[k].tolist()))
-            cut = np.flatnonzero(np.r_[True, np.diff(group[k]) > 0, True][:len(names) + 1]) if names else np.zeros(1, np.int64)
-            if len(cut) == len(names) + 1:
-                part.append(names)
-            else:
-                part.append([",".join(names[i:j]) for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)])
-        groups = [f"{x}|{y}" for x, y in zip(*part, strict=True)]
-        cut = np.searchsorted(text, np.arange(n + 1)).tolist()
-        return [";".join(groups[i:j]) for i, j in zip(cut[:-1], cut[1:], strict=True)]
+            every[place[k]] = ids[k]
+            last = np.r_[group[k][1:] != group[k][:-1], True]
+            mark[place[k]] = np.where(last, b"|;"[k], ord(","))
+        flat, at = self.names
+        width = (at[1:] - at[:-1])[every]
+        out = flat[_ranges(at[:-1][every], width)]
+        ends = np.r_[0, np.cumsum(width)]
+        out[ends[1:] - 1] = mark
+        cut = ends[np.r_[0, np.cumsum(left[0] + left[1])]].tolist()
+        data = out.tobytes()
+        return [data[i:j] for i, j in zip(cut[:-1], cut[1:], strict=True)]
 
     def _words(self, text: str) -> list[int]:
         out: list[int] = []
@@ -186,7 +215,7 @@ class Aligner:
         """(counts, sha256 of the groups, text of each link, link) of texts;
         links by text.  A text that is empty or whose bytes differ in A or B
         has zeros, '' and no links."""
-        if len(self.new) > GENERATION:
+        if len(self.head) > GENERATION:
             self._start()
         rows: list[list[int] | None] = []
         whole: list[int] = []
@@ -202,6 +231,7 @@ class Aligner:
         if len(self.new) > known:
             self.units.add(*self.align(self.new[known:]))
         u = self.units
+        head, tail = np.array(self.head, np.int64), np.array(self.tail, np.int64)
         if whole:
             counts, good, pairs, form = self.align([" " + texts[i] for i in whole])
             odd = Units()
@@ -209,8 +239,13 @@ class Aligner:
         out, sha, links = np.zeros((len(texts), 4), np.int64), [], []
         k = 0
         for i, row in enumerate(rows):
-            here, at = (u, np.array(row, np.int64)) if row is not None else (odd, np.array([k]))
-            k += row is None
+            if row is None:
+                here, at = odd, np.array([k])
+                k += 1
+            else:
+                here, piece = u, np.array(row, np.int64)
+                at = np.c_[head[piece], tail[piece]].ravel()
+                at = at[at >= 0]
             if not len(at) or not here.good[at].all():
                 sha.append("")
                 links.append(u.pairs[:0])
@@ -218,7 +253,7 @@ class Aligner:
             c = here.counts[at]
             out[i] = c.sum(axis=0)
             form = here.form
-            sha.append(hashlib.sha256(";".join([form[x] for x in at.tolist()]).encode()).hexdigest())
+            sha.append(hashlib.sha256(b"".join([form[x] for x in at.tolist()])[:-1]).hexdigest())
             links.append(here.pairs[_ranges(here.first[at], c[:, 3])])
         doc = np.repeat(np.arange(len(texts)), out[:, 3])
         return out, sha, doc, np.concatenate(links) if links else u.pairs[:0]

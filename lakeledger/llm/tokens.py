@@ -12,10 +12,13 @@ space to the word after it.  Cuts: a space or newline that has no white space
 on either side.
 ``word``: pre-tokenizers that drop white space.  Cuts: spaces and newlines.
 
-A new piece that is one Latin word, with or without punctuation marks behind
-it, is cut before the marks (both kinds cut there) and goes to the library's
-model directly, as normaliser and pre-tokenizer would leave it; any other goes
-through the whole tokenizer.
+A new piece is cut before a run of marks at its end, where both kinds cut, and
+the two parts are looked up by themselves, so a word is encoded once with and
+without marks.  Texts of the word kind within Latin-1 are lower-cased first,
+as the normaliser does.  A part that is one Latin word goes to the library's
+model directly, as normaliser and pre-tokenizer would leave it (of the
+byte-level kind several in one call, told apart by the tokens that begin with
+the space); any other goes through the whole tokenizer.
 
 Strings of special tokens in a text are ordinary text.
 """
@@ -28,10 +31,12 @@ import numpy as np
 
 from lakeledger.llm.common import process_cache
 
-GENERATION = 300_000
+GENERATION = 500_000
 MAX_CHARS = 64
-_MARKS = ".,;:!?"
+AT_ONCE = 16  # words in one call of a byte-level model
+_MARKS = ".,;:!?#$%&*"
 _LATIN_END = "\u0250"
+_LATIN_1 = "\u00ff"
 
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
@@ -52,7 +57,7 @@ class _Numbers(dict):
         if n is None:
             if len(piece) > MAX_CHARS or self.strict and (not piece or piece[0].isspace() or piece[-1].isspace()):
                 raise _Odd
-            n = self.memo.add(self.lead, piece)
+            n = self.memo.add(self, piece)
         self[piece] = n
         return n
 
@@ -71,63 +76,93 @@ class _Memo:
     def __init__(self, tokenizer, kind: str):
         self.tokenizer, self.model, self.letters = tokenizer, tokenizer.model, _byte_letters()
         self.normal = tokenizer.normalizer.normalize_str if kind == "word" else None
-        self.marks: dict[str, list[int]] = {}
+        self.space = self.letters[32]
+        vocab = tokenizer.get_vocab(with_added_tokens=True)
+        self.starts = np.zeros(max(vocab.values()) + 1, bool)
+        self.starts[[i for t, i in vocab.items() if t.startswith(self.space)]] = True
+        #: no token has a space behind anything but spaces and no-break spaces, so words cannot merge
+        unbroken = self.letters[0xC2] + self.letters[0xA0] + self.space
+        self.apart = kind == "byte" and not any(self.space in t.replace(unbroken, "").lstrip(self.space) for t in vocab)
+        self.marks = _Numbers(self, "", strict=False)
+        self.clear()
+
+    def _start(self) -> None:
+        #: new parts and their numbers: words as the model takes them, with and
+        #: without a space before them, and others
+        self.spaced, self.bare, self.other = ([], []), ([], []), ([], [])
+        self.parts: list[tuple[int, int, int]] = []  # a piece, its word and its marks
+
+    def clear(self) -> None:
         self.count = 0
         self.first = self.size = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.int32)
+        self.marks.clear()
         self._start()
 
-    def _start(self) -> None:
-        self.slow: list[str] = []
-        self.slow_at: list[int] = []
-        self.ids: list[int] = []
-        self.sizes: list[int] = []  # of the new pieces; -1 for those still to be encoded
-
-    def _model_ids(self, word: str) -> list[int]:
-        if not word.isascii():
-            word = word.encode().decode("latin-1")
-        return [x.id for x in self.model.tokenize(word.translate(self.letters))]
-
-    def add(self, lead: str, piece: str) -> int:
+    def add(self, numbers: _Numbers, piece: str) -> int:
         word = piece.rstrip(_MARKS)
+        if word and len(word) < len(piece) and word[-1] < _LATIN_END and word[-1].isalnum():
+            n = self.count
+            self.count += 1
+            self.parts.append((n, numbers[word], self.marks[piece[len(word):]]))
+            return n
+        whole = numbers.lead + piece
         if self.normal is not None:
-            word = word.lower() if word.isascii() else self.normal(word)
-        if word.isalpha() and max(word) < _LATIN_END:
-            ids = self._model_ids(lead + word)
-            marks = piece[len(piece.rstrip(_MARKS)):]
-            if marks:
-                if marks not in self.marks:
-                    self.marks[marks] = self._model_ids(marks)
-                ids += self.marks[marks]
-            self.ids += ids
-            self.sizes.append(len(ids))
+            piece = whole = whole.lower() if whole.isascii() or max(whole) <= _LATIN_1 else self.normal(whole)
+        if piece.isalpha() and (piece.isascii() or max(piece) < _LATIN_END):
+            kind = self.spaced if self.apart and whole[0] == " " else self.bare
+            if not whole.isascii():
+                whole = whole.encode().decode("latin-1")
+            whole = whole.translate(self.letters)
         else:
-            self.slow.append(lead + piece)
-            self.slow_at.append(self.count)
-            self.sizes.append(-1)
+            kind = self.other
+        kind[0].append(whole)
+        kind[1].append(self.count)
         self.count += 1
         return self.count - 1
 
+    def _joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        tokenize = self.model.tokenize
+        flat = np.array([x.id for i in range(0, len(words), AT_ONCE) for x in tokenize("".join(words[i:i + AT_ONCE]))], np.int32)
+        return flat, np.diff(np.r_[np.flatnonzero(self.starts[flat]), len(flat)])
+
+    def _single(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids: list[int] = []
+        ends = []
+        for w in words:
+            ids += [x.id for x in self.model.tokenize(w)]
+            ends.append(len(ids))
+        return np.array(ids, np.int32), np.diff(np.array(ends), prepend=0)
+
     def ids_of(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = [x.ids for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
         size = np.fromiter(map(len, ids), np.int64, len(ids))
         return np.fromiter((i for x in ids for i in x), np.int32, int(size.sum())), size
 
-    def _append(self, numbers: np.ndarray, flat: np.ndarray, size: np.ndarray) -> None:
-        self.first[numbers] = len(self.flat) + np.cumsum(size) - size
-        self.size[numbers] = size
-        self.flat = np.concatenate([self.flat, flat])
-
     def learn(self) -> None:
-        if not self.sizes:
+        """Encode what is new."""
+        new = self.count - len(self.size)
+        if not new:
             return
-        at = len(self.size)
-        sizes = np.array(self.sizes, np.int64)
-        self.first, self.size = (np.concatenate([x, np.zeros(len(sizes), np.int64)]) for x in (self.first, self.size))
-        quick = np.flatnonzero(sizes >= 0)
-        self._append(at + quick, np.array(self.ids, np.int32), sizes[quick])
-        if self.slow:
-            self._append(np.array(self.slow_at), *self.ids_of(self.slow))
+        self.first, self.size = (np.concatenate([x, np.zeros(new, np.int64)]) for x in (self.first, self.size))
+        flats, total = [self.flat], len(self.flat)
+
+        def put(numbers: np.ndarray, flat: np.ndarray, size: np.ndarray) -> None:
+            nonlocal total
+            self.first[numbers] = total + np.cumsum(size) - size
+            self.size[numbers] = size
+            flats.append(flat)
+            total += len(flat)
+
+        for (strings, at), encode in ((self.spaced, self._joined), (self.bare, self._single), (self.other, self.ids_of)):
+            if strings:
+                put(np.array(at), *encode(strings))
+        self.flat = np.concatenate(flats)
+        if self.parts:
+            n, word, marks = np.array(self.parts, np.int64).T
+            flats, total = [self.flat], len(self.flat)
+            put(n, self.look_up(np.c_[word, marks].ravel()), self.size[word] + self.size[marks])
+            self.flat = np.concatenate(flats)
         self._start()
 
     def look_up(self, numbers: np.ndarray) -> np.ndarray:
@@ -148,6 +183,33 @@ class _Memo:
             m.clear()
 
 
+def _latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+def encode_once(memo: _Memo, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, sizes) of distinct strings by an emptied memo of the byte-level
+    kind: single words behind a space the short way, others whole."""
+    memo.clear()
+    spaced = _Numbers(memo, " ", strict=False)
+    numbers = []
+    for s in strings:
+        if s[0] == " " and s[1:].isalpha() and len(s) <= MAX_CHARS:
+            numbers.append(spaced[s[1:]])
+        else:
+            memo.other[0].append(s)
+            memo.other[1].append(memo.count)
+            numbers.append(memo.count)
+            memo.count += 1
+    memo.learn()
+    at = np.array(numbers, np.int64)
+    return memo.look_up(at), memo.size[at]
+
+
 class Encoder:
     def __init__(self, path: str, kind: str):
         import os
@@ -164,6 +226,8 @@ class Encoder:
         self.whole = _Numbers(memo, "", strict=False)             # pieces with their white space
 
     def _word(self, text: str) -> list[int]:
+        if text.isascii() or _latin(text):  # composed already, and lower-cased letter by letter
+            text = text.lower()
         return list(map(self.bare.__getitem__, text.replace("\n", " ").split(" ")))
 
     def _byte(self, text: str) -> list[int]:
@@ -203,7 +267,7 @@ class Encoder:
             out += [ids, *last]
             sizes.append(len(ids) + len(last))
         if len(self.bare) + len(self.spaced) + len(self.whole) > GENERATION:
-            self.memo.keep([self.bare, self.spaced, self.whole])
+            self.memo.keep([self.bare, self.spaced, self.whole, self.memo.marks])
         flat = np.concatenate(out) if out else np.zeros(0, np.int32)
         return flat, np.r_[0, np.cumsum(np.array(sizes, np.int64))].astype(np.int64)
 
