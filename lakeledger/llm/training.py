@@ -21,8 +21,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: Column, train: Co
                     max_bytes: int = MAX_BYTES) -> list:
     """Rows (text, label, *extra) to fit a model on: of each class the
     ``rows_per_class`` labelled ids with the least hash for which ``train``
-    holds, without texts of over ``max_bytes``.  At most
-    len(classes) x rows_per_class x max_bytes reach the driver.
+    holds, without texts of over ``max_bytes``; of rows that share an id the
+    text of least hash.  At most len(classes) x rows_per_class x max_bytes
+    reach the driver.
     """
     lab = labels.select(F.col("doc_id").cast("long").alias("doc_id"), label.alias("label"), train.alias("ok"))
     lab = lab.where("ok and doc_id is not null and label is not null").select("doc_id", "label").distinct()
@@ -31,13 +32,26 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: Column, train: Co
         some = lab.where(F.col("label") == F.lit(c)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows_per_class)
         ids = some if ids is None else ids.unionByName(some)
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), *(extra or []))
-            .join(F.broadcast(ids), "doc_id").where(F.octet_length("text") <= max_bytes)
-            .select("doc_id", "text", "label", *(extra or [])).collect())
-    rows.sort(key=lambda r: (r.doc_id, r.label, r.text))
+    extra = extra or []
+    # own names, so that no column of the caller's can clash with them
+    found = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.struct(
+                 F.lit(1), *[F.col(c) for c in extra]).alias("extra"))
+             .where(F.octet_length("text") <= max_bytes).join(F.broadcast(ids), "doc_id")
+             .groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text"), "text", "extra")).alias("m")))
+    rows = found.select("doc_id", "m.text", "label", *[F.col(f"m.extra.{c}").alias(c) for c in extra]).collect()
+    rows.sort(key=lambda r: (r[0], r[2], r[1]))
     return [tuple(r)[1:] for r in rows]
 
 
+def row_sums(x: np.ndarray) -> np.ndarray:
+    """The sum of each row, column after column, so that it depends on no
+    other row."""
+    out = np.zeros(len(x))
+    for k in range(x.shape[1]):
+        out += x[:, k]
+    return out
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
