@@ -1,11 +1,11 @@
 """Quality classifier by compression: zstandard dictionaries of good and bad text.
 
 Two dictionaries are built from a bounded sample of labelled rows, one of
-good and one of bad texts.  A text is compressed whole with each; the
-difference of the two sizes, divided by the larger one, says which of the two
-it is more like.  A logistic fit on the training rows turns this normalised
-difference, with the two compression rates (bytes out for each byte in), into a
-calibrated score.
+good and one of bad texts.  A text is compressed with each, the whole of it in
+blocks of ``BLOCK`` bytes that know the dictionary alone (a longer block would
+know the text's own words better than the dictionary's); the difference of the
+two sizes, divided by the larger one, says which of the two it is more like.  A logistic curve fitted on the training rows turns this
+normalised difference, and nothing else, into a calibrated score.
 """
 
 from __future__ import annotations
@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 from lakeledger.llm.common import documents, slices, wide
 from lakeledger.llm.training import labelled_sample, logistic, sigmoid
 
-DICT_BYTES = 64 << 10
+DICT_BYTES = 32 << 10
 LEVEL = 3
-PART = 4 << 10  # sample texts go to the dictionary builder in parts of this size
+BLOCK = 128
+PART = 256  # sample texts go to the dictionary builder in parts of this size
 
 
 def _dictionary(texts: list[bytes]) -> bytes:
@@ -49,31 +50,33 @@ class Compressors:
             else:
                 self.each.append(zstandard.ZstdCompressor(level=LEVEL, write_content_size=False))
 
-    def features(self, texts: list[bytes]) -> np.ndarray:
-        good = np.array([len(self.each[0].compress(t)) for t in texts], np.float64)
-        bad = np.array([len(self.each[1].compress(t)) for t in texts], np.float64)
-        size = np.array([len(t) for t in texts], np.float64)
-        diff = (bad - good) / np.maximum(np.maximum(bad, good), 1)
-        rate = np.log((good + 8) / (size + 16)), np.log((bad + 8) / (size + 16))
-        return np.c_[diff, np.abs(diff) * diff, rate[0], rate[0] ** 2, rate[1], rate[1] ** 2, np.log(size + 16)]
+        self.frame = [len(c.compress(b"")) for c in self.each]  # bytes of a block without content
+
+    def size(self, which: int, text: bytes) -> int:
+        compress, frame = self.each[which].compress, self.frame[which]
+        return sum(len(compress(text[i:i + BLOCK])) - frame for i in range(0, len(text), BLOCK))
+
+    def difference(self, texts: list[bytes]) -> np.ndarray:
+        good, bad = (np.array([self.size(k, t) for t in texts], np.float64) for k in (0, 1))
+        return (bad - good) / np.maximum(np.maximum(bad, good), 1)
 
 
 class Model:
     good = bad = b""
-    center = scale = weights = None
+    scale = 1.0    # of the difference
+    curve = None   # slope and constant
     const = 1.0
 
     def score(self, use: Compressors, texts: list[bytes]) -> np.ndarray:
-        if self.weights is None:
+        if self.curve is None:
             return np.full(len(texts), self.const)
-        x = (use.features(texts) - self.center) / self.scale
-        return sigmoid(np.clip(x, -8, 8) @ self.weights[:-1] + self.weights[-1])
+        return sigmoid(self.curve[0] * (use.difference(texts) / self.scale) + self.curve[1])
 
 
-def fit(rows: list[tuple]) -> Model:
+def fit(rows: list[tuple], share: float = 0.5) -> Model:
     """A model from rows (text, label 0 or 1): every second row builds the
     dictionaries, the others calibrate (the compressors know their own text
-    too well)."""
+    too well).  ``share`` is the share of label 1 that they stand for."""
     model = Model()
     y = np.array([r[1] for r in rows], np.int64)
     if len(set(y.tolist())) < 2:
@@ -89,16 +92,19 @@ def fit(rows: list[tuple]) -> Model:
     cal = np.flatnonzero(turn == 1)
     if len(np.unique(y[cal])) < 2:
         cal = np.arange(len(y))
-    x = Compressors(model.good, model.bad).features([texts[i] for i in cal])
-    model.center, model.scale = x.mean(axis=0), x.std(axis=0) + 1e-6
-    model.weights = logistic(np.clip((x - model.center) / model.scale, -8, 8), y[cal], np.ones(len(cal)), ridge=0.05)
+    x = Compressors(model.good, model.bad).difference([texts[i] for i in cal])
+    model.scale = float(x.std()) + 1e-6
+    weight = np.where(y[cal] == 1, share / y[cal].mean(), (1 - share) / (1 - y[cal].mean()))
+    slope, const = logistic((x / model.scale)[:, None], y[cal], weight, ridge=0.05)
+    model.curve = max(float(slope), 0.0), float(const)
     return model
 
 
 def quality_model(docs: DataFrame, labels: DataFrame, train: Column) -> Model:
     """A model from a bounded sample of the labelled rows for which ``train``
-    holds; both classes weigh alike in it."""
-    return fit(labelled_sample(docs, labels, F.col("quality"), train, [0, 1]))
+    holds, calibrated to the classes' shares in all of them."""
+    share = labels.where(train).where("quality in (0, 1)").agg(F.avg("quality")).first()[0]
+    return fit(labelled_sample(docs, labels, F.col("quality"), train, [0, 1]), 0.5 if share is None else float(share))
 
 
 def quality(docs: DataFrame, model: Model) -> DataFrame:
