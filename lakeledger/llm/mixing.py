@@ -3,24 +3,30 @@
 A classifier trained on the labelled rows gives each document a posterior over
 domains (here clean, toxic and poor text, from the labels table).  Every
 document gets a rate, zero or more: how often it is to be taken.  The rates
-minimise the squared distance, relative to what each domain holds, between the
-expected tokens of the domains under the rates and the targets:
-
-    sum over domains k of (sum over documents d of rate_d tokens_d p_dk - target_k)^2 / held_k
-
-with as little movement from rate 1 as the targets ask.  With a weight on the
-squared movement the minimum has the form rate_d = max(0, 1 - p_d . step) with
-one number a domain in step, found by Newton's method with a line search; a
-domain's weight falls tenfold at a time until it is at its target.  Targets
-that are still missed when it is negligible cannot be met; the rates are then
-those of the nearest mix.  A target of zero is never met while other domains'
-documents leave some doubt, and pressing it on would leave only the few
-documents with the least doubt, many times each; so its weight stays at
-``ZERO_WEIGHT`` unless the domain would grow.  In both cases a warning names
-the totals.  An iteration is one
-aggregation of a stored table (tokens, posteriors) into a few sums: partial
-sums before the shuffle, some ten numbers to the driver.  The rate is a
-function of the posterior and the step, so it is never stored.
+are fitted by distributed projected-gradient least squares on the gaps between
+the expected tokens of the domains under the rates and their targets,
+
+    gap_k = sum over documents d of rate_d tokens_d p_dk - target_k,    least gap' W gap,  rate >= 0,
+
+from rate 1 on, with W the inverse of the second moments, sum of tokens p p', of
+the documents that have a rate left: domains that overlap then pull as strongly
+as others.  A step goes against the gradient, scaled by the documents' tokens,
+and back to zero where a rate would be negative:
+
+    rate_d  <-  max(0, rate_d - size p_d . (W gap)).
+
+Without the bound one step of size 1 would meet all targets.  A step that does
+not lessen the squared gaps is halved; the fit ends when each domain is within
+``TOLERANCE`` of its target or no step helps, and a warning names the totals of
+a mix that misses them.  A step is k numbers on the driver and one aggregation
+of a stored table (tokens, posteriors): partial sums before the shuffle, some
+ten numbers back.  The rate is a function of the posterior and the steps, so it
+is stored once in ``STORE`` steps only.
+
+A target of zero cannot be met while other domains' documents leave some
+doubt, and pressing it on would leave only the few documents with the least
+doubt, many times each; so a domain with target zero is aimed at ``LEAST`` of
+what it holds.
 
 The classifier is a softmax over, for each domain, the mean and maximum over
 the words of the domain's log odds (hashed words), and a few rates of the
@@ -38,17 +44,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeledger.llm.common import slices, stored, text_bytes, wide
-from lakeledger.llm.training import labelled_sample
+from lakeledger.llm.training import labelled_sample, row_sums
 from lakeledger.llm.wordhash import SPACE, word_hashes
 
 DOMAINS = ("clean", "toxic", "poor")
 BUCKETS = 1 << 16
 SMOOTH = 2.0
 SAMPLE = 2000      # labelled rows of a domain, at most
-TOLERANCE = 1e-4   # gap that counts as none: of a domain's target, or of the whole mix where that is zero
-LEAST_WEIGHT = 8   # the movement's weight falls to 10 ** -8
-ZERO_WEIGHT = 2    # or to 10 ** -2 for a domain with target zero
-MAX_STEPS = 200    # aggregations
+TOLERANCE = 1e-4   # gap that counts as none, of a domain's target
+LEAST = 0.3        # of its tokens at which a domain with target zero is aimed
+MAX_STEPS = 100
+STORE = 20         # steps after which the rates so far are stored
 
 _UPPER = np.zeros(256)
 _UPPER[65:91] = 1
@@ -96,10 +102,11 @@ class DomainModel:
         return x, n
 
     def posterior(self, x: np.ndarray) -> np.ndarray:
-        z = np.c_[np.clip((x - self.center) / self.scale, -10, 10), np.ones(len(x))] @ self.weights + self.shift
+        x = np.clip((x - self.center) / self.scale, -10, 10)
+        z = np.stack([row_sums(x * w) for w in self.weights[:-1].T], axis=1) + self.weights[-1] + self.shift
         z -= z.max(axis=1, keepdims=True)
         p = np.exp(z)
-        return p / p.sum(axis=1, keepdims=True)
+        return p / row_sums(p)[:, None]
 
     def fit(self, rows: list[tuple]) -> DomainModel:
         """From rows (text, domain).  Odds come from every second row of a
@@ -183,8 +190,8 @@ def memberships(docs: DataFrame, model: DomainModel, keep: list[str]) -> DataFra
 
 def fit_rates(members: DataFrame, domains: tuple[str, ...], weights: dict[str, float],
               total: float | None = None, full: str | None = None, times: float = 1.0) -> list[list[float]]:
-    """The step (a list of one, or none) over a table with n_tokens and p:
-    what a domain's posterior takes from the rate.
+    """The steps over a table with n_tokens and p: for each one what a domain's
+    posterior takes from the rate.
 
     ``weights``: the share of each domain in the mix (scaled to sum 1).
     ``total``: tokens of the whole mix; by default those that are there.
@@ -192,74 +199,67 @@ def fit_rates(members: DataFrame, domains: tuple[str, ...], weights: dict[str, f
     ``times`` the tokens that are there.  Domains without any posterior mass
     are left out of the fit; an empty table needs no steps.
     """
-    cur = stored(members.select("n_tokens", "p"), "members")
+    cur = stored(members.select("n_tokens", "p", F.lit(1.0).alias("_rate")), "members")
     k = len(domains)
     pairs = [(i, j) for i in range(k) for j in range(i + 1)]
-    passes = 0
-
-    def sums(step: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-        """Tokens of the domains under the rates, their derivative by -step,
-        and half the squared rates."""
-        nonlocal passes
-        passes += 1
-        n, p, rate = F.col("n_tokens"), F.col("p"), F.col("_rate")
+
+    def sums(steps: list[list[float]]) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of the domains after the steps behind the stored rates, and
+        the second moments of the documents whose rate is not zero."""
+        n, p, rate = F.col("n_tokens"), F.col("p"), F.col("_now")
         live = F.when(rate > 0, n)
-        row = cur.withColumn("_rate", rate_of(F.col("p"), [step.tolist()])).agg(*[
+        row = cur.withColumn("_now", rate_of(p, steps, F.col("_rate"))).agg(*[
             F.coalesce(F.sum(x), F.lit(0.0)) for x in (
-                *[rate * n * p[i] for i in range(k)], *[live * p[i] * p[j] for i, j in pairs], rate * rate * n / 2)]).first()
-        h = np.zeros((k, k))
-        for (i, j), v in zip(pairs, row[k:-1], strict=True):
-            h[i, j] = h[j, i] = v
-        return np.array(row[:k], float), h, float(row[-1])
-
-    step = np.zeros(k)
-    got, h, half = sums(step)
-    held = got
+                *[rate * n * p[i] for i in range(k)], *[live * p[i] * p[j] for i, j in pairs])]).first()
+        moment = np.zeros((k, k))
+        for (i, j), v in zip(pairs, row[k:], strict=True):
+            moment[i, j] = moment[j, i] = v
+        return np.array(row[:k], float), moment
+
+    held, moment = sums([])
+    got = held
     there = sum(weights.values())
     share = [weights.get(d, 0.0) / there for d in domains]
     if full is not None:
         total = times * held[domains.index(full)] / share[domains.index(full)]
     goal = np.array([s * (held.sum() if total is None else total) for s in share])
-    live = held > 0
-    allowed = TOLERANCE * np.where(goal > 0, goal, goal.sum())
-    met = lambda: bool((np.abs(got - goal) <= allowed)[live].all())
-    fall = np.zeros(k, int)  # the weights are 10 ** -fall
-    while not met() and passes < MAX_STEPS:
-        mass = 10.0 ** -fall * held
-        value = half + goal @ step + (mass * step * step).sum() / 2
-        while passes < MAX_STEPS:
-            slope = np.where(live, goal - got + mass * step, 0.0)
-            if (np.abs(slope) <= allowed / 10)[live].all():
-                break
-            move = np.zeros(k)
-            move[live] = -np.linalg.solve((h + np.diag(mass))[np.ix_(live, live)], slope[live])
-            size = 1.0
-            while True:
-                new = step + size * move
-                now, new_h, new_half = sums(new)
-                new_value = new_half + goal @ new + (mass * new * new).sum() / 2
-                if new_value <= value + 1e-4 * size * (slope @ move) + 1e-12 * abs(value) or passes >= MAX_STEPS:
-                    break
+    aim = np.where(goal > 0, goal, LEAST * held)
+    on = held > 0
+    first = np.linalg.pinv(moment[np.ix_(on, on)])
+    loss = lambda x: float((x - aim)[on] @ first @ (x - aim)[on])
+    met = lambda x: bool((np.abs(x - aim) <= TOLERANCE * np.maximum(aim, goal.sum() * TOLERANCE))[on].all())
+    steps: list[list[float]] = []
+    since: list[list[float]] = []
+    tries = 0
+    while not met(got) and tries < MAX_STEPS:
+        pull = np.zeros(k)
+        # the moments of the live documents, kept away from singular by those of all
+        pull[on] = np.linalg.pinv(moment[np.ix_(on, on)] + 1e-9 * np.diag(held[on])) @ (got - aim)[on]
+        size, better = 1.0, False
+        while not better and size > 1e-3 and tries < MAX_STEPS:
+            tries += 1
+            now, new = sums([*since, (size * pull).tolist()])
+            better = loss(now) < loss(got) * (1 - 1e-9)
+            if not better:
                 size /= 2
-            stuck = size * np.abs(move).max() <= 1e-14 * max(1.0, np.abs(new).max())
-            step, got, h, half, value = new, now, new_h, new_half, new_value
-            if stuck:
-                break
-        least = np.where((goal > 0) | (got > held * (1 + TOLERANCE)), LEAST_WEIGHT, ZERO_WEIGHT)
-        lower = live & (np.abs(got - goal) > allowed) & (fall < least)
-        if not lower.any():
+        if not better:
             break
-        fall += lower
-    if not met():
+        since.append((size * pull).tolist())
+        steps.append(since[-1])
+        got, moment = now, new
+        if len(since) == STORE:
+            cur = stored(cur.withColumn("_rate", rate_of(F.col("p"), since, F.col("_rate"))), "members")
+            since = []
+    if not bool((np.abs(got - goal) <= TOLERANCE * np.maximum(goal, goal.sum()))[on].all()):
         warnings.warn("the mix misses its targets: " + ", ".join(
-            f"{d} {g:.6g} tokens, target {t:.6g}" for d, g, t, ok in zip(domains, got, goal, live, strict=True) if ok),
+            f"{d} {g:.6g} tokens, target {t:.6g}" for d, g, t, ok in zip(domains, got, goal, on, strict=True) if ok),
             stacklevel=2)
-    return [step.tolist()] if step.any() else []
+    return steps
 
 
-def rate_of(p: Column, steps: list[list[float]]) -> Column:
-    """The rate of a document with posterior p after the steps."""
-    rate = F.lit(1.0)
+def rate_of(p: Column, steps: list[list[float]], start: Column | None = None) -> Column:
+    """The rate of a document with posterior p after the steps from ``start``, by default 1."""
+    rate = F.lit(1.0) if start is None else start
     for step in steps:
         move = sum((p[i] * F.lit(e) for i, e in enumerate(step)), F.lit(0.0))
         rate = F.greatest(F.lit(0.0), rate - move)
