@@ -126,14 +126,14 @@ def _grouped(rows: DataFrame) -> DataFrame:
     """Add gid: lang and source, or the pool of the small groups."""
     name = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("null"))
     rows = rows.withColumn("_lang", name("lang")).withColumn("_source", name("source"))
-    fit = rows.where("not base_failed")
-    size = fit.groupBy("_lang", "_source").agg(F.count("*").alias("n"))
+    size = rows.groupBy("_lang", "_source").agg(F.count_if(~F.col("base_failed")).alias("n"))
     size = size.withColumn("own", F.col("n") >= MIN_GROUP)
     pool = size.where("not own").groupBy("_lang").agg((F.sum("n") >= MIN_GROUP).alias("pooled"))
+    size = stored(size.join(pool, "_lang", "left").select("_lang", "_source", "own", "pooled"), "groups")
     gid = (F.when(F.col("own"), F.concat_ws("\u0001", "_lang", "_source"))
            .when(F.col("pooled"), F.col("_lang")).otherwise(F.lit("all")))
-    return (rows.join(size.select("_lang", "_source", "own"), ["_lang", "_source"], "left")
-            .join(pool, "_lang", "left").withColumn("gid", gid).drop("_lang", "_source", "own", "pooled"))
+    out = _with_group(rows, size, _few(size), key=["_lang", "_source"])
+    return out.withColumn("gid", gid).drop("_lang", "_source", "own", "pooled")
 
 
 def _cholesky(groups: DataFrame) -> DataFrame:
@@ -151,15 +151,17 @@ def _cholesky(groups: DataFrame) -> DataFrame:
                       *[f"l{i}{j}" for i in range(P) for j in range(i + 1)], logdet.alias("logdet"))
 
 
-def _with_group(rows: DataFrame, groups: DataFrame, few: bool, how: str = "left") -> DataFrame:
-    """Rows with what ``groups`` has for their gid.  Few groups are broadcast;
-    more are joined by gid and a salt, as one group may hold a third of the
-    rows."""
+def _with_group(rows: DataFrame, groups: DataFrame, few: bool, how: str = "left",
+                key: list[str] | None = None) -> DataFrame:
+    """Rows with what ``groups`` has for their key (gid).  Few groups are
+    broadcast; more are joined by key and a salt, as one group may hold a third
+    of the rows."""
+    key = key or ["gid"]
     if few:
-        return rows.join(F.broadcast(groups), "gid", how)
+        return rows.join(F.broadcast(groups), key, how)
     salt = F.pmod(F.xxhash64(*XS), F.lit(SALTS)).cast("int")
     salted = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return rows.withColumn("_salt", salt).join(salted, ["gid", "_salt"], how).drop("_salt")
+    return rows.withColumn("_salt", salt).join(salted, [*key, "_salt"], how).drop("_salt")
 
 
 def _few(groups: DataFrame) -> bool:
@@ -261,10 +263,11 @@ def quality_rules(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
 
 
 def quality_filter(docs: DataFrame) -> DataFrame:
-    """The documents that the rules keep, with all columns as they came."""
-    mark = F.xxhash64(F.coalesce("text", F.lit("")))
-    judged = quality_rules(docs.withColumn("_mark", mark), ["doc_id", "_mark"])
-    bad = judged.where("not kept").select(F.col("doc_id").alias("_bad"), "_mark").distinct()
-    marked = docs.withColumn("_mark", mark)
-    gone = (marked["_mark"] == bad["_mark"]) & marked["doc_id"].eqNullSafe(bad["_bad"])
-    return marked.join(bad, gone, "left_anti").select(*docs.columns)
+    """The documents that the rules keep, with all columns as they came, of
+    whatever names."""
+    mark = F.xxhash64(F.coalesce("text", F.lit(""))).alias("mark")
+    judged = quality_rules(docs.select("doc_id", "text", "lang", "source", mark), ["doc_id", "mark"])
+    bad = judged.where("not kept").select(F.col("doc_id").alias("bad"), F.col("mark").alias("bad_mark")).distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), F.col("doc_id").alias("id"), mark)
+    gone = (F.col("mark") == F.col("bad_mark")) & F.col("id").eqNullSafe(F.col("bad"))
+    return rows.join(bad, gone, "left_anti").select("doc.*")

@@ -78,3 +78,20 @@ def test_entry_has_all_corpus_queries():
     names = set(entry.queries())
     assert "pipeline" in names
     assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11))
+
+
+CLASHING = ["n_bytes", "kept_text", "n_removed", "n_spans", "kept_sha256", "_mark", "mark", "bad", "doc", "row", "_k0", "_c0",
+            "_text", "score", "kept", "p", "rate", "copies", "n_tokens", "gid", "own", "n", "label", "fp", "_rate", "tag"]
+
+
+def test_stages_take_columns_of_any_name(spark):
+    """A column of each name that the stages use inside comes back as it was."""
+    from pyspark.sql import functions as F
+    docs = read_table(spark, SF, "documents").withColumns(
+        {c: F.concat(F.lit(f"{c} "), "doc_id") for c in CLASHING})
+    for name, stage in P.STAGES[:-1]:
+        docs = stored(stage(spark, docs, SF), "clash")
+        assert docs.columns == [*read_table(spark, SF, "documents").columns, *CLASHING], name
+        wrong = docs.where(" or ".join(f"not (`{c}` <=> concat('{c} ', doc_id))" for c in CLASHING))
+        assert docs.count() > 0 and wrong.count() == 0, name
+    assert P.STAGES[-1][1](spark, docs, SF).count() > 0
