@@ -33,12 +33,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the strings of 200 bytes that occur elsewhere."""
-    rest = [c for c in docs.columns if c != "text"]
-    left = suffix_dedup.deduplicate(docs, rest, length=200, with_text=True)
-    left = left.withColumnRenamed("kept_text", "text")
-    if "n_chars" in rest:
-        left = left.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return left.select(*docs.columns)
+    # the columns under private names, so that theirs cannot clash with the operator's
+    names = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
+    named = docs.select(*[F.col(c).alias(n) for c, n in names.items()], F.col("doc_id"), F.col("text"))
+    left = suffix_dedup.deduplicate(named, [n for c, n in names.items() if c != "text"], length=200, with_text=True)
+    cols = {c: F.col("kept_text") if c == "text" else F.col(n) for c, n in names.items()}
+    if "n_chars" in cols:
+        cols["n_chars"] = F.char_length("kept_text").cast(docs.schema["n_chars"].dataType)
+    return left.select(*[x.alias(c) for c, x in cols.items()])
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
