@@ -145,6 +145,39 @@ def replay_tasks(log: DataFrame, *, timeout_hours: int | None = C.TASK_TIMEOUT_H
                     s["last_reset"].alias("last_reset_at"), s["reset_seq"].alias("last_reset_seq"), "created_at"))
 
 
+def timeout_history(log: DataFrame, *, now: str, timeout_hours: int = C.TASK_TIMEOUT_HOURS) -> DataFrame:
+    """Every timeout in the log up to a sweep at ``now``, one row each:
+    task_id, server, month (of the claim that started it) and started_at.  A
+    task that is reset can time out again."""
+    limit = F.expr(f"INTERVAL {int(timeout_hours)} HOURS")
+    acting = first_deliveries(log.where(F.col("event").isin(*_KIND)))
+    event = F.struct(F.col("ts").cast("timestamp_ntz").alias("ts"), "seq", "event", "month", "server")
+    per = acting.groupBy("task_id").agg(F.array_sort(F.collect_list(event)).alias("evs"))
+    # the sweep is one more event, which acts on nothing but a task in progress
+    sweep = F.struct(F.lit(now).cast("timestamp_ntz").alias("ts"), F.lit(None).cast("long").alias("seq"),
+                     F.lit("sweep").alias("event"), F.lit(None).cast("string").alias("month"),
+                     F.lit(None).cast("string").alias("server"))
+    start = "struct<ts:timestamp_ntz,month:string,server:string>"
+    zero = F.struct(F.lit("new").alias("st"), F.lit(None).cast(start).alias("on"),
+                    F.array().cast(f"array<{start}>").alias("out"))
+
+    def step(acc: Column, e: Column) -> Column:
+        timed = (acc["st"] == "progress") & (acc["on"]["ts"] < e["ts"] - limit)
+        st = F.when(timed, F.lit("timeout")).otherwise(acc["st"])
+        claim = (e["event"] == "claim") & (st == "new")
+        finish = e["event"].isin("complete", "failed") & (st == "progress")
+        reset = (e["event"] == "reset") & (st != "progress")
+        return F.struct(
+            F.when(claim, F.lit("progress")).when(finish, e["event"]).when(reset, F.lit("new")).otherwise(st).alias("st"),
+            F.when(claim, F.struct(e["ts"].alias("ts"), e["month"].alias("month"), e["server"].alias("server")))
+             .otherwise(acc["on"]).alias("on"),
+            F.when(timed, F.array_append(acc["out"], acc["on"])).otherwise(acc["out"]).alias("out"))
+
+    folded = per.select("task_id", F.aggregate(F.array_append("evs", sweep), zero, step)["out"].alias("out"))
+    return folded.select("task_id", F.explode("out").alias("o")).select(
+        "task_id", "o.server", "o.month", F.col("o.ts").alias("started_at"))
+
+
 def overdue(tasks: DataFrame, now: str, timeout_hours: int = C.TASK_TIMEOUT_HOURS) -> DataFrame:
     """Tasks in progress that started strictly before now - timeout: the ones
     a sweep at ``now`` newly turns into ``timeout`` (one alert each)."""

@@ -13,6 +13,7 @@ from lakeledger.plans.queries import ORACLES, register
 from lakeledger.session import new_run_dir
 from lakeledger.sources import runlog as RL
 from lakeledger.streaming import tasks_stream as TS
+from lakeledger.streaming import timeouts as TO
 
 SLICES = 8  # files of the stream's input, one a micro-batch
 
@@ -88,3 +89,92 @@ def stream_liveness(spark, sf_dir):
 
 
 ORACLES["stream_liveness"] = ORACLES["liveness"]
+
+
+# ------------------------------------------------------------------ timeouts
+
+DELAY_HOURS = 120
+#: the sweep at NOW as an event: it moves the watermark there
+TICK = {"event_id": -1, "user_id": -1, "event_type": "tick"}
+
+
+def timeout_history_sql() -> str:
+    """Every timeout by a full ordered fold with ``list_reduce``."""
+    timed = f"(acc.st = 'progress' AND acc.started < e.ts - INTERVAL {RQ.H} HOUR)"
+    st = f"(CASE WHEN {timed} THEN 'timeout' ELSE acc.st END)"
+    claim = f"(e.ev = 'claim' AND {st} = 'new')"
+    step = (f"struct_pack(st := CASE WHEN {claim} THEN 'progress' "
+            f"WHEN e.ev IN ('complete', 'failed') AND {st} = 'progress' THEN e.ev "
+            f"WHEN e.ev = 'reset' AND {st} <> 'progress' THEN 'new' ELSE {st} END, "
+            f"started := CASE WHEN {claim} THEN e.ts ELSE acc.started END, "
+            f"month := CASE WHEN {claim} THEN e.month ELSE acc.month END, "
+            f"outs := CASE WHEN {timed} THEN list_append(acc.outs, struct_pack(started := acc.started, month := acc.month)) "
+            f"ELSE acc.outs END)")
+    zero = ("struct_pack(st := 'new', started := NULL::TIMESTAMP, month := NULL::VARCHAR, "
+            "outs := []::STRUCT(started TIMESTAMP, month VARCHAR)[])")
+    return f"""
+(WITH ev AS (SELECT user_id AS task_id, ts, event_id AS seq, {RQ._event_sql()} AS ev, {RQ.O.month_sql('ts')} AS month FROM events),
+ l AS (SELECT task_id, list_append(list(struct_pack(ts := ts, ev := ev, month := month) ORDER BY ts, seq),
+                                   struct_pack(ts := TIMESTAMP '{RQ.NOW}', ev := 'sweep', month := NULL::VARCHAR)) AS evs
+       FROM ev WHERE ev IN ('claim', 'complete', 'failed', 'reset') GROUP BY task_id),
+ f AS (SELECT task_id, unnest(list_reduce(evs, lambda acc, e: {step}, {zero}).outs) AS o FROM l)
+ SELECT task_id, {RQ.O.shard_sql('task_id')} AS server, o.month AS month, o.started AS started_at FROM f)"""
+
+
+_TIMEOUT_SQL = f"""
+SELECT task_id, server, month, 'Auto-timeout: started at ' || strftime(started_at, '%Y-%m-%d %H:%M:%S') AS error_msg,
+       '{TO.finalize.TITLE_TIMEOUT}' AS title,
+       'Server: ' || server || chr(10) || 'Month: ' || month || chr(10) || 'Started: '
+         || strftime(started_at, '%Y-%m-%d %H:%M:%S') || chr(10) || 'Exceeded {RQ.H}h. Task marked as ''timeout''.' || chr(10)
+         || 'Reset task ' || task_id || ' to retry.' AS message,
+       'WARNING' AS level, array_to_string(['parquet', 'export', 'timeout'], ',') AS tags
+FROM {timeout_history_sql()}
+"""
+
+
+def _with_tick(spark, path, schema):
+    """The instant of the sweep as the last file of a stream's input."""
+    tick = spark.range(1).select(*[
+        (F.expr(f"TIMESTAMP_NTZ '{RQ.NOW}' + INTERVAL {DELAY_HOURS} HOURS") if f.name == "ts" else F.lit(TICK.get(f.name)))
+        .cast(f.dataType).alias(f.name) for f in schema.fields])
+    tick.write.mode("append").parquet(path)
+
+
+def _in_turn(spark, sf_dir):
+    """The events as files that arrive one after the other in order of time."""
+    src, schema = _event_files(spark, sf_dir)
+    path = new_run_dir(spark, "stream-turn") + "/events"
+    rows = spark.read.schema(schema).parquet(src)
+    cuts = rows.select(F.expr(f"percentile_approx(unix_micros(cast(ts AS timestamp)), array({', '.join(str((i + 1) / SLICES) for i in range(SLICES - 1))}))")).first()[0]
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    for lo, hi in zip([None, *cuts], [*cuts, None], strict=True):
+        some = rows.where((F.lit(True) if lo is None else at > lo) & (F.lit(True) if hi is None else at <= hi))
+        some.coalesce(1).write.mode("append").parquet(path)
+    return path, schema
+
+
+def _timeout_alerts(spark, path, schema):
+    _with_tick(spark, path, schema)
+    run = new_run_dir(spark, "stream-timeouts")
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    log = RL.from_events(source).select("task_id", "month", "server", "event", F.col("ts").cast("timestamp").alias("ts"), "seq")
+    TO.route_late(log, f"{run}/landed", f"{run}/ckpt-route", DELAY_HOURS)
+    TO.stream_timeouts(spark, f"{run}/landed", f"{run}/found", f"{run}/ckpt", delay_hours=DELAY_HOURS)
+    batch = RL.from_events(spark.read.schema(schema).parquet(path)).where("task_id >= 0")
+    alerts = TO.timeout_alerts(spark, f"{run}/landed", f"{run}/found", batch, now=RQ.NOW)
+    return alerts.select("task_id", "server", "month", "error_msg", "title", "message", "level",
+                         F.array_join("tags", ",").alias("tags"))
+
+
+@register("stream_timeout_alerts", _TIMEOUT_SQL)
+def stream_timeout_alerts(spark, sf_dir):
+    """One WARNING for each task that newly times out, by event-time timers
+    while the stream runs, over files in order of time."""
+    return _timeout_alerts(spark, *_in_turn(spark, sf_dir))
+
+
+@register("stream_timeout_alerts_late", _TIMEOUT_SQL)
+def stream_timeout_alerts_late(spark, sf_dir):
+    """The same over files in no order of time and with redeliveries: what is
+    behind the watermark goes to a side table and its tasks are replayed."""
+    return _timeout_alerts(spark, *_late_files(spark, sf_dir))
