@@ -14,6 +14,7 @@ from lakeledger.session import new_run_dir
 from lakeledger.sources import runlog as RL
 from lakeledger.streaming import tasks_stream as TS
 from lakeledger.streaming import timeouts as TO
+from lakeledger.streaming import units_stream as US
 
 SLICES = 8  # files of the stream's input, one a micro-batch
 
@@ -178,3 +179,48 @@ def stream_timeout_alerts_late(spark, sf_dir):
     """The same over files in no order of time and with redeliveries: what is
     behind the watermark goes to a side table and its tasks are replayed."""
     return _timeout_alerts(spark, *_late_files(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ unit status
+
+def _again_files(spark, sf_dir):
+    """The events dealt over files by a hash, every fifth delivered twice, the
+    second time as it was in another file."""
+    ev = S.read_source(spark, sf_dir, "events").withColumn("_copy", F.lit(0))
+    again = ev.where("event_id % 5 = 0").withColumn("_copy", F.lit(1))
+    path = new_run_dir(spark, "stream-again") + "/events"
+    ev.unionByName(again).repartition(SLICES, F.xxhash64("event_id", "_copy")).drop("_copy").write.parquet(path)
+    return path, S.read_source(spark, sf_dir, "events").schema
+
+
+def _stream_units(spark, sf_dir):
+    src, schema = _again_files(spark, sf_dir)
+    run = new_run_dir(spark, "stream-units")
+    RQ._replay(spark, sf_dir).write.parquet(f"{run}/tasks")
+    tasks = spark.read.parquet(f"{run}/tasks")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    US.stream_units(RL.reports_from_events(stream), tasks, f"{run}/units", f"{run}/ckpt", every=3)
+    return tasks, f"{run}/units"
+
+
+@register("stream_unit_status", ORACLES["latest_unit_status"])
+def stream_unit_status(spark, sf_dir):
+    """Unit rows from a stream of reports in no order and with redeliveries:
+    checks by a stream-static join, merge by batch id, claims and resets of the
+    tasks applied to the merged table."""
+    tasks, out = _stream_units(spark, sf_dir)
+    units = RQ.TK.latest_units(US.current_reports(spark, out), tasks)
+    return units.select("task_id", "table_name", "status", "rows_local", "rows_lake", "error_msg",
+                        RQ._txt("updated_at").alias("updated_at"))
+
+
+@register("stream_rejected_reports", f"""
+SELECT report_id, task_id, table_name, status, server, reject_reason, CASE WHEN report_id % 5 = 0 THEN 2 ELSE 1 END::BIGINT AS n_times
+FROM {RQ.checked_reports_sql()} WHERE reject_reason IS NOT NULL
+""")
+def stream_rejected_reports(spark, sf_dir):
+    """The side table of the same stream: rejected reports, and how often each
+    was delivered."""
+    _, out = _stream_units(spark, sf_dir)
+    keys = ["report_id", "task_id", "table_name", "status", "server", "reject_reason"]
+    return US.rejected_reports(spark, out).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_times"))
