@@ -167,11 +167,14 @@ def _any_lost(pair: Column) -> Column:
 
 def acknowledge(log: DataFrame, acks: DataFrame, period: str = "month") -> DataFrame:
     """Apply acknowledgements: only a ``mismatch`` record becomes
-    ``acknowledged``; its details are kept."""
-    hit = acks.select(period).distinct().withColumn("_ack", F.lit(True))
-    j = log.join(hit, period, "left")
+    ``acknowledged``; its details are kept.  With ``acked_at`` in ``acks`` only
+    one that is not earlier than the record counts."""
+    timed = "acked_at" in acks.columns
+    hit = acks.groupBy(F.col(period).alias("_p")).agg(F.max("acked_at" if timed else F.lit(True)).alias("_ack"))
+    j = log.join(hit, F.col(period) == F.col("_p"), "left")
+    ok = F.col("_ack") >= F.col("created_at") if timed else F.col("_ack")
     return j.select(*[c for c in log.columns if c != "status"],
-                    F.when(F.col("_ack") & (F.col("status") == "mismatch"), F.lit("acknowledged"))
+                    F.when(ok & (F.col("status") == "mismatch"), F.lit("acknowledged"))
                      .otherwise(F.col("status")).alias("status"))
 
 
@@ -180,8 +183,9 @@ def _num(c: Column) -> Column:
 
 
 def alerts(final: DataFrame, period: str = "month", source: str = C.ALERT_SOURCE,
-           channel: str = C.ALERT_CHANNEL) -> DataFrame:
-    """One alert per finalized period: INFO / CRITICAL / WARNING."""
+           channel: str = C.ALERT_CHANNEL, extra: list[str] | None = None) -> DataFrame:
+    """One alert per finalized period: INFO / CRITICAL / WARNING; ``extra``
+    columns of ``final`` are kept."""
     rec = final.where(F.col("status").isin("success", "mismatch", "partial_failure"))
     d = F.col("details")
     table_rows = F.filter(d, lambda x: x["kind"] == "table")
@@ -214,7 +218,7 @@ def alerts(final: DataFrame, period: str = "month", source: str = C.ALERT_SOURCE
     return rec.select(period, title.alias("title"),
                       F.concat_ws("\n", head, body).alias("message"),
                       level.alias("level"), F.lit(source).alias("source"), tags.alias("tags"),
-                      F.lit(channel).alias("channel"))
+                      F.lit(channel).alias("channel"), *(extra or []))
 
 
 def write_alerts(alert_rows: DataFrame, path: str) -> None:

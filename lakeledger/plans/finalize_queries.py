@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from lakeledger.functions import catalog as C
 from lakeledger.operators import export, reconcile
 from lakeledger.operators import finalize as FZ
+from lakeledger.operators import lifecycle as LC
 from lakeledger.operators import tasks as TK
 from lakeledger.plans import oracle as O
 from lakeledger.plans import scenarios as S
@@ -276,3 +277,88 @@ def finalize_clean(spark, sf_dir):
     final = _stage(spark, FZ.finalize(export.task_outcome(units), units, by_table, EXPECTED_TASKS), root, "_final")
     told = FZ.alerts(final).select("month", "level", "title", F.array_join("tags", ",").alias("tags"), "message")
     return final.select("month", "status").join(told, "month", "left")
+
+
+# ------------------------------------------------------------------ record log and lifecycle
+
+#: a record whose text was damaged, as the log may hold it
+DAMAGED = ("000000", "mismatch", '[{"kind":"table","n_lo')
+
+
+def _tags_sql() -> str:
+    return "CASE status " + " ".join(f"WHEN '{k}' THEN '{','.join(FZ.TAGS[k])}'"
+                                     for k in ("success", "mismatch", "partial_failure")) + " END"
+
+
+@register("finalize_append", f"""
+WITH n AS (SELECT month, count(*)::BIGINT AS n FROM {_details_sql()} GROUP BY month)
+SELECT a.month, 1::BIGINT AS n_records, 1::BIGINT AS n_alerts, a.status, coalesce(n.n, 0)::BIGINT AS n_details,
+       NULL::VARCHAR AS details_error, a.level, {_tags_sql()} AS tags, a.message,
+       CASE WHEN a.month < '{FINALIZED_BEFORE}' THEN 'r1' ELSE 'r2' END AS run
+FROM {_alert_message_sql()} a LEFT JOIN n USING (month)
+UNION ALL
+SELECT '{DAMAGED[0]}', 1, 1, '{DAMAGED[1]}', 0, 'corrupt', 'CRITICAL', '{",".join(FZ.TAGS["mismatch"])}',
+       'Month: {DAMAGED[0]}' || chr(10) || '0/0 tables have mismatches!' || chr(10), 'r0'
+""")
+def finalize_append(spark, sf_dir):
+    """The append log after runs that overlap and repeat: one record and one
+    alert a month, read back and decoded; a damaged record is flagged."""
+    tasks, units, by_table, root = _world(spark, sf_dir)
+    final = _stage(spark, FZ.finalize(tasks, units, by_table, EXPECTED_TASKS), root, "_final")
+    log_dir = f"{root}/_log"
+    spark.createDataFrame([(*DAMAGED, 0)], "month string, status string, details string, n_tasks long").withColumn(
+        "created_at", F.lit(CREATED_AT).cast("timestamp_ntz")).write.parquet(f"{log_dir}/records/run=r0")
+    early = final.where(F.col("month") < FINALIZED_BEFORE)
+    for run, rows in (("r1", early), ("r1", early), ("r2", final), ("r2", final), ("r3", final)):
+        LC.append_records(rows, tasks, log_dir, run, CREATED_AT)
+        LC.append_alerts(spark, log_dir, run)
+    records = LC.read_records(spark, log_dir)
+    last = FZ.decode_log(LC.latest_records(records))
+    n = records.groupBy("month").agg(F.count(F.lit(1)).alias("n_records"))
+    told = LC.read_alerts(spark, log_dir).groupBy("month").agg(
+        F.count(F.lit(1)).alias("n_alerts"), F.first("level").alias("level"),
+        F.first(F.array_join("tags", ",")).alias("tags"), F.first("message").alias("message"))
+    return (last.join(n, "month").join(told, "month", "left")
+            .select("month", "n_records", "n_alerts", "status", F.size("details").cast("long").alias("n_details"),
+                    "details_error", "level", "tags", "message", "run"))
+
+
+#: events as life of a period's record: purchase and error make records, views
+#: acknowledge, clicks reset; the period is the member
+_LIFE = {"purchase": "record", "error": "record", "view": "acknowledge", "click": "reset"}
+
+
+def _life_sql() -> str:
+    step = ("struct_pack(st := CASE WHEN e.ev = 'reset' THEN NULL WHEN e.ev = 'record' AND acc.st IS NULL THEN e.status "
+            "WHEN e.ev = 'acknowledge' AND acc.st = 'mismatch' THEN 'acknowledged' ELSE acc.st END, "
+            "made := CASE WHEN e.ev = 'reset' THEN NULL WHEN e.ev = 'record' AND acc.st IS NULL THEN e.ts ELSE acc.made END, "
+            "acked := CASE WHEN e.ev = 'reset' THEN NULL WHEN e.ev = 'acknowledge' AND acc.st = 'mismatch' THEN e.ts "
+            "ELSE acc.acked END)")
+    zero = "struct_pack(st := NULL::VARCHAR, made := NULL::TIMESTAMP, acked := NULL::TIMESTAMP)"
+    kind = "CASE event_type " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in _LIFE.items()) + " END"
+    return f"""
+(WITH ev AS (SELECT user_id, ts, event_id, {kind} AS ev, CASE WHEN event_type = 'error' THEN 'partial_failure'
+                    WHEN value < 60 THEN 'mismatch' ELSE 'success' END AS status
+             FROM events WHERE {kind} IS NOT NULL),
+ l AS (SELECT user_id, count(*) FILTER (WHERE ev = 'record') AS n_records, count(*) FILTER (WHERE ev = 'reset') AS n_resets,
+              list(struct_pack(ts := ts, ev := ev, status := status) ORDER BY ts, event_id) AS evs FROM ev GROUP BY user_id)
+ SELECT CAST(user_id AS VARCHAR) AS month, n_records, n_resets, list_reduce(evs, lambda acc, e: {step}, {zero}) AS s FROM l)"""
+
+
+@register("finalize_lifecycle", f"""
+SELECT month, s.st AS status, strftime(s.made, '%Y-%m-%d %H:%M:%S.%f') AS created_at,
+       strftime(s.acked, '%Y-%m-%d %H:%M:%S.%f') AS acknowledged_at, n_records::BIGINT AS n_records, n_resets::BIGINT AS n_resets
+FROM {_life_sql()}
+""")
+def finalize_lifecycle(spark, sf_dir):
+    """Records, acknowledgements and resets of each period as an ordered fold:
+    acknowledgements before a record or behind a reset change nothing, a period
+    is finalized again after a reset."""
+    ev = S.read_source(spark, sf_dir, "events")
+    kind = F.coalesce(*[F.when(F.col("event_type") == a, b) for a, b in _LIFE.items()])
+    status = (F.when(F.col("event_type") == "error", "partial_failure").when(F.col("value") < 60, "mismatch")
+              .otherwise("success"))
+    events = ev.select(F.col("user_id").cast("string").alias("month"), kind.alias("event"), status.alias("status"),
+                       F.col("ts").cast("timestamp_ntz").alias("ts"), F.col("event_id").alias("seq")).where("event is not null")
+    txt = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(c)
+    return LC.live_record(events).select("month", "status", txt("created_at"), txt("acknowledged_at"), "n_records", "n_resets")
