@@ -16,17 +16,23 @@ from __future__ import annotations
 
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeledger.session import conf_scope, new_run_dir
+from lakeledger.session import new_run_dir
 
 UNIT_KEYS = ["table_name", "month", "server"]
 #: partition columns of a lake table; a source may not have columns of these names
 PARTITION_COLS = ["unit_month", "unit_server"]
 
+EMPTY_FILE_BYTES = 4 << 20  # a whole file without rows is smaller
+FEW_UNITS = 1000            # units whose folders are named in a filter
+
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("month", T.StringType()),
     T.StructField("server", T.StringType()),
@@ -92,8 +98,7 @@ def current_attempts(spark: SparkSession, root: str, table_name: str) -> list[st
                   if exists(spark, attempt_path(root, table_name, r[0])))
 
 
-def files(spark: SparkSession, root: str, table_name: str, attempts: list[str],
-          content: bool = False) -> DataFrame | None:
+def files(spark: SparkSession, root: str, table_name: str, attempts: list[str]) -> DataFrame | None:
     """(attempt, month, server, path, length) of the Parquet files of the given
     attempts; other tables are not listed and no file is read.  Keys are the
     unescaped partition values.  None without attempts."""
@@ -116,52 +121,87 @@ def inventory(spark: SparkSession, root: str, table_name: str, attempts: list[st
         F.count("*").alias("n_files"), F.sum("length").alias("n_bytes"))
 
 
-def _parquet_v2(spark: SparkSession, load):
-    """Load with the Parquet source that counts from footers: its scan takes
-    ``count(*)`` by partition columns, so no page is read."""
-    key = "spark.sql.sources.useV1SourceList"
-    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")  # looked up when the count is planned
-    with conf_scope(spark, {key: ",".join(x for x in spark.conf.get(key).split(",") if x.strip() != "parquet")}):
-        return load()
+def file_counts(spark: SparkSession, root: str, table_name: str, attempts: list[str]) -> DataFrame | None:
+    """(attempt, month, server, file, length, n_rows) of every Parquet file of
+    the attempts: the inventory joined with the rows that each file's footer
+    gives.  The scan references no column (``ReadSchema: struct<>``), so no page
+    is read.  n_rows is NULL for a file of which the scan saw no row: one without
+    rows, or one that cannot be read (:func:`unreadable` tells them apart)."""
+    found = files(spark, root, table_name, attempts)
+    if found is None:
+        return None
+    keys = ["attempt", "month", "server", "file"]
+    found = found.withColumn("file", F.substring_index("path", "/", -1)).select(*keys, "length")
+    rows = (spark.read.schema(KEY_SCHEMA).option("basePath", table_path(root, table_name))
+            .option("pathGlobFilter", "*.parquet").option("ignoreCorruptFiles", "true")
+            .parquet(*[attempt_path(root, table_name, a) for a in attempts]))
+    counts = rows.groupBy("attempt", F.col("unit_month").alias("month"), F.col("unit_server").alias("server"),
+                          F.col("_metadata.file_name").alias("file")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return found.join(counts, keys, "left")
 
 
 def lake_counts(spark: SparkSession, root: str, table_name: str, attempts: list[str]) -> DataFrame | None:
-    """Rows by (attempt, month, server), from the footers.  Files that cannot
-    be read add nothing (``lake_units`` tells them from missing rows)."""
-    if not attempts:
-        return None
-    rows = _parquet_v2(spark, lambda: (
-        spark.read.schema(KEY_SCHEMA).option("basePath", table_path(root, table_name))
-        .option("pathGlobFilter", "*.parquet").option("ignoreCorruptFiles", "true")
-        .parquet(*[attempt_path(root, table_name, a) for a in attempts])))
-    return (rows.groupBy("attempt", F.col("unit_month").alias("month"), F.col("unit_server").alias("server"))
-            .agg(F.count(F.lit(1)).cast("long").alias("n_lake")))
-
-
-def _unreadable(spark: SparkSession, suspects: DataFrame, root: str, table_name: str) -> DataFrame:
-    """Units of ``suspects`` (attempt, month, server: their count differs from
-    the published one) with a file that does not end like Parquet."""
-    attempts = sorted(r[0] for r in suspects.select("attempt").distinct().collect())
-    found = files(spark, root, table_name, attempts)
-    paths = [r[0] for r in found.join(suspects, ["attempt", "month", "server"], "left_semi").select("path").collect()]
-    if not paths:
-        return suspects.limit(0)
-    read = (spark.read.format("binaryFile").option("basePath", table_path(root, table_name)).load(paths)
-            .where(F.coalesce(F.expr("right(content, 4)"), F.lit(b"")) != F.lit(b"PAR1")))
-    return read.select("attempt", F.col("unit_month").alias("month"), F.col("unit_server").alias("server")).distinct()
+    """Rows by (attempt, month, server), from the footers; files that cannot be
+    read add nothing."""
+    per_file = file_counts(spark, root, table_name, attempts)
+    return None if per_file is None else per_file.groupBy("attempt", "month", "server").agg(
+        F.coalesce(F.sum("n_rows"), F.lit(0)).cast("long").alias("n_lake"))
+
+
+def _footer_rows(batches):
+    """(attempt, month, server, n_rows) of file contents, n_rows NULL where
+    there is no whole footer."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    for b in batches:
+        rows = []
+        for content in b.column(3):
+            try:
+                rows.append(pq.read_metadata(pa.BufferReader(content.as_buffer())).num_rows)
+            except Exception:  # noqa: BLE001  any damage
+                rows.append(None)
+        yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(rows, pa.int64())],
+                                         ["attempt", "month", "server", "n_rows"])
+
+
+def unreadable(spark: SparkSession, root: str, table_name: str, silent: DataFrame) -> DataFrame:
+    """Of ``silent`` units (attempt, month, server) with files that gave no row:
+    those with a file that is not whole.  A whole file without rows is little
+    more than its footer: larger ones are damaged and not opened, of the others
+    the footer is parsed.  Only the folders of these units are opened."""
+    keys = ["attempt", "month", "server"]
+    some = [tuple(r) for r in silent.select(*keys).limit(FEW_UNITS + 1).collect()]
+    if not some:
+        return silent.select(*keys)
+    attempts = sorted(r[0] for r in silent.select("attempt").distinct().collect())
+    held = file_counts(spark, root, table_name, attempts).join(silent.select(*keys), keys, "left_semi")
+    mute = held.where("n_rows is null")
+    large = mute.where(F.col("length") > EMPTY_FILE_BYTES).select(*keys)
+    small = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+             .option("basePath", table_path(root, table_name)).load([attempt_path(root, table_name, a) for a in attempts])
+             .where(F.col("length") <= EMPTY_FILE_BYTES))
+    if len(some) <= FEW_UNITS:  # a filter on the folders; beyond that the join prunes them
+        folder = F.concat_ws("/", "attempt", "unit_month", "unit_server")
+        small = small.where(folder.isin(["/".join(x or "" for x in r) for r in some]))
+    small = small.select("attempt", F.col("unit_month").alias("month"), F.col("unit_server").alias("server"),
+                         F.substring_index("path", "/", -1).alias("file"), "content")
+    small = small.join(mute.select(*keys, "file"), [*keys, "file"], "left_semi").select(*keys, "content")
+    footers = small.mapInArrow(_footer_rows, "attempt string, month string, server string, n_rows long")
+    # rows in a footer that the scan cannot read count as damage, too
+    broken = footers.where("n_rows is null or n_rows > 0").select(*keys)
+    return large.unionByName(broken).distinct()
 
 
 def attempt_units(spark: SparkSession, root: str, table_name: str, attempts: list[str]) -> DataFrame:
-    """(attempt, month, server, n_files, n_bytes, n_lake) of what the attempts
-    hold, published or not."""
-    inv = inventory(spark, root, table_name, attempts)
-    if inv is None:
-        return spark.createDataFrame(
-            [], "attempt string, month string, server string, n_files long, n_bytes long, n_lake long")
-    counts = lake_counts(spark, root, table_name, attempts)
-    return (inv.join(counts, ["attempt", "month", "server"], "left")
-            .select("attempt", "month", "server", "n_files", "n_bytes",
-                    F.coalesce("n_lake", F.lit(0).cast("long")).alias("n_lake")))
+    """(attempt, month, server, n_files, n_bytes, n_lake, n_silent) of what the
+    attempts hold, published or not; n_silent counts the files without a row."""
+    per_file = file_counts(spark, root, table_name, attempts)
+    if per_file is None:
+        return spark.createDataFrame([], "attempt string, month string, server string, n_files long, n_bytes long, "
+                                         "n_lake long, n_silent long")
+    return per_file.groupBy("attempt", "month", "server").agg(
+        F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("n_bytes"),
+        F.coalesce(F.sum("n_rows"), F.lit(0)).cast("long").alias("n_lake"), F.count_if(F.col("n_rows").isNull()).alias("n_silent"))
 
 
 def lake_units(spark: SparkSession, root: str, tables: list[str]) -> DataFrame:
@@ -169,32 +209,38 @@ def lake_units(spark: SparkSession, root: str, tables: list[str]) -> DataFrame:
 
     ``lake_status``: OK; ERROR when a file cannot be read (n_lake is NULL, and
     the other units go on); NO_FILES when its files are gone (n_lake NULL).  A
-    unit published without files has zero rows.  A unit that was never
-    published has no row; the caller's outer join turns that into NO_FILES.
+    unit published without files, or of files without rows, has zero rows.  A
+    unit that was never published has no row; the caller's outer join turns that
+    into NO_FILES.  The tables are listed at the same time and counted in one
+    job.
     """
-    out = None
-    for name in tables:
-        now = manifest(spark, root, name)
+    if not tables:
+        return spark.createDataFrame([], UNIT_SCHEMA)
+
+    def one(name: str) -> DataFrame:
         held = attempt_units(spark, root, name, current_attempts(spark, root, name))
-        j = now.select("month", "server", "attempt", "n_rows", F.col("n_files").alias("n_published")).join(
-            held, ["attempt", "month", "server"], "left")
-        n_lake = F.when(F.col("n_published") == 0, F.coalesce("n_lake", F.lit(0))).otherwise(F.col("n_lake"))
-        path = new_run_dir(spark, "units") + "/t"
-        # one small row a unit, stored: the snapshot that all counts are taken against
-        j.withColumn("n_lake", n_lake.cast("long")).write.parquet(path)
-        j = spark.read.parquet(path)
-        suspects = j.where("n_files > 0 and n_lake <> n_rows").select("attempt", "month", "server")
-        status = F.when(F.col("n_lake").isNull(), "NO_FILES").otherwise("OK")
-        if not suspects.isEmpty():
-            bad = _unreadable(spark, suspects, root, name).withColumn("bad", F.lit(True))
-            j = j.join(bad, ["attempt", "month", "server"], "left")
-            status = F.when(F.col("bad"), "ERROR").otherwise(status)
-        one = j.select(F.lit(name).alias("table_name"), "month", "server",
-                       F.coalesce("n_files", F.lit(0)).cast("long").alias("n_files"),
-                       F.coalesce("n_bytes", F.lit(0)).cast("long").alias("n_bytes"),
-                       F.when(status != "ERROR", F.col("n_lake")).alias("n_lake"), status.alias("lake_status"))
-        out = one if out is None else out.unionByName(one)
-    return out if out is not None else spark.createDataFrame([], UNIT_SCHEMA)
+        now = manifest(spark, root, name).select("month", "server", "attempt", F.col("n_files").alias("n_published"))
+        return now.join(held, ["attempt", "month", "server"], "left").withColumn("table_name", F.lit(name))
+
+    with ThreadPoolExecutor(min(8, len(tables))) as pool:
+        frames = list(pool.map(inheritable_thread_target(spark)(one), tables))
+    path = new_run_dir(spark, "units") + "/t"
+    # one small row a unit, stored: the snapshot that all counts are taken against
+    reduce(DataFrame.unionByName, frames).write.parquet(path)
+    j = spark.read.schema(frames[0].schema).parquet(path)
+    silent = j.where("n_silent > 0")
+    bad = [unreadable(spark, root, r[0], silent.where(F.col("table_name") == r[0])).withColumn("table_name", F.lit(r[0]))
+           for r in silent.select("table_name").distinct().collect()]
+    error = F.lit(False)
+    if bad:
+        j = j.join(reduce(DataFrame.unionByName, bad).withColumn("bad", F.lit(True)),
+                   ["table_name", "attempt", "month", "server"], "left")
+        error = F.coalesce("bad", F.lit(False))
+    n_lake = F.when(F.col("n_published") == 0, F.coalesce("n_lake", F.lit(0))).otherwise(F.col("n_lake")).cast("long")
+    status = F.when(error, "ERROR").when(n_lake.isNull(), "NO_FILES").otherwise("OK")
+    return j.select("table_name", "month", "server", F.coalesce("n_files", F.lit(0)).cast("long").alias("n_files"),
+                    F.coalesce("n_bytes", F.lit(0)).cast("long").alias("n_bytes"),
+                    F.when(~error, n_lake).alias("n_lake"), status.alias("lake_status"))
 
 
 def read_table(spark: SparkSession, root: str, table_name: str) -> DataFrame | None:

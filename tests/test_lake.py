@@ -98,3 +98,44 @@ def test_absent_vs_empty_units(spark):
     assert by["srv-001"].verdict == "OK"
     assert by["srv-005"].diff <= 0
     assert lake.read_table(spark, root, "missing_table") is None
+
+
+def test_states_of_files(spark):
+    """Truncated, footer zeroed behind an intact tail, whole but without rows,
+    gone, and one of two files damaged."""
+    import glob
+
+    import pyarrow.parquet as pq
+    root = tempfile.mkdtemp(prefix="lakeledger-test-lake-")
+    src = S.SOURCES["orders"]
+    orders = S.read_source(spark, SF, "orders")
+    export.write_and_publish(spark, orders, src, root)
+    before = {(r.month, r.server): r.n_lake for r in lake.lake_units(spark, root, ["orders"]).collect()}
+    names = sorted(glob.glob(lake.table_path(root, "orders") + "/attempt=*/unit_month=*/unit_server=*/*.parquet"))
+    unit = lambda f: tuple(p.split("=")[1] for p in f.split("/")[-3:-1])
+    cut, zeroed, empty, gone, half = names[0], names[7], names[11], names[17], names[23]
+    data = open(cut, "rb").read()
+    open(cut, "wb").write(data[:len(data) // 2])
+    data = open(zeroed, "rb").read()
+    size = int.from_bytes(data[-8:-4], "little")
+    open(zeroed, "wb").write(data[:-8 - size] + bytes(size) + data[-8:])
+    pq.write_table(pq.read_table(empty, partitioning=None).slice(0, 0), empty)
+    os.remove(gone)
+    pq.write_table(pq.read_table(half, partitioning=None), half.replace(".parquet", "-more.parquet"))
+    data = open(half, "rb").read()
+    open(half, "wb").write(data[:-4])
+    for f in (cut, zeroed, empty, gone, half):  # local checksums do not know of the damage
+        crc = os.path.join(os.path.dirname(f), "." + os.path.basename(f) + ".crc")
+        if os.path.exists(crc):
+            os.remove(crc)
+    after = {(r.month, r.server): (r.n_lake, r.lake_status) for r in lake.lake_units(spark, root, ["orders"]).collect()}
+    want = {k: (n, "OK") for k, n in before.items()} | {unit(cut): (None, "ERROR"), unit(zeroed): (None, "ERROR"),
+                                                        unit(empty): (0, "OK"), unit(gone): (None, "NO_FILES"),
+                                                        unit(half): (None, "ERROR")}
+    assert after == want
+    lake.FEW_UNITS, few = 1, lake.FEW_UNITS
+    try:
+        again = {(r.month, r.server): (r.n_lake, r.lake_status) for r in lake.lake_units(spark, root, ["orders"]).collect()}
+    finally:
+        lake.FEW_UNITS = few
+    assert again == want

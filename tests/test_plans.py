@@ -26,7 +26,9 @@ def test_lake_count_reads_no_columns_and_inventory_reads_no_content(spark):
     S.build_lake(spark, SF, root, ["orders"])
     attempts = lake.current_attempts(spark, root, "orders")
     p = _plan(lake.lake_counts(spark, root, "orders", attempts))
-    assert "PushedAggregation: [COUNT(*)]" in p, p
+    # rows by file come from the footers: the scan asks for no column
+    scans = re.findall(r"FileScan (\w+).*?ReadSchema: struct<([^>]*)>", p)
+    assert ("parquet", "") in scans and all("content" not in cols for _, cols in scans), p
     inv = _plan(lake.inventory(spark, root, "orders"))
     assert "content" not in re.findall(r"ReadSchema: [^,\]]*", inv)[0]
 
