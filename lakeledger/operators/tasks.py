@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeledger.functions import catalog as C
+from lakeledger.session import new_run_dir
 
 _KIND = {"claim": "C", "complete": "T", "failed": "T", "reset": "R"}
 TS_TEXT = "yyyy-MM-dd HH:mm:ss"
@@ -303,9 +304,27 @@ def task_transitions(requests: DataFrame, tasks: DataFrame) -> DataFrame:
 
 def ordered_listing(tasks: DataFrame, *order: str, group: str = "month") -> DataFrame:
     """The listing with its order as a column: ``place`` is the task's place
-    within its group, so the order survives any later shuffle."""
-    w = Window.partitionBy(group).orderBy(*order, "task_id")
-    return tasks.withColumn("place", F.row_number().over(w))
+    within its group, so the order survives any later shuffle.
+
+    A group with most of the rows is not sorted in one task: the rows are range
+    partitioned by (group, order, task_id) and stored in that order; a row's
+    place is its place in its partition, less that of the group's first row
+    there, plus the rows that the group has in the partitions before.  Only
+    these counts, one for each group in each partition, meet in a window.  Rows
+    that are equal in all of these keys are placed in any order.
+    """
+    keys = [group, *order, "task_id"]
+    rows = tasks.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    path = new_run_dir(tasks.sparkSession, "listing") + "/t"
+    at = F.monotonically_increasing_id()  # partition << 33 | place in it
+    rows = rows.select("*", F.shiftright(at, 33).alias("_part"), at.bitwiseAND(F.lit((1 << 33) - 1)).alias("_at"))
+    rows.write.parquet(path)
+    rows = tasks.sparkSession.read.schema(rows.schema).parquet(path)
+    counts = rows.groupBy(group, "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    before = F.sum("_n").over(Window.partitionBy(group).orderBy("_part")) - F.col("_n")
+    counts = counts.select(F.col(group).alias("_g"), F.col("_part").alias("_p"), (before - F.col("_first") + 1).alias("_add"))
+    out = rows.join(counts, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_part") == F.col("_p")))
+    return out.select(*tasks.columns, (F.col("_at") + F.col("_add")).cast("int").alias("place"))
 
 
 def fleet_board(roster: DataFrame, tasks: DataFrame, live: DataFrame) -> DataFrame:

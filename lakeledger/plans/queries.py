@@ -266,6 +266,32 @@ def reconcile_status(spark, sf_dir):
     return reconcile.reconcile_status(units, ["table_name", "server"])
 
 
+#: a month of which every shard is planned and nothing is there
+UNSEEN_MONTH = "209912"
+
+
+@register("reconcile_planned", f"""
+WITH u AS ({O.all_units_sql(['orders'])}),
+a AS (SELECT server, month, n_local::BIGINT AS n_local, n_local::BIGINT AS n_lake, 'OK' AS lake_status, 'OK' AS local_status,
+             CASE WHEN month < '199301' THEN 'UNEXPECTED' ELSE 'OK' END AS unit_status FROM u
+      UNION ALL SELECT DISTINCT server, '{UNSEEN_MONTH}', NULL, NULL, 'NO_FILES', 'NO_ROWS', 'OK' FROM u)
+SELECT server, lake_status, local_status, unit_status, count(*)::BIGINT AS n_units, sum(n_local)::BIGINT AS n_local,
+       sum(n_lake)::BIGINT AS n_lake
+FROM a GROUP BY server, lake_status, local_status, unit_status
+""")
+def reconcile_planned(spark, sf_dir):
+    """Reconciliation against a plan: planned units absent on both sides have a
+    row, units that the plan does not name are unexpected."""
+    root = new_run_dir(spark, "lake")
+    S.build_lake(spark, sf_dir, root, ["orders"])
+    local = S.local_counts(spark, sf_dir, ["orders"])
+    plan = local.where("month >= '199301'").select(*UNIT_COLS).unionByName(
+        local.select("table_name", F.lit(UNSEEN_MONTH).alias("month"), "server").distinct())
+    units = reconcile.reconcile_units(local, lake.lake_units(spark, root, ["orders"]), expected=plan)
+    return units.groupBy("server", "lake_status", "local_status", "unit_status").agg(
+        F.count(F.lit(1)).alias("n_units"), F.sum("n_local").alias("n_local"), F.sum("n_lake").alias("n_lake"))
+
+
 @register("export_fault_kept", f"""
 WITH u AS ({O.all_units_sql(['lineitem'])})
 SELECT table_name, month, server, n_local::BIGINT AS n_local, n_local::BIGINT AS n_readable,

@@ -488,6 +488,41 @@ def finalize_after_reset(spark, sf_dir):
     return log.join(holds, "server", "left").select("server", F.coalesce("holds", F.lit(False)).alias("holds"))
 
 
+# --- readiness feed: events as feed rows -------------------------------------
+
+_CODES = len(C.REQUIRED_FEEDS)
+_FEED_SQL = f"""
+(SELECT CASE WHEN user_id % 2 = 0 THEN {C.READINESS_FEED_TYPE} ELSE {C.READINESS_FEED_TYPE + 1} END AS feed_type,
+        {O.month_sql('ts')} AS feed_month, [{O.sql_str_list(C.REQUIRED_FEEDS)}][event_id % {_CODES} + 1] AS code
+ FROM events WHERE user_id % 2 = 0 OR event_id % {_CODES} <> 0)"""
+#: (month, feed type): all codes there, one missing, a month without rows
+_GATES = [("202401", C.READINESS_FEED_TYPE), ("202401", C.READINESS_FEED_TYPE + 1), ("209901", C.READINESS_FEED_TYPE)]
+
+
+@register("readiness_gate", " UNION ALL ".join(f"""
+SELECT month, feed_type, len(miss) = 0 AS ready, len(miss)::BIGINT AS n_missing, array_to_string(miss, ',') AS missing
+FROM (SELECT '{m}' AS month, {t} AS feed_type, list_sort(list_filter([{O.sql_str_list(C.REQUIRED_FEEDS)}],
+             lambda x: NOT list_contains(have, x))) AS miss
+      FROM (SELECT coalesce(list(DISTINCT code), []) AS have FROM {_FEED_SQL}
+            WHERE feed_type = {t} AND feed_month = '{m}'))""" for m, t in _GATES))
+def readiness_gate(spark, sf_dir):
+    """The dispatch gate of a month over a readiness feed; type and month are
+    filtered in the scan."""
+    from lakeledger.session import new_run_dir
+    own = F.col("user_id") % 2 == 0
+    feed = _events(spark, sf_dir).where(own | (F.col("event_id") % _CODES != 0)).select(
+        F.when(own, C.READINESS_FEED_TYPE).otherwise(C.READINESS_FEED_TYPE + 1).alias("feed_type"),
+        C.month_of("ts").alias("feed_month"),
+        F.element_at(F.array(*map(F.lit, C.REQUIRED_FEEDS)), (F.col("event_id") % _CODES + 1).cast("int")).alias("code"))
+    path = new_run_dir(spark, "feed") + "/t"
+    feed.write.parquet(path)
+    feed, out = spark.read.schema(feed.schema).parquet(path), None
+    for month, kind in _GATES:
+        one = COV.readiness(feed, month, feed_type=kind).withColumn("feed_type", F.lit(kind))
+        out = one if out is None else out.unionByName(one)
+    return out.select("month", "feed_type", "ready", "n_missing", "missing")
+
+
 # --- a ledger in which every state and decision occurs: period = customer ---
 
 LEDGER_EXPECTED = 10
