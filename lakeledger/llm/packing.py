@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeledger.llm.common import documents, slices, stored, wide
+from lakeledger.llm.common import documents, drop_caches, slices, stored, wide
 from lakeledger.llm.token_files import crc_of
 from lakeledger.llm.tokens import encoder
 
@@ -43,9 +43,10 @@ NODES_PER_PIECE = 4
 BATCH = 256
 
 
-def pieces(docs: DataFrame, tokenizer: str, kind: str, end_id: int, room: int) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, kind: str, end_id: int, room: int, keep_memo: bool = True) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32): each document's ids and the
-    end id, cut every ``room`` ids."""
+    end id, cut every ``room`` ids.  ``keep_memo``: a worker keeps the words that
+    it has encoded for its next task; else it gives the memory back."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer, kind)
         for b in slices(batches, BATCH):
@@ -62,6 +63,9 @@ def pieces(docs: DataFrame, tokenizer: str, kind: str, end_id: int, room: int) -
                 [b.column(0).take(pa.array(row)), pa.array(piece.astype(np.int32)), pa.array(start),
                  pa.array(length), pa.array(crc, pa.int64())],
                 ["doc_id", "piece", "start", "length", "ids_crc32"])
+        if not keep_memo:
+            del enc
+            drop_caches()
 
     return wide(documents(docs)).mapInArrow(
         each, "doc_id long, piece int, start long, length long, ids_crc32 long")
@@ -282,7 +286,8 @@ def pack(cut: DataFrame, room: int) -> DataFrame:
             .applyInPandas(each, f"{fields}, sequence_id long, offset long"))
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, kind: str, end_id: int, room: int = 4096) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, kind: str, end_id: int, room: int = 4096,
+                   keep_memo: bool = True) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset).
 
     Every document, null or empty text included, has at least the end id and
@@ -290,4 +295,4 @@ def pack_documents(docs: DataFrame, tokenizer: str, kind: str, end_id: int, room
     each by itself; an empty table gives an empty result; other columns are
     ignored.  Only documents of over ``room`` ids are cut.
     """
-    return pack(pieces(docs, tokenizer, kind, end_id, room), room)
+    return pack(pieces(docs, tokenizer, kind, end_id, room, keep_memo), room)
