@@ -50,8 +50,10 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the documents in sequences of at most 4096 tokens."""
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), "word", end_id=1, room=4096)
+    """The pieces of the documents in sequences of at most 4096 tokens.  The
+    workers' memory goes back to whatever stage they serve next."""
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), "word", end_id=1, room=4096,
+                                  keep_memo=False)
 
 
 STAGES = [("quality rules", quality), ("SimHash near-dedup", near_duplicates),
