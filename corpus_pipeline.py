@@ -21,6 +21,16 @@ MIX = {"clean": 0.99, "toxic": 0.01, "poor": 0.0}
 TIMES = 1.0
 
 
+#: rows that go to a Python worker at once; at the default of 10,000 whole
+#: documents a batch takes some 35 MB on either side
+BATCH_ROWS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
+
+
+def _small_batches(spark: SparkSession) -> None:
+    for k, v in BATCH_ROWS.items():
+        spark.conf.set(k, v)
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     return quality_rules.quality_filter(docs)
@@ -28,11 +38,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group: 3-word shingles, 3 bits."""
+    _small_batches(spark)
     return simhash.simhash_dedup(docs, shingle=3, max_bits=3)
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the strings of 200 bytes that occur elsewhere."""
+    _small_batches(spark)
     # the columns under private names, so that theirs cannot clash with the operator's
     names = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
     named = docs.select(*[F.col(c).alias(n) for c, n in names.items()], F.col("doc_id"), F.col("text"))
@@ -45,6 +57,7 @@ def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix to target weights takes them."""
+    _small_batches(spark)
     model = mixing.domain_model(docs, read_table(spark, sf_dir, "labels"))
     return mixing.mixed_documents(docs, model, MIX, full="clean", times=TIMES)
 
@@ -52,6 +65,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents in sequences of at most 4096 tokens.  The
     workers' memory goes back to whatever stage they serve next."""
+    _small_batches(spark)
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), "word", end_id=1, room=4096,
                                   keep_memo=False)
 
