@@ -31,6 +31,7 @@ from lakeledger.llm.tokens import encoder
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 64 << 10
 BATCH = 512
+MEMO = 250_000  # pieces of a generation: the file writers need the memory, too
 
 OPTIONS = {
     "parquet.writer.version": "v2",
@@ -57,7 +58,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, kind: str, end_id:
     are not written.
     """
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, at = encoder(tokenizer, kind), 0
+        enc, at = encoder(tokenizer, kind, MEMO), 0
         shard = TaskContext.get().partitionId()
         for b in slices(batches, BATCH):
             flat, off = enc.encode(b.column(1).to_pylist(), end_id)

@@ -211,7 +211,7 @@ def encode_once(memo: _Memo, strings: list[str]) -> tuple[np.ndarray, np.ndarray
 
 
 class Encoder:
-    def __init__(self, path: str, kind: str):
+    def __init__(self, path: str, kind: str, generation: int | None = None):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -220,7 +220,7 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.memo = memo = _Memo(self.tokenizer, kind)
         self.numbers = {"byte": self._byte, "word": self._word}[kind]
-        self.kind = kind
+        self.kind, self.generation = kind, generation
         self.bare = _Numbers(memo, "", strict=kind == "byte")     # first words of lines
         self.spaced = _Numbers(memo, " ", strict=True)            # words after a space
         self.whole = _Numbers(memo, "", strict=False)             # pieces with their white space
@@ -266,15 +266,17 @@ class Encoder:
             ids = row if isinstance(row, np.ndarray) else self.memo.look_up(np.array(row, np.int64))
             out += [ids, *last]
             sizes.append(len(ids) + len(last))
-        if len(self.bare) + len(self.spaced) + len(self.whole) > GENERATION:
+        if len(self.bare) + len(self.spaced) + len(self.whole) > (self.generation or GENERATION):
             self.memo.keep([self.bare, self.spaced, self.whole, self.memo.marks])
         flat = np.concatenate(out) if out else np.zeros(0, np.int32)
         return flat, np.r_[0, np.cumsum(np.array(sizes, np.int64))].astype(np.int64)
 
 
-def encoder(path: str, kind: str) -> Encoder:
-    """The worker's encoder for a vocabulary file, kept across tasks."""
+def encoder(path: str, kind: str, generation: int | None = None) -> Encoder:
+    """The worker's encoder for a vocabulary file, kept across tasks, with
+    ``generation`` pieces in a generation of its memo (by default GENERATION)."""
     cache = process_cache("encoders")
     if (path, kind) not in cache:
-        cache[path, kind] = Encoder(path, kind)
+        cache[path, kind] = Encoder(path, kind, generation)
+    cache[path, kind].generation = generation
     return cache[path, kind]
