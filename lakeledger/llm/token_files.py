@@ -31,7 +31,7 @@ from lakeledger.llm.tokens import encoder
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 64 << 10
 BATCH = 512
-MEMO = 250_000  # pieces of a generation: the file writers need the memory, too
+MEMO = 380_000  # pieces of a generation: the file writers need the memory, too
 
 OPTIONS = {
     "parquet.writer.version": "v2",
