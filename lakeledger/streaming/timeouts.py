@@ -141,6 +141,9 @@ def stream_timeouts(spark: SparkSession, landed_dir: str, out_dir: str, checkpoi
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     own = spark.newSession()  # RocksDB for this query alone
     own.conf.set(PROVIDER, ROCKSDB)
+    # batches write their changes, not whole snapshots, and few of them are kept
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    own.conf.set("spark.sql.streaming.minBatchesToRetain", "4")
     own.conf.set("spark.sql.session.timeZone", "UTC")
     rows = own.readStream.schema(LOG).option("maxFilesPerTrigger", files_per_batch).parquet(f"{landed_dir}/on_time/*")
     rows = rows.withWatermark("ts", f"{int(delay_hours)} hours").withColumn("us", F.unix_micros("ts"))
