@@ -6,7 +6,10 @@
   watermark, so no event is dropped however late it is.  An event that is not
   after everything applied so far (by ts, and by seq: a redelivery) cannot be
   folded in; it marks its task, and :func:`current_tasks` replays the marked
-  tasks from the log.  So stream = batch in any order of arrival.
+  tasks from the log.  So stream = batch in any order of arrival.  A call of
+  the state function costs milliseconds whatever it holds, so tasks meet it in
+  ``GROUPS`` groups by the hash of their id; a group's row in the state store
+  holds a state for each of its tasks.
 * :func:`stream_liveness` - latest heartbeat per member, a streaming
   ``max``/``max_by`` aggregate.
 
@@ -20,8 +23,9 @@ event time would need a watermark.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -38,69 +42,98 @@ STATE_SCHEMA = ("st string, started timestamp, completed timestamp, err string,
                 "month string, server string, created timestamp, n_late long")
 OUT_SCHEMA = "task_id long, " + STATE_SCHEMA
 
+#: groups of tasks; a checkpoint keeps the number that it began with
+GROUPS = 1024
+#: a time or id that is null in the log: pandas would make floats of the others
+MISSING = -2 ** 63
+TIMES = ["started", "completed", "first_claim", "last_reset", "last_ts", "created"]
+FOLDED = "task_id long, " + ", ".join(
+    f"{c} long" if c in [*TIMES, "last_seq", "max_seq", "n_late"] else f"{c} string" for c in STATE_COLS)
+
 
 def _fmt(t) -> str:
     return pd.Timestamp(t).strftime("%Y-%m-%d %H:%M:%S")
 
 
-def fold_events(state: dict, rows: pd.DataFrame, timeout_hours: int | None) -> dict:
-    """Apply one task's new events (any order) to its state, in (ts, seq)
-    order.  Small per-task helper: the distribution is Spark's."""
-    s = dict(state)
-    limit = None if timeout_hours is None else dt.timedelta(hours=timeout_hours)
-    for r in rows.sort_values(["ts", "seq"]).itertuples(index=False):
-        if r.event == "create":
-            s["created"] = r.ts if s["created"] is None else min(s["created"], r.ts)
-        s["month"] = r.month if s["month"] is None else min(s["month"], r.month)
-        s["server"] = r.server if s["server"] is None else min(s["server"], r.server)
-        if r.event not in ("claim", "complete", "failed", "reset"):
+def _fold(s: dict, events: Iterable[tuple], limit, text: Callable) -> dict:
+    """Apply one task's events (event, ts, seq, month, server), in (ts, seq)
+    order, to its state ``s``.  Times and ``limit`` are of any one kind that
+    ``text`` can print."""
+    for event, ts, seq, month, server in events:
+        if event == "create" and ts != MISSING:
+            s["created"] = ts if s["created"] is None else min(s["created"], ts)
+        if month is not None:
+            s["month"] = month if s["month"] is None else min(s["month"], month)
+        if server is not None:
+            s["server"] = server if s["server"] is None else min(s["server"], server)
+        if event not in ("claim", "complete", "failed", "reset"):
+            continue
+        if ts == MISSING or seq == MISSING:  # it has no place in the order here: the batch replay gives it one
+            s["n_late"] += 1
             continue
-        if s["last_ts"] is not None and (r.ts <= s["last_ts"] and (r.ts, r.seq) <= (s["last_ts"], s["last_seq"])
-                                         or r.seq <= s["max_seq"]):
-            s["n_late"] += 0 if (r.ts, r.seq) == (s["last_ts"], s["last_seq"]) else 1
+        if s["last_ts"] is not None and (ts <= s["last_ts"] and (ts, seq) <= (s["last_ts"], s["last_seq"])
+                                         or seq <= s["max_seq"]):
+            s["n_late"] += 0 if (ts, seq) == (s["last_ts"], s["last_seq"]) else 1
             continue
-        s["last_ts"], s["last_seq"] = r.ts, r.seq
-        s["max_seq"] = r.seq if s["max_seq"] is None else max(s["max_seq"], r.seq)
+        s["last_ts"], s["last_seq"] = ts, seq
+        s["max_seq"] = seq if s["max_seq"] is None else max(s["max_seq"], seq)
         st = s["st"]
-        if limit is not None and st == "progress" and s["started"] < r.ts - limit:
+        if limit is not None and st == "progress" and s["started"] < ts - limit:
             st = "timeout"
-            s["err"] = "Auto-timeout: started at " + _fmt(s["started"])
-        if r.event == "claim" and st == "new":
-            st, s["started"], s["completed"] = "progress", r.ts, None
+            s["err"] = "Auto-timeout: started at " + text(s["started"])
+        if event == "claim" and st == "new":
+            st, s["started"], s["completed"] = "progress", ts, None
             if s["first_claim"] is None:
-                s["first_claim"] = r.ts
-        elif r.event in ("complete", "failed") and st == "progress":
-            st, s["completed"] = r.event, r.ts
-        elif r.event == "reset" and st != "progress":
-            st, s["started"], s["completed"], s["err"], s["last_reset"] = "new", None, None, "", r.ts
+                s["first_claim"] = ts
+        elif event in ("complete", "failed") and st == "progress":
+            st, s["completed"] = event, ts
+        elif event == "reset" and st != "progress":
+            st, s["started"], s["completed"], s["err"], s["last_reset"] = "new", None, None, "", ts
         s["st"] = st
     return s
 
 
+def fold_events(state: dict, rows: pd.DataFrame, timeout_hours: int | None) -> dict:
+    """Apply one task's new events (any order) to its state, in (ts, seq)
+    order.  Small per-task helper: the distribution is Spark's."""
+    limit = None if timeout_hours is None else dt.timedelta(hours=timeout_hours)
+    rows = rows.sort_values(["ts", "seq"])
+    return _fold(dict(state), zip(*[rows[c] for c in ("event", "ts", "seq", "month", "server")], strict=True), limit, _fmt)
+
+
 def _empty_state() -> dict:
     return {"st": "new", "started": None, "completed": None, "err": "", "first_claim": None,
             "last_reset": None, "last_ts": None, "last_seq": None, "max_seq": None, "month": None, "server": None,
             "created": None, "n_late": 0}
 
 
-def _none(v):
-    return None if v is None or (isinstance(v, float) and pd.isna(v)) or v is pd.NaT else v
+def _text_us(us: int) -> str:
+    return _fmt(dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=us))
+
 
+def _group_fn(timeout_hours: int | None):
+    """Folds a micro-batch's events of one group of tasks; times are
+    microseconds.  Yields the new states of the tasks that had events."""
+    limit = None if timeout_hours is None else timeout_hours * 3_600_000_000
 
-def _task_fn(timeout_hours: int | None):
     def fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        if state.exists:
-            s = {k: _none(v) for k, v in zip(STATE_COLS, state.get)}
-            s["last_ts"] = pd.Timestamp(s["last_ts"]) if s["last_ts"] is not None else None
-            for k in ("started", "completed", "first_claim", "last_reset", "created"):
-                s[k] = pd.Timestamp(s[k]) if s[k] is not None else None
-        else:
-            s = _empty_state()
-        rows = pd.concat(list(pdfs), ignore_index=True)
-        rows["ts"] = pd.to_datetime(rows["ts"])
-        s = fold_events(s, rows, timeout_hours)
-        state.update(tuple(s[k] for k in STATE_COLS))
-        yield pd.DataFrame([{"task_id": int(key[0]), **s}])
+        tasks = {r[0]: r[1:] for r in json.loads(state.get[0])} if state.exists else {}
+        rows = pd.concat(list(pdfs), ignore_index=True).sort_values(["task_id", "ts", "seq"], ignore_index=True)
+        ids = rows["task_id"].tolist()
+        texts = {c: rows[c].astype(object).where(rows[c].notna(), None) for c in ("event", "month", "server")}
+        events = list(zip(texts["event"], rows["ts"].tolist(), rows["seq"].tolist(), texts["month"], texts["server"], strict=True))
+        out, at = [], 0
+        while at < len(ids):
+            task, to = ids[at], at + 1
+            while to < len(ids) and ids[to] == task:
+                to += 1
+            s = dict(zip(STATE_COLS, tasks[task], strict=True)) if task in tasks else _empty_state()
+            s = _fold(s, events[at:to], limit, _text_us)
+            tasks[task] = [s[c] for c in STATE_COLS]
+            out.append([None if task == MISSING else task, *tasks[task]])
+            at = to
+        state.update((json.dumps([[t, *s] for t, s in tasks.items()]),))
+        yield pd.DataFrame(out, columns=["task_id", *STATE_COLS], dtype=object)
     return fn
 
 
@@ -116,9 +149,13 @@ def stream_tasks(spark: SparkSession, source: DataFrame, out_dir: str, checkpoin
     """Run the task replay as a stream over ``source`` (a streaming run log)
     until all available input is processed."""
     _ship_to_workers()
-    ev = source.select("task_id", "month", "server", "event", F.col("ts").cast("timestamp").alias("ts"), "seq")
-    states = ev.groupBy("task_id").applyInPandasWithState(
-        _task_fn(timeout_hours), OUT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
+    known = lambda c: F.coalesce(c, F.lit(MISSING))
+    ev = source.select(F.pmod(F.xxhash64("task_id"), F.lit(GROUPS)).alias("g"), known(F.col("task_id").cast("long")).alias("task_id"),
+                       "month", "server", "event", known(F.unix_micros(F.col("ts").cast("timestamp"))).alias("ts"),
+                       known(F.col("seq")).alias("seq"))
+    folded = ev.groupBy("g").applyInPandasWithState(
+        _group_fn(timeout_hours), FOLDED, "tasks string", "update", GroupStateTimeout.NoTimeout)
+    states = folded.select("task_id", *[F.timestamp_micros(c).alias(c) if c in TIMES else F.col(c) for c in STATE_COLS])
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")

@@ -1,11 +1,14 @@
 import datetime as dt
 import json
 import os
+import random
 import tempfile
 
 import pandas as pd
 
 from lakeledger.operators import finalize as FZ
+from lakeledger.operators.tasks import replay_tasks
+from lakeledger.streaming import tasks_stream as TS
 from lakeledger.streaming.tasks_stream import _empty_state, fold_events
 
 T0 = pd.Timestamp("2024-01-01")
@@ -41,3 +44,34 @@ def test_alert_sink_writes_json(spark):
             for line in open(os.path.join(out, f))]
     assert docs == [{"month": "m1", "title": "t", "message": "msg", "level": "INFO", "source": "src",
                      "tags": ["a", "b"], "channel": "ch"}]
+
+
+class _State:
+    exists, value = False, None
+
+    @property
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.exists, self.value = True, value
+
+
+def test_one_call_folds_the_tasks_of_a_group():
+    """Two micro-batches of one group, its rows in no order, against the fold
+    of each task alone."""
+    rng, us = random.Random(5), lambda h: 1_704_067_200_000_000 + int(h * 3_600_000_000)
+    rows = [(t, "202401", f"srv-{t}", rng.choice(["create", "claim", "claim", "failed", "reset"]), us(3 * k + t), 10 * k + t)
+            for t in range(9) for k in range(20)]
+    state, got = _State(), {}
+    for part in ([r for r in rows if r[5] < 90], [r for r in rows if r[5] >= 90]):
+        frame = pd.DataFrame(rng.sample(part, len(part)), columns=["task_id", "month", "server", "event", "ts", "seq"])
+        for out in TS._group_fn(48)((0,), iter([frame[:7], frame[7:]]), state):
+            got.update({r.task_id: r for r in out.itertuples(index=False)})
+    assert sorted(got) == list(range(9)) and len(json.loads(state.value[0])) == 9
+    for t, r in got.items():
+        own = pd.DataFrame([x for x in rows if x[0] == t], columns=["task_id", "month", "server", "event", "ts", "seq"])
+        own["ts"] = pd.to_datetime(own["ts"], unit="us")
+        want = fold_events(_empty_state(), own, 48)
+        assert (r.st, r.err, r.n_late, r.last_seq) == (want["st"], want["err"], want["n_late"], want["last_seq"])
+        assert want["started"] is None and r.started is None or pd.Timestamp(r.started, unit="us") == want["started"]
