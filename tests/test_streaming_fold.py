@@ -75,3 +75,27 @@ def test_one_call_folds_the_tasks_of_a_group():
         want = fold_events(_empty_state(), own, 48)
         assert (r.st, r.err, r.n_late, r.last_seq) == (want["st"], want["err"], want["n_late"], want["last_seq"])
         assert want["started"] is None and r.started is None or pd.Timestamp(r.started, unit="us") == want["started"]
+
+
+def test_late_and_timeless_events_of_tasks_that_share_a_group(spark, tmp_path, monkeypatch):
+    """Three files in no order, two groups for twelve tasks, against the batch
+    replay; an event without a time is put into place by the replay."""
+    monkeypatch.setattr(TS, "GROUPS", 2)
+    rng = random.Random(8)
+    rows = [(t, "202401", "srv-1", rng.choice(["create", "claim", "failed", "reset"]), 7.0 * k + t, 12 * k + t)
+            for k in range(15) for t in range(12)]
+    rows[40] = (*rows[40][:4], None, rows[40][5])
+    schema = "task_id long, month string, server string, event string, ts timestamp, seq long"
+    part = rng.sample(rows, len(rows))
+    for k in range(3):
+        df = spark.createDataFrame(part[k::3], "task_id long, month string, server string, event string, h double, seq long")
+        (df.selectExpr("task_id", "month", "server", "event", "timestamp_seconds(1704067200 + h * 3600) AS ts", "seq")
+         .coalesce(1).write.mode("append").parquet(f"{tmp_path}/src"))
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/src")
+    TS.stream_tasks(spark, src, f"{tmp_path}/out", f"{tmp_path}/ck")
+    log = spark.read.schema(schema).parquet(f"{tmp_path}/src")
+    cols = ["task_id", "status", "started_at", "completed_at", "error_msg", "last_reset_at"]
+    log = log.withColumn("ts", log.ts.cast("timestamp_ntz"))
+    got = TS.current_tasks(spark, f"{tmp_path}/out", now="2024-01-31 00:00:00", log=log).select(*cols)
+    want = replay_tasks(log, now="2024-01-31 00:00:00").select(*cols)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
