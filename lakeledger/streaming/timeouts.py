@@ -9,8 +9,10 @@
   (ts, seq) order whatever their order of arrival.  A task in progress has a
   timer at its start plus the limit; when it fires the task becomes
   ``timeout`` and one row is emitted.  An event that the fold meets first, later
-  than the limit, does the same.  State holds one row a task and the events
-  within the watermark's delay.
+  than the limit, does the same.  State holds each task and the events within
+  the watermark's delay.  A call for a key costs milliseconds whatever it holds,
+  so tasks share ``GROUPS`` keys by the hash of their id, and a key has one timer
+  at the earliest instant that one of its tasks waits for.
 * :func:`timeout_alerts` - the alert records: those of the stream, and for tasks
   with late events those of a replay of the landed log.
 
@@ -20,10 +22,13 @@ of no task with the time ``instant + delay`` moves the watermark to the instant.
 
 from __future__ import annotations
 
+import json
 import sys
+from collections import defaultdict
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -35,8 +40,13 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ACTING = ["claim", "complete", "failed", "reset"]
 OUT = "task_id long, server string, month string, started_us long"
-TASK = "st string, started_us long, month string, server string, max_seq long"
-EVENT = "us long, seq long, event string, month string, server string"
+#: groups of tasks; a checkpoint keeps the number that it began with
+GROUPS = 1024
+MISSING = -2 ** 63  # a null task: pandas would make floats of the other ids
+#: a group's tasks, each with its state, and its waiting events, as JSON
+TASKS = "tasks string"
+EVENTS = "events string"
+NEW = ("new", None, None, None, None)
 
 
 def fold(state: tuple, events: list[tuple], limit_us: int) -> tuple[tuple, list[tuple]]:
@@ -62,45 +72,62 @@ def fold(state: tuple, events: list[tuple], limit_us: int) -> tuple[tuple, list[
 
 
 class TaskTimers(StatefulProcessor):
-    """Folds events up to the watermark and times tasks out by timers."""
+    """Folds the events of a group's tasks up to the watermark and times tasks
+    out by timers."""
 
     def __init__(self, limit_hours: int):
         self.limit_us = limit_hours * 3_600_000_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.task = handle.getValueState("task", TASK)
-        self.waiting = handle.getListState("waiting", EVENT)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        events = [(r.us, r.seq, r.event, r.month, r.server) for r in rows if r.event in ACTING]
-        if events:
-            self.waiting.appendList(events)
-            self.handle.registerTimer(min(e[0] for e in events) // 1000)
+        self.tasks = handle.getValueState("tasks", TASKS)
+        self.waiting = handle.getListState("waiting", EVENTS)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        first = None
+        for b in rows:
+            b = b[b["event"].isin(ACTING)]
+            texts = [b[c].astype(object).where(b[c].notna(), None) for c in ("event", "month", "server")]
+            events = list(zip(*[b[c].tolist() for c in ("task_id", "us", "seq")], *texts, strict=True))
+            if events:
+                self.waiting.appendValue((json.dumps(events),))
+                first = min([e[1] for e in events] + ([] if first is None else [first]))
+        if first is not None:
+            self.handle.registerTimer(first // 1000)
         return iter(())
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         mark = timerValues.getCurrentWatermarkInMs() * 1000
-        waiting = list(self.waiting.get()) if self.waiting.exists() else []
-        ready = sorted(tuple(e) for e in waiting if e[0] <= mark)
-        state = tuple(self.task.get()) if self.task.exists() else ("new", None, None, None, None)
-        state, out = fold(state, ready, self.limit_us)
-        st, started, month, server, max_seq = state
-        if st == "progress" and started + self.limit_us < mark:
-            out.append((started, month, server))
-            state = ("timeout", started, month, server, max_seq)
-        elif st == "progress":
-            # at its millisecond the timer may be just before the limit
-            self.handle.registerTimer(max((started + self.limit_us) // 1000, mark // 1000 + 1))
-        self.task.update(state)
-        later = [tuple(e) for e in waiting if e[0] > mark]
+        tasks = {t: tuple(s) for t, *s in json.loads(self.tasks.get()[0])} if self.tasks.exists() else {}
+        chunks = list(self.waiting.get()) if self.waiting.exists() else []
+        ready, later, found, due = defaultdict(list), [], [], []
+        for chunk in chunks:
+            for e in json.loads(chunk[0]):
+                if e[1] <= mark:
+                    ready[e[0]].append(tuple(e[1:]))
+                else:
+                    later.append(e)
+        for t, events in ready.items():
+            tasks[t], out = fold(tasks.get(t, NEW), sorted(events), self.limit_us)
+            found += [(t, server, month, started) for started, month, server in out]
+        for t, (st, started, month, server, max_seq) in tasks.items():
+            if st == "progress" and started + self.limit_us < mark:
+                found.append((t, server, month, started))
+                tasks[t] = ("timeout", started, month, server, max_seq)
+            elif st == "progress":
+                due.append(started + self.limit_us)
+        self.tasks.update((json.dumps([[t, *s] for t, s in tasks.items()]),))
         if later:
-            self.waiting.put(later)
-            self.handle.registerTimer(max(min(e[0] for e in later) // 1000, mark // 1000 + 1))
-        elif waiting:
+            self.waiting.put([(json.dumps(later),)])
+            due.append(min(e[1] for e in later))
+        elif chunks:
             self.waiting.clear()
-        for started, month, server in out:
-            yield Row(task_id=key[0], server=server, month=month, started_us=started)
+        if due:
+            # at its millisecond the timer may be just before the limit
+            self.handle.registerTimer(max(min(due) // 1000, mark // 1000 + 1))
+        if found:
+            found = [(None if t == MISSING else t, *rest) for t, *rest in found]
+            yield pd.DataFrame(found, columns=["task_id", "server", "month", "started_us"], dtype=object)
 
     def close(self) -> None:
         pass
@@ -112,14 +139,14 @@ def route_late(source: DataFrame, out_dir: str, checkpoint_dir: str, delay_hours
     under ``on_time``, the others under ``late``.  So the next stream may split
     and join the landed batches and finds none of their rows late.  Each
     micro-batch has a folder of its own, which a repeated batch overwrites, and
-    a row in ``clock``.  A row without a time is late."""
+    a row in ``clock``.  A row without a time or a seq is late."""
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark, clock = batch.sparkSession, f"{out_dir}/clock"
         batch.agg(F.max("ts").alias("top")).write.mode("overwrite").parquet(f"{clock}/batch_id={batch_id}")
         # one row a batch
         mark = (spark.read.schema("top timestamp, batch_id long").parquet(clock).where(F.col("batch_id") <= batch_id)
                 .agg(F.unix_micros(F.max("top")) - F.lit(delay_hours * 3_600_000_000)).first()[0])
-        ahead = F.lit(False) if mark is None else F.coalesce(F.unix_micros("ts") > F.lit(mark), F.lit(False))
+        ahead = F.lit(False) if mark is None else F.coalesce((F.unix_micros("ts") > F.lit(mark)) & F.col("seq").isNotNull(), F.lit(False))
         batch.where(ahead).write.mode("overwrite").parquet(f"{out_dir}/on_time/batch_id={batch_id}")
         batch.where(~ahead).write.mode("overwrite").parquet(f"{out_dir}/late/batch_id={batch_id}")
 
@@ -146,8 +173,10 @@ def stream_timeouts(spark: SparkSession, landed_dir: str, out_dir: str, checkpoi
     own.conf.set("spark.sql.streaming.minBatchesToRetain", "4")
     own.conf.set("spark.sql.session.timeZone", "UTC")
     rows = own.readStream.schema(LOG).option("maxFilesPerTrigger", files_per_batch).parquet(f"{landed_dir}/on_time/*")
-    rows = rows.withWatermark("ts", f"{int(delay_hours)} hours").withColumn("us", F.unix_micros("ts"))
-    found = rows.groupBy("task_id").transformWithState(TaskTimers(timeout_hours), OUT, "Update", "EventTime")
+    rows = (rows.withWatermark("ts", f"{int(delay_hours)} hours").withColumn("us", F.unix_micros("ts"))
+            .withColumn("g", F.pmod(F.xxhash64("task_id"), F.lit(GROUPS)))
+            .withColumn("task_id", F.coalesce("task_id", F.lit(MISSING))))
+    found = rows.groupBy("g").transformWithStateInPandas(TaskTimers(timeout_hours), OUT, "Update", "EventTime")
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
