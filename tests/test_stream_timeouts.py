@@ -111,3 +111,22 @@ def test_empty_log(spark, tmp_path):
     land(spark, f"{base}/src", tick(0))
     run(spark, base)
     assert emitted(spark, base) == []
+
+
+def test_tasks_that_share_a_group(spark, tmp_path, monkeypatch):
+    """All tasks in one group, which has one timer: each task times out at its
+    own instant; a task without an id and events without a seq take part."""
+    monkeypatch.setattr(TO, "GROUPS", 1)
+    base = str(tmp_path)
+    land(spark, f"{base}/src", rows_of([(t, 2.0 * t, "claim") for t in range(1, 6)] + [(None, 1.0, "claim")]))
+    land(spark, f"{base}/src", [(2, "202401", "srv-2", "complete", 30.0, None)])
+    land(spark, f"{base}/src", tick(53))
+    run(spark, base)
+    got = spark.read.schema(TO.OUT).parquet(f"{base}/out").collect()
+    assert sorted(str(r.task_id) for r in got) == ["1", "2", "None"]
+    late = spark.read.schema(SCHEMA).parquet(f"{base}/landed/late").collect()
+    assert [r.task_id for r in late] == [2]  # its events are replayed from the log
+    land(spark, f"{base}/src", tick(150))
+    run(spark, base)
+    got = spark.read.schema(TO.OUT).parquet(f"{base}/out").collect()
+    assert sorted(str(r.task_id) for r in got) == ["1", "2", "3", "4", "5", "None"]
