@@ -43,6 +43,18 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: Column, train: Co
     return [tuple(r)[1:] for r in rows]
 
 
+def labelled_rows(docs: DataFrame, labels: DataFrame, label: Column, train: Column, classes: list, extra: list[str]) -> DataFrame:
+    """(doc_id, text, label, *extra) of all labelled ids for which ``train``
+    holds, by the rules of :func:`labelled_sample` but without its bounds."""
+    lab = labels.select(F.col("doc_id").cast("long").alias("doc_id"), label.alias("label"), train.alias("ok"))
+    lab = lab.where("ok and doc_id is not null").where(F.col("label").isin(classes)).select("doc_id", "label").distinct()
+    found = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"),
+                         F.struct(F.lit(1), *[F.col(c) for c in extra]).alias("extra"))
+             .join(lab, "doc_id").groupBy("doc_id", "label")
+             .agg(F.min(F.struct(F.xxhash64("text"), "text", "extra")).alias("m")))
+    return found.select("doc_id", "m.text", "label", *[F.col(f"m.extra.{c}").alias(c) for c in extra])
+
+
 def row_sums(x: np.ndarray) -> np.ndarray:
     """The sum of each row, column after column, so that it depends on no
     other row."""

@@ -233,3 +233,26 @@ def test_a_labelled_id_on_many_rows_is_one_training_text(spark):
     labels = spark.createDataFrame([(7, 1), (7, 1)], "doc_id long, toxic int")
     rows = training.labelled_sample(docs, labels, F.col("toxic"), F.lit(True), [0, 1], extra=["lang", "m"])
     assert len(rows) == 1 and rows[0][1:] == (1, "en", "y")
+
+
+def test_toxicity_learns_from_all_rows(spark, monkeypatch):
+    """Texts of over 32 KB, classes over several shards: all are learnt from,
+    and the result does not depend on how the rows lie."""
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 64)
+    rng = np.random.default_rng(4)
+    words = [f"word{k}" for k in range(300)]
+    rows = []
+    for i in range(240):
+        text = rng.choice(words, 5000 if i % 4 == 0 else 60).tolist()
+        if i % 4 == 0:
+            text[int(rng.integers(len(text)))] = "vile"
+        rows.append((i, " ".join(text), "en" if i % 3 else "de"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i, *_ in rows], "doc_id long, toxic int")
+    assert min(len(t.encode()) for i, t, _ in rows if i % 4 == 0) > 32 << 10
+    models = [toxicity.toxicity_model(docs.repartition(n), labels.repartition(n), F.lit(True)) for n in (2, 7)]
+    assert np.array_equal(models[0].weights(), models[1].weights()) and models[0].scale == models[1].scale
+    assert models[0].rows == 240 and models[0].thresholds == models[1].thresholds and set(models[0].thresholds) == {"de", "en"}
+    new = spark.createDataFrame([(1, "word1 word2 vile word3", "en"), (2, "word1 word2 word3 word4", "en")], docs.schema)
+    score = {r.doc_id: r.score for r in toxicity.toxicity(new, models[0]).collect()}
+    assert score[1] > 0.5 > score[2]
