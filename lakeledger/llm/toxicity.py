@@ -291,13 +291,14 @@ def _each_text(rows: DataFrame, one, columns: list[str], schema: str) -> DataFra
 
 
 def _without_copies(rows: DataFrame) -> DataFrame:
-    """As :func:`without_copies`, the rows in order of their ids."""
+    """As :func:`without_copies`, the rows in order of their ids.  Hashes and
+    ids are stored, not the texts once more."""
     low = _each_text(rows, lambda texts, c: [*c, [low_hashes(t).view(np.int64).tolist() for t in texts]],
                      ["doc_id", "label"], "doc_id long, label int, low array<long>")
-    low = low.select("doc_id", "label", F.explode("low").alias("h"))
+    low = stored(low.select("doc_id", "label", F.explode("low").alias("h")), "toxicity-low")
     me = F.struct("doc_id", "label")
     first = low.groupBy("h").agg(F.min(me).alias("first"))
-    copies = low.join(first, "h").where(me != F.col("first")).select("doc_id", "label").distinct()
+    copies = stored(low.join(first, "h").where(me != F.col("first")).select("doc_id", "label").distinct(), "toxicity-copies")
     return rows.join(copies, ["doc_id", "label"], "left_anti")
 
 
@@ -397,8 +398,7 @@ def toxicity_model(docs: DataFrame, labels: DataFrame, train: Column) -> Model:
     shards = int(max(-(-n // SHARD_ROWS), -(-size // SHARD_BYTES)))
     dealt = [F.pmod(F.xxhash64("doc_id", F.lit("shard")), F.lit(shards)).alias("shard"),
              (F.pmod(F.xxhash64("doc_id", F.lit("cal")), F.lit(5)) == 4).alias("cal")]
-    uncopied = stored(kept.select("*", *dealt), "toxicity-kept")
-    rows = uncopied if _class_rows(uncopied).all() else rows.select("*", *dealt)
+    rows = (kept if _class_rows(kept).all() else rows).select("*", *dealt)
     if not _class_rows(rows.where("cal")).all() or not _class_rows(rows.where("not cal")).all():
         learn, rows = rows, rows.withColumn("cal", F.lit(True))
     else:

@@ -48,11 +48,16 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, label: Column, train: Colu
     holds, by the rules of :func:`labelled_sample` but without its bounds."""
     lab = labels.select(F.col("doc_id").cast("long").alias("doc_id"), label.alias("label"), train.alias("ok"))
     lab = lab.where("ok and doc_id is not null").where(F.col("label").isin(classes)).select("doc_id", "label").distinct()
-    found = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"),
-                         F.struct(F.lit(1), *[F.col(c) for c in extra]).alias("extra"))
-             .join(lab, "doc_id").groupBy("doc_id", "label")
-             .agg(F.min(F.struct(F.xxhash64("text"), "text", "extra")).alias("m")))
-    return found.select("doc_id", "m.text", "label", *[F.col(f"m.extra.{c}").alias(c) for c in extra])
+    full = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"),
+                       F.struct(F.lit(1), *[F.col(c) for c in extra]).alias("extra"))
+    full = full.withColumn("h", F.xxhash64("text"))
+    # texts move only where rows share an id and a text
+    best = (full.select("doc_id", "h").join(lab, "doc_id").groupBy("doc_id", "label", "h").agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("doc_id", "label").agg(F.min(F.struct("h", "n")).alias("b")).select("doc_id", "label", "b.h", "b.n"))
+    found = full.join(best, ["doc_id", "h"])
+    again = found.where("n > 1").groupBy("doc_id", "label").agg(F.min(F.struct("text", "extra")).alias("m"))
+    rows = found.where("n = 1").select("doc_id", "label", F.struct("text", "extra").alias("m")).unionByName(again)
+    return rows.select("doc_id", "m.text", "label", *[F.col(f"m.extra.{c}").alias(c) for c in extra])
 
 
 def row_sums(x: np.ndarray) -> np.ndarray:
