@@ -6,9 +6,13 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeledger.llm.common import stored
+
 #: bounds of a training sample
 ROWS_PER_CLASS = 4000
 MAX_BYTES = 32 << 10
+#: ids that are sent to every task; more meet the documents in a shuffle
+SENT_IDS = 1_000_000
 
 
 def remainder(doc_id: Column, mod: int) -> Column:
@@ -54,9 +58,15 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, label: Column, train: Colu
     # texts move only where rows share an id and a text
     best = (full.select("doc_id", "h").join(lab, "doc_id").groupBy("doc_id", "label", "h").agg(F.count(F.lit(1)).alias("n"))
             .groupBy("doc_id", "label").agg(F.min(F.struct("h", "n")).alias("b")).select("doc_id", "label", "b.h", "b.n"))
-    found = full.join(best, ["doc_id", "h"])
-    again = found.where("n > 1").groupBy("doc_id", "label").agg(F.min(F.struct("text", "extra")).alias("m"))
-    rows = found.where("n = 1").select("doc_id", "label", F.struct("text", "extra").alias("m")).unionByName(again)
+    # stored, so that the texts need not move where the ids are few
+    best = stored(best, "labelled-ids")
+    n, again = best.agg(F.count(F.lit(1)), F.coalesce(F.max("n"), F.lit(0))).first()
+    found = full.join(F.broadcast(best) if n <= SENT_IDS else best, ["doc_id", "h"])
+    if again > 1:
+        found = stored(found, "labelled-texts")
+    rows = found.where("n = 1").select("doc_id", "label", F.struct("text", "extra").alias("m"))
+    if again > 1:
+        rows = rows.unionByName(found.where("n > 1").groupBy("doc_id", "label").agg(F.min(F.struct("text", "extra")).alias("m")))
     return rows.select("doc_id", "m.text", "label", *[F.col(f"m.extra.{c}").alias(c) for c in extra])
 
 
