@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeledger.session import new_run_dir
+from lakeledger.session import conf_scope, new_run_dir
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,12 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession):
+    """Inside this block 1,000 rows go to a Python worker at once: at the
+    default of 10,000 whole documents a batch takes some 35 MB on either side."""
+    return conf_scope(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"})
+
+
 def documents(df: DataFrame) -> DataFrame:
     """(doc_id, text) of a documents table, null text as the empty text.
     Other columns are dropped here, so their names cannot clash."""

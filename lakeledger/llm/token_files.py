@@ -25,13 +25,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakeledger.llm.common import documents, slices
+from lakeledger.llm.common import documents, slices, small_batches
 from lakeledger.llm.tokens import encoder
 
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 64 << 10
-BATCH = 512
-MEMO = 380_000  # pieces of a generation: the file writers need the memory, too
+BATCH = 256
+MEMO = 420_000  # pieces of a generation: the file writers need the memory, too
 
 OPTIONS = {
     "parquet.writer.version": "v2",
@@ -70,8 +70,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, kind: str, end_id:
 
     rows = documents(docs).withColumn("tie", F.xxhash64("text"))
     rows = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").drop("tie")
-    (rows.mapInArrow(each, "doc_id long, shard int, local_start long, n_tokens long, ids array<int>")
-     .write.options(**OPTIONS).parquet(path))
+    with small_batches(docs.sparkSession):
+        (rows.mapInArrow(each, "doc_id long, shard int, local_start long, n_tokens long, ids array<int>")
+         .write.options(**OPTIONS).parquet(path))
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:

@@ -26,6 +26,8 @@ Strings of special tokens in a text are ordinary text.
 from __future__ import annotations
 
 import re
+from array import array
+from itertools import chain
 
 import numpy as np
 
@@ -55,7 +57,7 @@ class _Numbers(dict):
     def __missing__(self, piece: str) -> int:
         n = self.old.get(piece)
         if n is None:
-            if len(piece) > MAX_CHARS or self.strict and (not piece or piece[0].isspace() or piece[-1].isspace()):
+            if len(piece) > MAX_CHARS or self.strict and (not piece or piece != piece.strip()):
                 raise _Odd
             n = self.memo.add(self, piece)
         self[piece] = n
@@ -90,7 +92,7 @@ class _Memo:
         #: new parts and their numbers: words as the model takes them, with and
         #: without a space before them, and others
         self.spaced, self.bare, self.other = ([], []), ([], []), ([], [])
-        self.parts: list[tuple[int, int, int]] = []  # a piece, its word and its marks
+        self.parts = array("q")  # by three: a piece, its word and its marks
 
     def clear(self) -> None:
         self.count = 0
@@ -100,11 +102,17 @@ class _Memo:
         self._start()
 
     def add(self, numbers: _Numbers, piece: str) -> int:
+        if self.normal is None and piece.isascii() and piece.isalpha():
+            kind = self.spaced if self.apart and numbers.lead else self.bare
+            kind[0].append(self.space + piece if numbers.lead else piece)
+            kind[1].append(self.count)
+            self.count += 1
+            return self.count - 1
         word = piece.rstrip(_MARKS)
         if word and len(word) < len(piece) and word[-1] < _LATIN_END and word[-1].isalnum():
             n = self.count
             self.count += 1
-            self.parts.append((n, numbers[word], self.marks[piece[len(word):]]))
+            self.parts.extend((n, numbers[word], self.marks[piece[len(word):]]))
             return n
         whole = numbers.lead + piece
         if self.normal is not None:
@@ -159,7 +167,7 @@ class _Memo:
                 put(np.array(at), *encode(strings))
         self.flat = np.concatenate(flats)
         if self.parts:
-            n, word, marks = np.array(self.parts, np.int64).T
+            n, word, marks = np.array(self.parts).reshape(-1, 3).T
             flats, total = [self.flat], len(self.flat)
             put(n, self.look_up(np.c_[word, marks].ravel()), self.size[word] + self.size[marks])
             self.flat = np.concatenate(flats)
@@ -174,12 +182,17 @@ class _Memo:
     def keep(self, maps: list[_Numbers]) -> None:
         """Start a generation: what the last one used is kept as the old one."""
         used = [np.fromiter(m.values(), np.int64, len(m)) for m in maps]
-        numbers = np.unique(np.concatenate(used))
+        there = np.zeros(self.count, bool)
+        for u in used:
+            there[u] = True
+        numbers, place = np.flatnonzero(there), np.cumsum(there) - 1
         self.flat, self.size = self.look_up(numbers), self.size[numbers]
         self.first = np.cumsum(self.size) - self.size
         self.count = len(numbers)
+        for m in maps:
+            m.old = {}  # not beside the new ones
         for m, u in zip(maps, used, strict=True):
-            m.old = dict(zip(m, np.searchsorted(numbers, u).tolist(), strict=True))
+            m.old = dict(zip(m, place[u].tolist(), strict=True))
             m.clear()
 
 
@@ -260,16 +273,23 @@ class Encoder:
             except _Odd:
                 rows.append(self._odd(text))
         self.memo.learn()
-        last = [] if end is None else [np.array([end], np.int32)]
-        out, sizes = [], []
-        for row in rows:
-            ids = row if isinstance(row, np.ndarray) else self.memo.look_up(np.array(row, np.int64))
-            out += [ids, *last]
-            sizes.append(len(ids) + len(last))
+        known = [row for row in rows if isinstance(row, list)]
+        numbers = np.fromiter(chain.from_iterable(known), np.int64, sum(map(len, known)))
+        upto = np.r_[0, np.cumsum(self.memo.size[numbers])]
+        sizes = np.fromiter(map(len, rows), np.int64, len(rows))
+        listed = np.fromiter((isinstance(row, list) for row in rows), bool, len(rows))
+        ends = np.cumsum(sizes[listed])
+        sizes[listed] = upto[ends] - upto[ends - sizes[listed]]
+        off = np.r_[0, np.cumsum(sizes + (end is not None))]
+        flat, here = np.empty(off[-1], np.int32), np.ones(off[-1], bool)
+        if end is not None:
+            flat[off[1:] - 1], here[off[1:] - 1] = end, False
+        for i in np.flatnonzero(~listed).tolist():
+            flat[off[i]:off[i] + sizes[i]], here[off[i]:off[i] + sizes[i]] = rows[i], False
+        flat[here] = self.memo.look_up(numbers)
         if len(self.bare) + len(self.spaced) + len(self.whole) > (self.generation or GENERATION):
             self.memo.keep([self.bare, self.spaced, self.whole, self.memo.marks])
-        flat = np.concatenate(out) if out else np.zeros(0, np.int32)
-        return flat, np.r_[0, np.cumsum(np.array(sizes, np.int64))].astype(np.int64)
+        return flat, off
 
 
 def encoder(path: str, kind: str, generation: int | None = None) -> Encoder:

@@ -39,6 +39,20 @@ def test_encoder_equals_the_library(path, kind, generation, monkeypatch):
             assert flat[off[k]:off[k + 1]].tolist() == [*lib.encode(t, add_special_tokens=False).ids, 7], t
 
 
+def test_a_batch_is_looked_up_at_once(monkeypatch):
+    enc, calls = tokens.Encoder(public_tokenizers.path("byte_bpe_50k.json"), "byte"), []
+    look_up = tokens._Memo.look_up
+    texts = ["", "a b", "so it\u2003goes " + "x" * 200, "", "one, two\n three", "\x1c odd", "b a", ""]
+    enc.encode(texts)
+    monkeypatch.setattr(tokens._Memo, "look_up", lambda memo, numbers: calls.append(1) or look_up(memo, numbers))
+    flat, off = enc.encode(texts, 2)
+    assert len(calls) == 1
+    want = [enc.tokenizer.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+    assert [flat[s:e].tolist() for s, e in zip(off[:-1], off[1:], strict=True)] == want
+    flat, off = enc.encode([], 2)
+    assert flat.tolist() == [] and off.tolist() == [0]
+
+
 def test_token_files_round_trip(spark):
     rows = awkward_texts()
     path = new_run_dir(spark, "tokens") + "/files"
