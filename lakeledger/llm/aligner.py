@@ -15,13 +15,14 @@ encoded whole.
 from __future__ import annotations
 
 import hashlib
+from array import array
 
 import numpy as np
 
 from lakeledger.llm import tokens
 from lakeledger.llm.common import process_cache
 
-GENERATION = 300_000  # words in the memo; it starts anew beyond that
+GENERATION = 150_000  # words in the memo; it starts anew beyond that
 LONGEST = 64          # characters of a word that the memo keeps
 _SPACE = "▁"
 _MARKS = ".,;:!?#$%&*"
@@ -114,8 +115,8 @@ class Aligner:
         self.new: list[str] = []              # units, the last ones not yet encoded
         self.number: dict[str, int] = {}
         self.units = Units()
-        self.head: list[int] = []             # of each piece its first unit,
-        self.tail: list[int] = []             # and its second or -1
+        self.head = array("q")                # of each piece its first unit,
+        self.tail = array("q")                # and its second or -1
         self.spaced, self.lined = _Numbers(self, " "), _Numbers(self, "\n")
 
     def unit(self, string: str) -> int:
@@ -231,7 +232,7 @@ class Aligner:
         if len(self.new) > known:
             self.units.add(*self.align(self.new[known:]))
         u = self.units
-        head, tail = np.array(self.head, np.int64), np.array(self.tail, np.int64)
+        head, tail = np.array(self.head), np.array(self.tail)
         if whole:
             counts, good, pairs, form = self.align([" " + texts[i] for i in whole])
             odd = Units()

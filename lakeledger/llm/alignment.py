@@ -29,11 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeledger.llm.aligner import aligner
-from lakeledger.llm.common import documents, size_slices, slices, stored, text_bytes, wide
+from lakeledger.llm.common import documents, size_slices, small_batches, stored, text_bytes, wide
 from lakeledger.session import new_run_dir
 
 BLOCK_BITS = 16
 PART_BYTES = 4 << 20         # of text whose bitmaps are made at once
+NUMBERS = 1 << 20            # of bitmaps that are unpacked at once; one row may have more
 BROADCAST_PAIRS = 1_000_000  # counted pairs (of 17 bytes) up to which they are broadcast
 
 
@@ -84,6 +85,35 @@ def from_bitmaps(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(row), np.concatenate(pos)
 
 
+def most_numbers(column: pa.Array) -> np.ndarray:
+    """The numbers that bitmaps can hold at most."""
+    raw, off = text_bytes(column)
+    width = np.diff(off)
+    return np.where(raw[off[:-1]] == 1, 8 * (width - 3), (width - 1) // 2) if len(column) else width
+
+
+def _bounded(b: pa.RecordBatch, numbers: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in slices whose ``numbers`` sum to at most NUMBERS."""
+    ends = np.cumsum(numbers)
+    at = 0
+    while at < b.num_rows:
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + NUMBERS, "right")))
+        yield b.slice(at, to - at)
+        at = to
+
+
+def _lists(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """The n + 1 offsets of lists into their values, and these."""
+    off = column.offsets.to_numpy().astype(np.int64)
+    return off - off[0], column.values.slice(off[0], off[-1] - off[0])
+
+
+def part_numbers(column: pa.Array) -> np.ndarray:
+    """The same of lists of bitmaps."""
+    off, parts = _lists(column)
+    return np.diff(np.r_[0, np.cumsum(most_numbers(parts))][off])
+
+
 _PART = pa.schema([("kind", pa.int32()), ("block", pa.int64()), ("pos", pa.int32()), ("doc_id", pa.int64()),
                    ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()), ("n_links", pa.int64()),
                    ("groups_sha256", pa.string()), ("pair", pa.int64()), ("plane", pa.int32()), ("bits", pa.binary())])
@@ -154,11 +184,10 @@ def align(docs: DataFrame, a_path: str, b_path: str) -> Alignment:
                 yield from _postings(block, place[doc], pair)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, 512):
-            parts = b.column(3)
-            off = parts.offsets.to_numpy().astype(np.int64)
-            part, pos = from_bitmaps(parts.values.slice(off[0], off[-1] - off[0]))
-            row = np.searchsorted(off - off[0], part, "right") - 1
+        for b in (x for big in batches for x in _bounded(big, part_numbers(big.column(3)))):
+            off, parts = _lists(b.column(3))
+            part, pos = from_bitmaps(parts)
+            row = np.searchsorted(off, part, "right") - 1
             entry = np.unique(row << BLOCK_BITS | pos)
             size = np.bincount(entry >> BLOCK_BITS, minlength=b.num_rows)
             yield pa.RecordBatch.from_arrays(
@@ -166,7 +195,8 @@ def align(docs: DataFrame, a_path: str, b_path: str) -> Alignment:
                 ["pair", "block", "plane", "n", "bits"])
 
     path = new_run_dir(docs.sparkSession, "alignment") + "/parts"
-    wide(documents(docs)).mapInArrow(scan, _DDL).write.partitionBy("kind").parquet(path)
+    with small_batches(docs.sparkSession):
+        wide(documents(docs)).mapInArrow(scan, _DDL).write.partitionBy("kind").parquet(path)
     parts = docs.sparkSession.read.schema(_DDL).parquet(path)
     rows = parts.where("kind = 0").select(*[c for c in _PART.names if c not in ("kind", "pair", "plane", "bits")])
     # a (pair, block, plane) has as many parts as its block, whatever the corpus
@@ -194,7 +224,7 @@ def score(found: Alignment) -> DataFrame:
                                                   pa.array(best[at]), pa.array(total[at])],
                                                  ["block", "pos", "n_best", "count_sum"])
 
-        for b in size_slices(batches, 2, 1 << 22):
+        for b in (x for big in batches for x in _bounded(big, most_numbers(big.column(2)))):
             block = b.column(0).to_numpy()
             times = np.int64(1) << np.maximum(b.column(1).to_numpy().astype(np.int64) - 1, 0)
             weight = times * b.column(3).to_numpy()

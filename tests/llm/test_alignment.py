@@ -3,6 +3,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -107,5 +108,23 @@ def test_bitmaps_round_trip(sets):
     assert sorted(zip(row.tolist(), back.tolist())) == [(i, x) for i, s in enumerate(sets) for x in sorted(s)]
 
 
+def test_slices_hold_a_bounded_number_of_numbers(monkeypatch):
+    # bitmaps of frequent pairs hold up to 8 numbers a byte: bytes or rows do not bound what they unpack to
+    monkeypatch.setattr(alignment, "NUMBERS", 5000)
+    sizes = np.array([4000, 1, 3, 9000, 10, 4000, 4000, 2])
+    bits = alignment.to_bitmaps(sizes, np.concatenate([np.arange(n) * (1 if n > 100 else 500) for n in sizes]))
+    most = alignment.most_numbers(bits)
+    assert (most >= sizes).all() and (most < sizes + 16).all()
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(len(sizes))), bits], ["i", "bits"])
+    parts = list(alignment._bounded(batch, most))
+    assert [i for b in parts for i in b.column(0).to_pylist()] == list(range(len(sizes)))
+    assert all(b.num_rows == 1 or len(alignment.from_bitmaps(b.column(1))[0]) <= 5000 for b in parts)
+    assert len(parts) == 4
+    lists = pa.ListArray.from_arrays(pa.array([0, 2, 2, 5, 8], pa.int32()), bits)
+    assert alignment.part_numbers(lists).tolist() == [most[:2].sum(), 0, most[2:5].sum(), most[5:].sum()]
+    assert alignment.part_numbers(lists.slice(2)).tolist() == [most[2:5].sum(), most[5:].sum()]
+    assert alignment.most_numbers(bits[:0]).tolist() == [] and not list(alignment._bounded(batch[:0], most[:0]))
+
+
 def test_empty_table(spark):
     assert alignment.score(alignment.align(empty_docs(spark), *PATHS)).collect() == []
