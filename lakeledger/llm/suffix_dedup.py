@@ -41,7 +41,7 @@ from lakeledger.llm.wordhash import mix, running, span_hash
 LENGTH = 200
 SEED = 64
 HOT = 4096
-SORT_BYTES = 2 << 20   # region bytes sorted at a time
+SORT_BYTES = 1 << 20   # region bytes sorted at a time; each takes some 150 bytes of memory
 SLICE = 1 << 19        # windows looked at in one step
 PLACE_BITS = 20
 
