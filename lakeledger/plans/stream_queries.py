@@ -16,17 +16,29 @@ from lakeledger.streaming import tasks_stream as TS
 from lakeledger.streaming import timeouts as TO
 from lakeledger.streaming import units_stream as US
 
-SLICES = 8  # files of the stream's input, one a micro-batch
+SLICES = 8  # slices of the stream's input, one a micro-batch
+#: rows of a file, about; a file is read by one task
+ROWS_A_FILE = 200_000
+
+
+def _files_a_slice(rows):
+    return max(1, -(-rows // (SLICES * ROWS_A_FILE)))
+
+
+def _stream(spark, path, schema, per):
+    """The files as a stream, ``per`` of them a micro-batch."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", per).parquet(path)
 
 
 def _event_files(spark, sf_dir):
     """The events table as files by time, the input a stream sees, in one
-    write; returns (dir, schema).  The files' order of arrival is whatever
-    their writers make it."""
+    write; returns (dir, schema, files a slice).  The files' order of arrival is
+    whatever their writers make it."""
     ev = S.read_source(spark, sf_dir, "events")
+    per = _files_a_slice(ev.count())
     path = new_run_dir(spark, "stream-src") + "/events"
-    ev.repartitionByRange(SLICES, "ts").write.parquet(path)
-    return path, ev.schema
+    ev.repartitionByRange(SLICES * per, "ts").write.parquet(path)
+    return path, ev.schema, per
 
 
 def _late_files(spark, sf_dir):
@@ -34,9 +46,10 @@ def _late_files(spark, sf_dir):
     seventh delivered a second time an hour later."""
     ev = S.read_source(spark, sf_dir, "events")
     again = ev.where("event_id % 7 = 0").withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 HOUR"))
+    per = _files_a_slice(ev.count())
     path = new_run_dir(spark, "stream-late") + "/events"
-    ev.unionByName(again).repartition(SLICES, F.xxhash64("event_id", "ts")).write.parquet(path)
-    return path, ev.schema
+    ev.unionByName(again).repartition(SLICES * per, F.xxhash64("event_id", "ts")).write.parquet(path)
+    return path, ev.schema, per
 
 
 def _task_columns(t):
@@ -45,8 +58,8 @@ def _task_columns(t):
                     RQ._txt("last_reset_at").alias("last_reset_at"))
 
 
-def _run_tasks(spark, src, schema):
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+def _run_tasks(spark, src, schema, per):
+    stream = _stream(spark, src, schema, per)
     out = new_run_dir(spark, "stream-out") + "/tasks"
     TS.stream_tasks(spark, RL.from_events(stream), out, new_run_dir(spark, "stream-ckpt"))
     log = RL.from_events(spark.read.schema(schema).parquet(src))
@@ -56,7 +69,7 @@ def _run_tasks(spark, src, schema):
 @register("stream_tasks")
 def stream_tasks(spark, sf_dir):
     """Task replay as a Structured Streaming job over time-ordered files,
-    one file per micro-batch; state per task in the state store."""
+    one slice per micro-batch; state per task in the state store."""
     return _run_tasks(spark, *_event_files(spark, sf_dir))
 
 
@@ -77,8 +90,8 @@ ORACLES["stream_tasks_late"] = ORACLES["replay_tasks"]
 def stream_liveness(spark, sf_dir):
     """Latest heartbeat per member as a streaming aggregate, online at
     LIVENESS_NOW."""
-    src, schema = _event_files(spark, sf_dir)
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    src, schema, per = _event_files(spark, sf_dir)
+    stream = _stream(spark, src, schema, per)
     out = new_run_dir(spark, "stream-live") + "/members"
     TS.stream_liveness(spark, RL.heartbeats_from_events(stream), out, new_run_dir(spark, "stream-ckpt"))
     live = TS.current_liveness(spark, out)
@@ -143,19 +156,19 @@ def _with_tick(spark, path, schema):
 
 def _in_turn(spark, sf_dir):
     """The events as files that arrive one after the other in order of time."""
-    src, schema = _event_files(spark, sf_dir)
+    src, schema, _ = _event_files(spark, sf_dir)
     path = new_run_dir(spark, "stream-turn") + "/events"
     # the files' numbers follow the ranges of time
     files = spark.read.schema(schema).parquet(src).inputFiles()
     for one in sorted(files, key=lambda f: f.rsplit("/", 1)[-1]):
         spark.read.schema(schema).parquet(one).where("ts is not null").coalesce(1).write.mode("append").parquet(path)
-    return path, schema
+    return path, schema, 1
 
 
-def _timeout_alerts(spark, path, schema):
+def _timeout_alerts(spark, path, schema, per):
     _with_tick(spark, path, schema)
     run = new_run_dir(spark, "stream-timeouts")
-    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    source = _stream(spark, path, schema, per)
     log = RL.from_events(source).select("task_id", "month", "server", "event", F.col("ts").cast("timestamp").alias("ts"), "seq")
     TO.route_late(log, f"{run}/landed", f"{run}/ckpt-route", DELAY_HOURS)
     TO.stream_timeouts(spark, f"{run}/landed", f"{run}/found", f"{run}/ckpt", delay_hours=DELAY_HOURS)
@@ -186,17 +199,18 @@ def _again_files(spark, sf_dir):
     second time as it was in another file."""
     ev = S.read_source(spark, sf_dir, "events").withColumn("_copy", F.lit(0))
     again = ev.where("event_id % 5 = 0").withColumn("_copy", F.lit(1))
+    per = _files_a_slice(ev.count())
     path = new_run_dir(spark, "stream-again") + "/events"
-    ev.unionByName(again).repartition(SLICES, F.xxhash64("event_id", "_copy")).drop("_copy").write.parquet(path)
-    return path, S.read_source(spark, sf_dir, "events").schema
+    ev.unionByName(again).repartition(SLICES * per, F.xxhash64("event_id", "_copy")).drop("_copy").write.parquet(path)
+    return path, S.read_source(spark, sf_dir, "events").schema, per
 
 
 def _stream_units(spark, sf_dir):
-    src, schema = _again_files(spark, sf_dir)
+    src, schema, per = _again_files(spark, sf_dir)
     run = new_run_dir(spark, "stream-units")
     RQ._replay(spark, sf_dir).write.parquet(f"{run}/tasks")
     tasks = spark.read.parquet(f"{run}/tasks")
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    stream = _stream(spark, src, schema, per)
     US.stream_units(RL.reports_from_events(stream), tasks, f"{run}/units", f"{run}/ckpt", every=3)
     return tasks, f"{run}/units"
 
