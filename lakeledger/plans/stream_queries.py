@@ -155,23 +155,27 @@ def _with_tick(spark, path, schema):
 
 
 def _in_turn(spark, sf_dir):
-    """The events as files that arrive one after the other in order of time."""
-    src, schema, _ = _event_files(spark, sf_dir)
+    """The events as slices that arrive one after the other in order of time."""
+    src, schema, per = _event_files(spark, sf_dir)
     path = new_run_dir(spark, "stream-turn") + "/events"
     # the files' numbers follow the ranges of time
-    files = spark.read.schema(schema).parquet(src).inputFiles()
-    for one in sorted(files, key=lambda f: f.rsplit("/", 1)[-1]):
-        spark.read.schema(schema).parquet(one).where("ts is not null").coalesce(1).write.mode("append").parquet(path)
-    return path, schema, 1
+    files = sorted(spark.read.schema(schema).parquet(src).inputFiles(), key=lambda f: f.rsplit("/", 1)[-1])
+    for at in range(0, len(files), per):
+        rows = spark.read.schema(schema).parquet(*files[at:at + per]).where("ts is not null")
+        rows.repartition(per).write.mode("append").parquet(path)
+    return path, schema, per
 
 
 def _timeout_alerts(spark, path, schema, per):
-    _with_tick(spark, path, schema)
     run = new_run_dir(spark, "stream-timeouts")
     source = _stream(spark, path, schema, per)
     log = RL.from_events(source).select("task_id", "month", "server", "event", F.col("ts").cast("timestamp").alias("ts"), "seq")
     TO.route_late(log, f"{run}/landed", f"{run}/ckpt-route", DELAY_HOURS)
-    TO.stream_timeouts(spark, f"{run}/landed", f"{run}/found", f"{run}/ckpt", delay_hours=DELAY_HOURS)
+    # in a micro-batch of its own: it makes all rows beside it late
+    _with_tick(spark, path, schema)
+    TO.route_late(log, f"{run}/landed", f"{run}/ckpt-route", DELAY_HOURS)
+    # a routed slice lands at most as many files as it has: so there are no more micro-batches than slices, however many files
+    TO.stream_timeouts(spark, f"{run}/landed", f"{run}/found", f"{run}/ckpt", delay_hours=DELAY_HOURS, files_per_batch=max(8, per))
     batch = RL.from_events(spark.read.schema(schema).parquet(path)).where("task_id >= 0")
     alerts = TO.timeout_alerts(spark, f"{run}/landed", f"{run}/found", batch, now=RQ.NOW)
     return alerts.select("task_id", "server", "month", "error_msg", "title", "message", "level",
